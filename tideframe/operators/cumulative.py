@@ -19,11 +19,11 @@ from tideframe.schemas import ACTORS, FILM
 # Films of one actor and year that fit into one array.
 PART_FILMS = 10_000
 
-ATTRIBUTES = ["actor", "quality_class", "years_since_film", "is_active"]
+ATTRIBUTES = ["actor", "year", "quality_class", "years_since_film"]
 
 
 def _film() -> Column:
-    return F.struct(*[F.col(c).cast(FILM[c].dataType) for c in FILM.fieldNames()])
+    return F.struct(*[F.col(c).cast(FILM[c].dataType).alias(c) for c in FILM.fieldNames()])
 
 
 def _sorted_films(by_year: bool) -> Column:
@@ -64,6 +64,7 @@ def actor_years(films: DataFrame) -> DataFrame:
 def actor_attributes(films: DataFrame, last_year: int | Column | None = None) -> DataFrame:
     """Snapshots without the films: one narrow row per actor and year.
 
+    ``year`` is the year of the latest film, ``current_year`` the snapshot's.
     Idle years repeat the latest class.  The years of an actor are at most the
     calendar's, so collecting them is bounded.
     """
@@ -90,6 +91,7 @@ def actor_attributes(films: DataFrame, last_year: int | Column | None = None) ->
     return rows.select(
         "actorid",
         F.col("a.actor").alias("actor"),
+        F.col("a.year").alias("year"),
         X.quality_class(F.col("a.rating")).alias("quality_class"),
         idle.alias("years_since_film"),
         "current_year",
@@ -146,12 +148,12 @@ def actor_step(
     rows = y.join(new, ["actorid", "films_part"], "full_outer").join(
         attributes, "actorid", "left"
     )
-    # A new part of a known actor has no old row of its own.
     none = F.array().cast(ACTORS["films"].dataType)
     seen = F.col("seen").isNotNull()
     return rows.select(
         F.coalesce("new_actor", "old_actor").alias("actor"),
         "actorid",
+        F.when(seen, F.lit(year)).otherwise(F.col("old_year")).alias("year"),
         "films_part",
         F.concat(F.coalesce("films", none), F.coalesce("new_films", none)).alias("films"),
         F.when(seen, X.quality_class(F.col("rating")))

@@ -97,34 +97,26 @@ def bucketed_match_join(
     """
     if hottest_share(medals, "match_id") > 1 / buckets:
         return match_join(matches, details, medals, maps)
-    tables = {}
     for name, df, part in [
         ("matches", matches, partition_by),
         ("match_details", details, None),
         ("medals_matches_players", medals, None),
     ]:
-        tables[name] = write_bucketed(
+        write_bucketed(
             df, f"{prefix}_{name}_bucketed", f"{folder}/{name}_bucketed",
             buckets=buckets, partition_by=part,
         )
-    m = tables["matches"]
-    d = tables["match_details"].withColumnRenamed("player_gamertag", "d_player")
-    a = tables["medals_matches_players"]
-    # match_id alone is the equi-key, so that the buckets of all three line up;
-    # the player condition is part of the join.
-    joined = a.join(
-        d.withColumnRenamed("match_id", "d_match"),
-        (F.col("match_id") == F.col("d_match"))
-        & (F.col("player_gamertag") == F.col("d_player")),
-    ).drop("d_match", "d_player")
-    return (
-        joined.join(m, "match_id")
-        .join(broadcast_if_small(maps), "mapid")
-        .select(
-            "match_id", "is_team_game", "playlist_id", "completion_date",
-            "player_gamertag", "player_total_kills", "player_total_deaths",
-            "medal_type", "mapid", F.col("name").alias("map_name"),
-        )
+    # Settings of this join only: no automatic broadcast, and buckets of
+    # match_id also serve the join on (match_id, player_gamertag).
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    stored = {
+        name: own.table(f"{prefix}_{name}_bucketed")
+        for name in ("matches", "match_details", "medals_matches_players")
+    }
+    return match_join(
+        stored["matches"], stored["match_details"], stored["medals_matches_players"], maps
     )
 
 
@@ -170,7 +162,7 @@ def killing_sprees(
     maps: DataFrame,
     medal: str = KILLING_SPREE,
 ) -> DataFrame:
-    """Killing-spree medals per map, also maps without any.
+    """Killing-spree medals per map; a map played without any shows 0.
 
     Medals are counted per match and player before any join.
     """
@@ -178,7 +170,7 @@ def killing_sprees(
         F.count_if(F.col("medal_type") == medal).alias("sprees")
     )
     per_map = (
-        sprees.join(details.select(*PLAYER_KEY), PLAYER_KEY)
+        sprees.join(details, PLAYER_KEY, "left_semi")
         .join(matches.select("match_id", "mapid"), "match_id")
         .groupBy("mapid")
         .agg(F.sum("sprees").alias("total_killing_spree_medals"))

@@ -43,7 +43,7 @@ ACTOR_FILMS = _schema(
 )
 
 ACTORS = _schema(
-    actor="string", actorid="string", films_part="int",
+    actor="string", actorid="string", year="int", films_part="int",
     films=T.ArrayType(FILM),
     quality_class="string", years_since_film="int",
     current_year="int", is_active="boolean",
