@@ -32,9 +32,10 @@ def _sorted_films(by_year: bool) -> Column:
     return F.sort_array(F.collect_list(F.struct(*key, _film().alias("film_row"))))
 
 
-def _with_part(films: DataFrame, part_films: int) -> DataFrame:
+def _with_part(films: DataFrame, part_films: int) -> tuple[DataFrame, list[str]]:
     """Adds films_part: 0, or a hash of filmid where (actor, year) is large.
 
+    Also returns the columns that tell arrays apart.
     The count reads two columns and combines on the map side.  Only the large
     groups take part in the join; there is none when no group is large.
     """
@@ -47,11 +48,10 @@ def _with_part(films: DataFrame, part_films: int) -> DataFrame:
         )
     )
     if large.isEmpty():
-        return films.withColumn("films_part", F.lit(0))
+        return films.withColumn("films_part", F.lit(0)), ["actorid"]
     part = F.pmod(F.xxhash64("filmid"), F.coalesce("parts", F.lit(1))).cast("int")
-    return films.join(broadcast_if_small(large), ["actorid", "year"], "left").select(
-        *films.columns, part.alias("films_part")
-    )
+    parted = films.join(broadcast_if_small(large), ["actorid", "year"], "left")
+    return parted.select(*films.columns, part.alias("films_part")), ["actorid", "films_part"]
 
 
 def actor_years(films: DataFrame) -> DataFrame:
@@ -110,11 +110,10 @@ def actor_backfill(
     with the attributes needs no further shuffle.
     """
     attributes = actor_attributes(films, last_year)
-    parts = (
-        _with_part(films, part_films)
-        .groupBy("actorid", "films_part")
-        .agg(_sorted_films(by_year=True).alias("all_films"))
-    )
+    parted, keys = _with_part(films, part_films)
+    parts = parted.groupBy(*keys).agg(_sorted_films(by_year=True).alias("all_films"))
+    if "films_part" not in keys:
+        parts = parts.withColumn("films_part", F.lit(0))
     first = F.col("all_films")[0]["year"]
     so_far = F.filter("all_films", lambda f: f["year"] <= F.col("current_year"))
     return (
@@ -131,12 +130,14 @@ def actor_step(
     """Snapshot of ``year`` from the snapshot of the year before.
 
     Actors without a film are carried; actors first seen this year are added.
+    The outer join is by part, so an actor with many parts is spread over many
+    tasks; the attributes come in by a left join, which AQE can split.
     """
     y = prev.filter(F.col("current_year") == year - 1).select(
         "actorid", "films_part", "films",
         *[F.col(c).alias(f"old_{c}") for c in ATTRIBUTES],
     )
-    today = _with_part(films.filter(F.col("year") == year), part_films)
+    today, _ = _with_part(films.filter(F.col("year") == year), part_films)
     attributes = actor_years(today).select(
         "actorid", F.col("actor").alias("new_actor"), "rating", F.lit(True).alias("seen")
     )

@@ -54,24 +54,29 @@ def running_totals(
     rows: DataFrame,
     keys: list[str],
     levels: list[str],
-    order: list[str],
+    order: str,
     sums: list[str],
 ) -> DataFrame:
     """Adds run_<s>: the sum of s over the key's rows up to and with this one.
 
     (levels, order) is a total order within a key, each level being monotone in
-    it.  ``sums`` are bigint columns.  Rows with a NULL key or level have no
-    place in the order and are dropped.
+    it.  ``sums`` are bigint columns.  Rows without a key or a place in the
+    order are dropped.
+
+    Rows are shuffled by leaf once.  Totals and in-leaf sums both read that
+    shuffle: each names the order column, so that they ask for the same columns
+    and Spark reuses the exchange instead of computing ``rows`` again.
     """
     leaf = keys + levels
-    rows = rows.dropna(subset=leaf)
-    totals = rows.groupBy(*leaf).agg(*[F.sum(s).alias(s) for s in sums])
+    placed = rows.dropna(subset=[*leaf, order]).repartition(*[F.col(c) for c in leaf])
+    counted = {s: F.when(F.col(order).isNotNull(), F.col(s)) for s in sums}
+    totals = placed.groupBy(*leaf).agg(*[F.sum(c).alias(s) for s, c in counted.items()])
     w = (
         Window.partitionBy(*leaf)
-        .orderBy(*order)
+        .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    inner = rows.withColumns({f"in_{s}": F.sum(s).over(w) for s in sums})
+    inner = placed.withColumns({f"in_{s}": F.sum(c).over(w) for s, c in counted.items()})
     return inner.join(_before(totals, keys, levels, sums), leaf).select(
         *rows.columns,
         *[(F.col(f"in_{s}") + F.col(f"before_{s}")).alias(f"run_{s}") for s in sums],
@@ -82,32 +87,31 @@ def rolling_sum(
     rows: DataFrame,
     keys: list[str],
     position: str,
-    value: str,
+    running: str,
     width: int,
     alias: str,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Sum of ``value`` over the last ``width`` rows by ``position`` (1, 2, ...).
+    """Sum over the last ``width`` rows: the running total less the one before.
 
-    Rows are cut into blocks of equal length; the last width-1 rows of a block
-    are copied to the next one, so every frame lies within a block.
+    ``position`` numbers a key's rows 1, 2, ...  Rows are cut into blocks of
+    equal length and the last ``width`` rows of a block are copied to the next
+    one, so that each row finds the total it needs within its block.
     """
+    if block_rows < width:
+        raise ValueError("a block must hold at least one frame")
     at = F.col(position) - 1
     in_block = F.pmod(at, F.lit(block_rows))
-    block = (at - in_block) / block_rows
-    block = block.cast("bigint")
-    copies = F.when(
-        in_block >= block_rows - (width - 1), F.array(block, block + 1)
-    ).otherwise(F.array(block))
-    w = (
-        Window.partitionBy(*keys, "block")
-        .orderBy(position)
-        .rowsBetween(-(width - 1), Window.currentRow)
+    block = ((at - in_block) / block_rows).cast("bigint")
+    copies = F.when(in_block >= block_rows - width, F.array(block, block + 1)).otherwise(
+        F.array(block)
     )
+    w = Window.partitionBy(*keys, "block").orderBy(position)
+    earlier = F.coalesce(F.lag(running, width).over(w), F.lit(0).cast("bigint"))
     return (
         rows.withColumn("home", block)
         .withColumn("block", F.explode(copies))
-        .withColumn(alias, F.sum(value).over(w))
+        .withColumn(alias, F.col(running) - earlier)
         .filter(F.col("block") == F.col("home"))
         .drop("block", "home")
     )

@@ -41,11 +41,11 @@ def rolling_wins(
         .withColumn("game", F.lit(1).cast("bigint"))
     )
     numbered = O.running_totals(
-        games, ["team_id"], ["game_date", "ids"], ["game_id"], ["game"]
+        games, ["team_id"], ["game_date", "ids"], "game_id", ["game", "win"]
     )
     rolling = O.rolling_sum(
-        numbered.select("team_id", "run_game", "win"),
-        ["team_id"], "run_game", "win", games_in_stretch, "wins", block_rows,
+        numbered.select("team_id", "run_game", "run_win"),
+        ["team_id"], "run_game", "run_win", games_in_stretch, "wins", block_rows,
     )
     best = rolling.groupBy("team_id").agg(
         F.max("wins").alias(f"max_wins_in_{games_in_stretch}_games")
@@ -84,7 +84,7 @@ def longest_streak(
             F.when(F.col("pts") > points, 0).otherwise(1).cast("bigint").alias("miss"),
         )
     )
-    runs = O.running_totals(games, [by], ["game_date", "ids"], ["game_id"], ["miss"])
+    runs = O.running_totals(games, [by], ["game_date", "ids"], "game_id", ["miss"])
     longest = (
         runs.filter("miss = 0")
         .groupBy(by, "run_miss")

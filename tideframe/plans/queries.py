@@ -238,7 +238,7 @@ def growth_daily_state(spark: SparkSession, folder: str) -> DataFrame:
 def growth_yearly_state(spark: SparkSession, folder: str) -> DataFrame:
     """Order days give years of absence, which the month of events does not."""
     orders = parquet_table(spark, folder, "orders").select(
-        F.col("o_custkey").cast("string").alias("player_name"),
+        F.col("o_custkey").alias("player_name"),
         F.to_date("o_orderdate").alias("effective_date"),
     )
     return flat(
@@ -355,7 +355,7 @@ def sorted_aggregates(spark: SparkSession, folder: str) -> DataFrame:
 
     def row(df: DataFrame, report: str, key: str, value: str) -> DataFrame:
         return df.select(
-            F.lit(report).alias("report"), F.col(key).alias("entry"),
+            F.lit(report).alias("report"), F.col(key).cast("string").alias("entry"),
             F.col(value).cast("double").alias("value"),
         )
 
@@ -387,9 +387,9 @@ def stream_session_hits(spark: SparkSession, folder: str) -> DataFrame:
     own = SS.streaming_session(spark)
     out = work_folder(spark, "stream-sessions")
     raw = SO.file_stream(own, folder, INPUTS["events"], glob="events.parquet")
-    user = F.col("user_id").cast("string")
     events = raw.select(
-        user.alias("ip"), F.col("event_type").alias("host"),
+        F.col("user_id").alias("ip"),
+        F.col("event_type").alias("host"),
         F.col("ts").alias("window_timestamp"),
     )
     sessions = SS.session_windows(SO.with_watermark(events))
@@ -405,7 +405,7 @@ def web_traffic_messages(spark: SparkSession, folder: str) -> DataFrame:
     messages = events.select(
         F.to_json(
             F.struct(
-                "ip", text.alias("event_time"), F.lit("").alias("referrer"), "host",
+                F.col("ip").cast("string").alias("ip"), text.alias("event_time"), F.lit("").alias("referrer"), "host",
                 F.concat(F.lit("/"), F.col("host")).alias("url"),
                 F.lit("{}").alias("geodata"),
             )

@@ -1,7 +1,8 @@
 """The roles of the operators' inputs, filled from the Parquet tables.
 
 Plain projections, joins on keys and, where a role has a coarser grain, one
-aggregation.  No join carries a hint: Spark broadcasts a dimension when its
+aggregation.  Keys keep the numeric type of their table, which is cheaper to
+shuffle than text.  No join carries a hint: Spark broadcasts a dimension when its
 size allows and otherwise shuffles, with AQE splitting hot keys.
 """
 
@@ -21,7 +22,7 @@ def actor_films(spark: SparkSession, folder: str) -> DataFrame:
         customer, orders["o_custkey"] == customer["c_custkey"]
     ).select(
         F.col("c_name").alias("actor"),
-        F.col("o_custkey").cast("string").alias("actorid"),
+        F.col("o_custkey").alias("actorid"),
         F.year("o_orderdate").alias("year"),
         F.concat(F.lit("order-"), key.cast("string")).alias("film"),
         (key % 1000).cast("int").alias("votes"),
@@ -31,10 +32,9 @@ def actor_films(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def web_events(spark: SparkSession, folder: str) -> DataFrame:
-    user = F.col("user_id").cast("string")
     return parquet_table(spark, folder, "events").select(
-        user.alias("device_id"),
-        user.alias("ip"),
+        F.col("user_id").alias("device_id"),
+        F.col("user_id").alias("ip"),
         F.col("event_type").alias("host"),
         F.col("ts").alias("event_time"),
     )
@@ -43,7 +43,7 @@ def web_events(spark: SparkSession, folder: str) -> DataFrame:
 def player_days(spark: SparkSession, folder: str) -> DataFrame:
     day = F.to_date("ts")
     return parquet_table(spark, folder, "events").select(
-        F.col("user_id").cast("string").alias("player_name"),
+        F.col("user_id").alias("player_name"),
         day.alias("effective_date"),
         F.year(day).alias("current_season"),
     )
@@ -96,11 +96,11 @@ def matches(spark: SparkSession, folder: str) -> DataFrame:
     return orders.join(
         customer, orders["o_custkey"] == customer["c_custkey"]
     ).select(
-        F.col("o_orderkey").cast("string").alias("match_id"),
+        F.col("o_orderkey").alias("match_id"),
         (F.col("o_orderstatus") == "F").alias("is_team_game"),
         F.col("o_orderpriority").alias("playlist_id"),
         day.alias("completion_date"),
-        F.col("c_nationkey").cast("string").alias("mapid"),
+        F.col("c_nationkey").alias("mapid"),
     )
 
 
@@ -109,8 +109,8 @@ def match_details(spark: SparkSession, folder: str) -> DataFrame:
     return (
         parquet_table(spark, folder, "lineitem")
         .groupBy(
-            F.col("l_orderkey").cast("string").alias("match_id"),
-            F.col("l_suppkey").cast("string").alias("player_gamertag"),
+            F.col("l_orderkey").alias("match_id"),
+            F.col("l_suppkey").alias("player_gamertag"),
         )
         .agg(
             F.sum("l_quantity").cast("int").alias("player_total_kills"),
@@ -124,23 +124,23 @@ def medals_matches_players(spark: SparkSession, folder: str) -> DataFrame:
     lines = parquet_table(spark, folder, "lineitem")
     part = parquet_table(spark, folder, "part")
     return lines.join(part, lines["l_partkey"] == part["p_partkey"]).select(
-        F.col("l_orderkey").cast("string").alias("match_id"),
-        F.col("l_suppkey").cast("string").alias("player_gamertag"),
+        F.col("l_orderkey").alias("match_id"),
+        F.col("l_suppkey").alias("player_gamertag"),
         F.col("p_type").alias("medal_type"),
     )
 
 
 def maps(spark: SparkSession, folder: str) -> DataFrame:
     return parquet_table(spark, folder, "nation").select(
-        F.col("n_nationkey").cast("string").alias("mapid"),
+        F.col("n_nationkey").alias("mapid"),
         F.col("n_name").alias("name"),
     )
 
 
 def medals(spark: SparkSession, folder: str) -> DataFrame:
     return parquet_table(spark, folder, "supplier").select(
-        F.col("s_suppkey").cast("string").alias("medal_id"),
-        F.col("s_nationkey").cast("string").alias("mapid"),
+        F.col("s_suppkey").alias("medal_id"),
+        F.col("s_nationkey").alias("mapid"),
     )
 
 
