@@ -68,7 +68,12 @@ def running_totals(
     and Spark reuses the exchange instead of computing ``rows`` again.
     """
     leaf = keys + levels
-    placed = rows.dropna(subset=[*leaf, order]).repartition(*[F.col(c) for c in leaf])
+    placed = rows
+    for c in [*leaf, order]:
+        # One filter per column, as the join below would infer them: the plans
+        # of both readers then stay equal down to the scan.
+        placed = placed.filter(F.col(c).isNotNull())
+    placed = placed.repartition(*[F.col(c) for c in leaf])
     counted = {s: F.when(F.col(order).isNotNull(), F.col(s)) for s in sums}
     totals = placed.groupBy(*leaf).agg(*[F.sum(c).alias(s) for s, c in counted.items()])
     w = (

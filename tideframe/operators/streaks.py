@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideframe.operators import ordered as O
@@ -57,6 +57,40 @@ def rolling_wins(
     ).limit(n)
 
 
+def _join_runs(parts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One part per ``keys`` out of its consecutive parts, ordered by ``order``.
+
+    A part is described by ``misses`` in it, hits before the first miss
+    (``head``), hits after the last (``tail``; the head when there is no miss)
+    and the longest run (``best``).  The number of misses so far names a run, so
+    a tail and the heads that follow it meet in one group.  One shuffle by keys.
+    """
+    w = (
+        Window.partitionBy(*keys)
+        .orderBy(order)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.coalesce(F.sum("misses").over(w), F.lit(0).cast("bigint"))
+    first = F.struct(F.col("before").alias("run"), F.col("head").alias("hits"))
+    last = F.struct(
+        (F.col("before") + F.col("misses")).alias("run"), F.col("tail").alias("hits")
+    )
+    ends = F.when(F.col("misses") == 0, F.array(first)).otherwise(F.array(first, last))
+    return (
+        parts.withColumn("before", before)
+        .select(*keys, "best", F.inline(ends))
+        .groupBy(*keys, "run")
+        .agg(F.sum("hits").alias("hits"), F.max("best").alias("best"))
+        .groupBy(*keys)
+        .agg(
+            F.max("run").alias("misses"),
+            F.min_by("hits", "run").alias("head"),
+            F.max_by("hits", "run").alias("tail"),
+            F.max(F.greatest("hits", "best")).alias("best"),
+        )
+    )
+
+
 def longest_streak(
     lines: DataFrame,
     players: DataFrame | None = None,
@@ -66,8 +100,9 @@ def longest_streak(
     """Longest run of games with more than ``points`` points, per player.
 
     A game counts once per player, with the player's points in it; no points
-    is a miss.  The number of misses so far names the run a hit belongs to, so
-    counting hits per run is a plain grouping with map-side combine.
+    is a miss.  Games are ordered by date and id.  Runs are joined within a
+    range of ids of a day, then within the day, then over the days, so that no
+    task ever holds all games of a player.
     """
     by = "player_id" if "player_id" in lines.columns else "player_name"
     if player_name is not None:
@@ -76,21 +111,23 @@ def longest_streak(
         else:
             wanted = players.filter(F.col("player_name") == player_name)
             lines = lines.join(wanted.select("player_id"), "player_id", "left_semi")
+    hit = F.when(F.col("pts") > points, 1).otherwise(0).cast("bigint")
     games = (
-        lines.groupBy(by, "game_date", "game_id")
+        lines.filter(F.col(by).isNotNull())
+        .groupBy(by, "game_date", "game_id")
         .agg(F.sum("pts").alias("pts"))
         .select(
-            by, "game_date", "game_id", O.id_range("game_id").alias("ids"),
-            F.when(F.col("pts") > points, 0).otherwise(1).cast("bigint").alias("miss"),
+            by, "game_date", O.id_range("game_id").alias("ids"), "game_id",
+            (1 - hit).alias("misses"),
+            *[hit.alias(c) for c in ("head", "tail", "best")],
         )
     )
-    runs = O.running_totals(games, [by], ["game_date", "ids"], "game_id", ["miss"])
+    runs = _join_runs(games, [by, "game_date", "ids"], "game_id")
+    runs = _join_runs(runs, [by, "game_date"], "ids")
     longest = (
-        runs.filter("miss = 0")
-        .groupBy(by, "run_miss")
-        .agg(F.count(F.lit(1)).alias("streak_length"))
-        .groupBy(by)
-        .agg(F.max("streak_length").alias("longest_streak"))
+        _join_runs(runs, [by], "game_date")
+        .filter("best > 0")
+        .select(by, F.col("best").alias("longest_streak"))
     )
     if players is not None:
         longest = longest.join(players, "player_id", "left").select(
