@@ -54,28 +54,31 @@ def _with_part(films: DataFrame, part_films: int) -> tuple[DataFrame, list[str]]
     return parted.select(*films.columns, part.alias("films_part")), ["actorid", "films_part"]
 
 
-def actor_years(films: DataFrame) -> DataFrame:
-    """(actorid, year, actor, rating): average rating of the year's films."""
-    return films.groupBy("actorid", "year").agg(
-        F.max("actor").alias("actor"), F.avg("rating").alias("rating")
-    )
+def actor_years(films: DataFrame, names: bool = True) -> DataFrame:
+    """(actorid, year, rating[, actor]): average rating of the year's films."""
+    rating = F.avg("rating").alias("rating")
+    name = [F.max("actor").alias("actor")] if names else []
+    return films.groupBy("actorid", "year").agg(rating, *name)
 
 
-def actor_attributes(films: DataFrame, last_year: int | Column | None = None) -> DataFrame:
+def actor_attributes(
+    films: DataFrame, last_year: int | Column | None = None, names: bool = True
+) -> DataFrame:
     """Snapshots without the films: one narrow row per actor and year.
 
     ``year`` is the year of the latest film, ``current_year`` the snapshot's.
     Idle years repeat the latest class.  The years of an actor are at most the
-    calendar's, so collecting them is bounded.
+    calendar's, so collecting them is bounded.  Without ``names`` the first
+    grouping holds numbers only and hashes instead of sorting.
     """
-    years = actor_years(films)
+    years = actor_years(films, names)
     if last_year is None:
         last_year = films.agg(F.max("year").alias("y")).scalar()
     elif isinstance(last_year, int):
         last_year = F.lit(last_year)
     per_actor = (
         years.groupBy("actorid")
-        .agg(F.sort_array(F.collect_list(F.struct("year", "actor", "rating"))).alias("active"))
+        .agg(F.sort_array(F.collect_list(F.struct("year", *years.columns[2:]))).alias("active"))
         .withColumn("last_year", last_year)
     )
     steps = per_actor.select(
@@ -90,7 +93,7 @@ def actor_attributes(films: DataFrame, last_year: int | Column | None = None) ->
     idle = F.col("current_year") - F.col("a.year")
     return rows.select(
         "actorid",
-        F.col("a.actor").alias("actor"),
+        *([F.col("a.actor").alias("actor")] if names else []),
         F.col("a.year").alias("year"),
         X.quality_class(F.col("a.rating")).alias("quality_class"),
         idle.alias("years_since_film"),
@@ -101,7 +104,7 @@ def actor_attributes(films: DataFrame, last_year: int | Column | None = None) ->
 
 def actor_backfill(
     films: DataFrame,
-    last_year: int | None = None,
+    last_year: int | Column | None = None,
     part_films: int = PART_FILMS,
 ) -> DataFrame:
     """All snapshots up to ``last_year`` in one pass.

@@ -62,12 +62,13 @@ def write_bucketed(
     """Overwrites a bucketed table and reads it back.
 
     The shuffle uses the hash of the bucketing, so a task holds whole buckets
-    and writes one sorted file per partition value and bucket.  Choose
-    ``buckets`` so that a bucket is about 1 GB.
+    and writes one file per partition value and bucket.  Rebalancing lets AQE
+    spread a bucket with a hot key over several tasks, which adds files to that
+    bucket.  Choose ``buckets`` so that a bucket is about 1 GB.
     """
     spark = df.sparkSession
     writer = (
-        df.repartition(buckets, key)
+        df.hint("rebalance", buckets, F.col(key))
         .write.mode("overwrite")
         .format("parquet")
         .option("path", path)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.functions import expressions as X
@@ -56,9 +56,21 @@ def _with_film_text(df: DataFrame) -> DataFrame:
     return df.withColumn("films", films_text(F.col("films")))
 
 
+def _last_year(spark: SparkSession, folder: str) -> Column:
+    """Last year with an order: a scan of one column."""
+    orders = parquet_table(spark, folder, "orders")
+    return orders.agg(F.year(F.max("o_orderdate")).alias("year")).scalar()
+
+
+def _attributes(spark: SparkSession, folder: str) -> DataFrame:
+    films = R.actor_films(spark, folder)
+    return A.actor_attributes(films, _last_year(spark, folder), names=False)
+
+
 @register
 def actor_cumulative(spark: SparkSession, folder: str) -> DataFrame:
-    return _with_film_text(A.actor_backfill(R.actor_films(spark, folder)))
+    films = R.actor_films(spark, folder)
+    return _with_film_text(A.actor_backfill(films, _last_year(spark, folder)))
 
 
 @register
@@ -128,11 +140,11 @@ def insert_skip_existing(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def scd2_backfill(spark: SparkSession, folder: str) -> DataFrame:
-    return S.scd2_backfill(A.actor_attributes(R.actor_films(spark, folder)))
+    return S.scd2_backfill(_attributes(spark, folder))
 
 
 def _history_before(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    snapshots = A.actor_attributes(R.actor_films(spark, folder))
+    snapshots = _attributes(spark, folder)
     history = S.scd2_backfill(snapshots.filter(F.col("current_year") < STEP_YEAR))
     return history, snapshots
 
@@ -151,7 +163,7 @@ def scd2_expand_changed(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def scd2_group_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return S.scd2_group_summary(A.actor_attributes(R.actor_films(spark, folder)))
+    return S.scd2_group_summary(_attributes(spark, folder))
 
 
 # --- activity bits --------------------------------------------------------------
@@ -518,7 +530,7 @@ def check_unique_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def check_domain(spark: SparkSession, folder: str) -> DataFrame:
-    attributes = A.actor_attributes(R.actor_films(spark, folder))
+    attributes = _attributes(spark, folder)
     status = C.domain(parquet_table(spark, folder, "orders"), "o_orderstatus", ["F", "O"])
     return C.all_of([C.domain(attributes, "quality_class", QUALITY_CLASSES), status])
 
