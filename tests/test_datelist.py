@@ -1,0 +1,99 @@
+"""Date lists, their bit form and the calendar grid."""
+
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from tests.conftest import plan, rows
+from tideframe.functions import expressions as X
+from tideframe.operators import datelist as D
+
+NAME = "device_activity_datelist"
+DAY = date(2024, 2, 10)
+
+
+def events(spark, *items):
+    """(device, days before DAY)"""
+    return spark.createDataFrame(
+        [
+            (k, None if n is None else datetime(2024, 2, 10, 12) - timedelta(days=n))
+            for k, n in items
+        ],
+        "device_id string, event_time timestamp_ntz",
+    )
+
+
+def test_bits_put_the_snapshot_day_first(spark):
+    ev = events(
+        spark, ("today", 0), ("yesterday", 1), ("old", 31), ("older", 32), (None, 0), ("x", None)
+    )
+    got = dict(rows(D.activity_bits(ev, "device_id", DAY), "device_id", "datelist_int"))
+    assert got == {
+        "today": "1" + "0" * 31,
+        "yesterday": "01" + "0" * 30,
+        "old": "0" * 31 + "1",
+        "older": "0" * 32,
+    }
+
+
+def test_bits_of_lists_equal_bits_of_events_and_decode(spark):
+    ev = events(spark, *[("a", n) for n in (0, 3, 3, 7, 31, 40)], ("b", 5), ("c", 60))
+    state = D.datelist_backfill(ev, "device_id", NAME, DAY)
+    snapshot = state.filter(F.col("date") == X.as_date(DAY))
+    from_lists = D.datelist_bits(snapshot, "device_id", NAME)
+    direct = D.activity_bits(ev, "device_id", DAY)
+    order = ["device_id", "date", "datelist_bits", "datelist_int"]
+    assert rows(from_lists, *order) == rows(direct, *order)
+    bits = dict(rows(direct, "device_id", "datelist_int"))
+    assert [i for i, c in enumerate(bits["a"]) if c == "1"] == [0, 3, 7, 31]
+    assert rows(D.active_days_bits(direct, "device_id")) == [
+        ("a", 1, 2, 3), ("b", 0, 1, 1), ("c", 0, 0, 0)
+    ]
+
+
+def test_grid_sums_to_the_bits_without_a_cross_join(spark):
+    ev = events(spark, ("a", 0), ("a", 9), ("b", 31))
+    snapshot = D.datelist_backfill(ev, "device_id", NAME, DAY).filter(
+        F.col("date") == X.as_date(DAY)
+    )
+    grid = D.calendar_grid(snapshot, "device_id", NAME)
+    assert grid.count() == 2 * 32
+    sums = grid.groupBy("device_id").agg(F.sum("placeholder_int_value").alias("datelist_bits"))
+    assert rows(sums) == rows(
+        D.activity_bits(ev, "device_id", DAY), "device_id", "datelist_bits"
+    )
+    assert "CartesianProduct" not in plan(grid) and "NestedLoop" not in plan(grid)
+
+
+def test_step_is_idempotent_and_carries(spark):
+    ev = events(spark, ("a", 1), ("a", 0), ("b", 1), ("c", 0), (None, 0))
+    prev = D.datelist_backfill(ev, "device_id", NAME, DAY - timedelta(days=1))
+    now = D.datelist_step(prev, ev, "device_id", NAME, DAY)
+    yesterday = DAY - timedelta(days=1)
+    want = [
+        ("a", (yesterday, DAY), DAY),
+        ("b", (yesterday,), DAY),
+        ("c", (DAY,), DAY),
+    ]
+    assert rows(now) == want
+    assert rows(D.datelist_step(prev.unionByName(now), ev, "device_id", NAME, DAY)) == want
+
+
+def test_steps_equal_backfill(spark):
+    ev = events(spark, *[("a", n) for n in (4, 2, 2, 0)], ("b", 3), ("c", 1))
+    first = DAY - timedelta(days=4)
+    state = spark.createDataFrame([], f"device_id string, {NAME} array<date>, date date")
+    schema = state.schema
+    for i in range(5):
+        step = D.datelist_step(state, ev, "device_id", NAME, first + timedelta(days=i))
+        state = spark.createDataFrame(state.collect() + step.collect(), schema)
+    assert rows(state) == rows(D.datelist_backfill(ev, "device_id", NAME))
+
+
+def test_backfill_ignores_events_after_as_of(spark):
+    ev = events(spark, ("a", 2), ("a", 0), ("late", 0))
+    out = D.datelist_backfill(ev, "device_id", NAME, DAY - timedelta(days=1))
+    d = DAY - timedelta(days=2)
+    assert rows(out) == [("a", (d,), d), ("a", (d,), d + timedelta(days=1))]

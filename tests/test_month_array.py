@@ -1,0 +1,58 @@
+"""Monthly arrays: padding, idle days, reruns, skipped days."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.errors import PySparkException
+
+from tests.conftest import rows
+from tideframe.operators import month_array as M
+from tideframe.operators.tables import keyed_upsert
+from tideframe.schemas import HOST_ACTIVITY_REDUCED
+
+
+def events(spark):
+    """a: days 1, 3, 3; b: first seen on day 3, idle on day 4; next month: a."""
+    at = [("a", 1, 1), ("a", 1, 3), ("a", 1, 3), ("b", 1, 3), ("b", 1, 5), ("a", 2, 2), (None, 1, 1)]
+    return spark.createDataFrame(
+        [(h, datetime(2023, m, d, 8)) for h, m, d in at], "host string, event_time timestamp_ntz"
+    )
+
+
+def test_backfill(spark):
+    out = M.host_month_array(events(spark), date(2023, 1, 5))
+    assert rows(out, "host", "month_start", "metric_array") == [
+        ("a", date(2023, 1, 1), (1, 0, 2, 0, 0)),
+        ("b", date(2023, 1, 1), (0, 0, 1, 0, 1)),
+    ]
+    later = rows(M.host_month_array(events(spark)), "host", "month_start", "metric_array")
+    assert later[0][2] == (1, 0, 2) + (0,) * 28  # a finished month is complete
+    assert later[1] == ("a", date(2023, 2, 1), (0, 1))
+
+
+def test_steps_equal_backfill_and_rerun_replaces(spark):
+    ev = events(spark)
+    state = spark.createDataFrame([], HOST_ACTIVITY_REDUCED)
+    for d in (1, 2, 3, 3, 4, 5, 5):
+        step = M.host_month_step(state, ev, date(2023, 1, d))
+        state = spark.createDataFrame(
+            keyed_upsert(state, step, M.KEY).collect(), HOST_ACTIVITY_REDUCED
+        )
+    assert rows(state) == rows(M.host_month_array(ev, date(2023, 1, 5)))
+
+
+def test_skipped_day_is_refused(spark):
+    ev = events(spark)
+    state = M.host_month_array(ev, date(2023, 1, 3))
+    with pytest.raises(PySparkException, match="ends before the day preceding"):
+        M.host_month_step(state, ev, date(2023, 1, 5)).collect()
+
+
+def test_explode_sums_every_position(spark):
+    arrays = M.host_month_array(events(spark), date(2023, 1, 5))
+    assert rows(M.month_array_explode(arrays), "date", "value") == [
+        (date(2023, 1, 1), 1), (date(2023, 1, 2), 0), (date(2023, 1, 3), 3),
+        (date(2023, 1, 4), 0), (date(2023, 1, 5), 1),
+    ]

@@ -1,0 +1,89 @@
+"""Dedup, grouping sets and leaderboards, with NULLs, ties and hot keys."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from tests.conftest import plan, rows
+from tideframe.operators import rollup as U
+
+LINES = "game_id long, team_id long, player_name string, season int, pts double"
+
+
+def lines(spark, *data):
+    return spark.createDataFrame(list(data), LINES)
+
+
+def test_survivor_follows_a_total_order(spark):
+    df = spark.createDataFrame(
+        [(1, 1, 7, date(2020, 1, 2), 5.0), (1, 1, 7, date(2020, 1, 1), 9.0),
+         (1, 1, 7, date(2020, 1, 1), 8.0), (1, 2, 7, date(2020, 1, 1), 1.0)],
+        "game_id long, team_id long, player_id long, game_date date, pts double",
+    )
+    out = U.dedupe_rows(df, ["game_id", "team_id", "player_id"], ["game_date"])
+    assert rows(out, "team_id", "game_date", "pts") == [
+        (1, date(2020, 1, 1), 8.0), (2, date(2020, 1, 1), 1.0)
+    ]
+    # copies are dropped on the map side as well
+    assert plan(out).count("WindowGroupLimit") == 2
+
+
+def test_null_key_is_not_a_rolled_up_key(spark):
+    out = U.grouping_sets_points(
+        lines(spark, (1, None, "a", 2000, 5.0), (2, 1, "a", 2000, 7.0), (3, 1, None, 2001, None))
+    )
+    got = {r[:4]: r[4:] for r in rows(out)}
+    assert got == {
+        (U.LEVEL, "a", "unknown", "2000"): (5.0, 1),
+        (U.LEVEL, "a", "1", "2000"): (7.0, 1),
+        (U.LEVEL, "unknown", "1", "2001"): (None, 1),
+        ("player_name", "a", "(overall)", "(overall)"): (12.0, 2),
+        ("player_name", "unknown", "(overall)", "(overall)"): (None, 1),
+        ("team_id", "(overall)", "unknown", "(overall)"): (5.0, 1),
+        ("team_id", "(overall)", "1", "(overall)"): (7.0, 2),
+        ("overall", "(overall)", "(overall)", "(overall)"): (12.0, 3),
+    }
+    totals = [r["total_points"] for r in out.collect()]
+    assert totals == [12.0, 12.0, 7.0, 7.0, 5.0, 5.0, None, None]
+
+
+def test_top_is_never_a_null_sum_and_ties_go_to_the_first_name(spark):
+    df = lines(spark, (1, 1, "none", 2000, None), (1, 1, "b", 2000, 5.0), (1, 1, "a", 2000, 5.0))
+    assert rows(U.top_player(df, "team_id")) == [("a", 1, 5.0)]
+    assert rows(U.top_player(df, "season", n=3), "player_name") == [("a",), ("b",), ("none",)]
+
+
+def test_names_joined_late_add_up_over_ids(spark):
+    df = spark.createDataFrame(
+        [(1, 1, 2000, 3.0), (2, 1, 2000, 4.0), (3, 1, 2000, 6.0)],
+        "player_id long, team_id long, season int, pts double",
+    )
+    names = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "player_id long, player_name string")
+    assert rows(U.top_player(df, "team_id", names)) == [("x", 1, 7.0)]
+
+
+def test_game_without_result_counts_for_nobody(spark):
+    games = spark.createDataFrame(
+        [(1, 10, 20, 1), (2, 10, 20, 0), (3, 20, 10, 0), (4, 20, 10, None)],
+        "game_id long, home_team_id long, away_team_id long, home_team_wins int",
+    )
+    assert rows(U.top_team_wins(games, n=5)) == [(10, 2), (20, 1)]
+
+
+def test_join_games_keeps_one_key_column(spark):
+    games = spark.createDataFrame([(1, 2000)], "game_id long, year int")
+    out = U.join_games(lines(spark, (1, 1, "a", 2000, 1.0), (2, 1, "a", 2000, 1.0)), games)
+    assert out.columns.count("game_id") == 1 and out.count() == 1
+
+
+def test_hot_key_is_summed_whole(spark):
+    """A third of the lines belong to one player."""
+    df = spark.range(30_000).select(
+        F.col("id").alias("game_id"), (F.col("id") % 5).alias("team_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("player_name"),
+        F.lit(2000).alias("season"), F.lit(1.0).alias("pts"),
+    )
+    top = U.grouping_sets_points(df).filter("aggregation_level = 'player_name'").first()
+    assert (top["player_name"], top["total_points"]) == ("hot", 10_000.0)
