@@ -1,0 +1,63 @@
+"""Every registered query: equal to its SQL, and planned for scale."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+import verify
+from tests.conftest import plan
+
+FOLDER = "/root/testdata/sf0.001"
+NAMES = list(entry.queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return verify.connect(FOLDER)
+
+
+def test_every_query_has_sql():
+    assert set(entry.oracle_sql()) == set(NAMES)
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["host", "host_activity_datelist", "date"] and df.count() > 0
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_equals_sql(spark, con, name):
+    assert verify.compare(spark, con, FOLDER, name) is None
+
+
+WRITERS = {"bucketed_match_join", "joined_matches_sink", "stream_session_hits"}
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if n not in WRITERS])
+def test_plan_is_fit_for_scale(spark, name):
+    """No pairing of all rows, no Python in the plan, no unpruned scan."""
+    p = plan(entry.queries()[name](spark, FOLDER))
+    assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
+    assert "Python" not in p and "Pandas" not in p
+    if name != "check_schema":  # looks at every column
+        for columns in re.findall(r"ReadSchema: struct<([^>]*)>", p):
+            assert columns.count(":") <= 6, columns
+
+
+def test_forced_shuffle_joins_give_the_same(spark, con):
+    """The joins of the leaderboards without any broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ["grouping_sets_points", "longest_streak", "actor_cumulative_step"]:
+            assert verify.compare(spark, con, FOLDER, name) is None
+        df = entry.queries()["rolling_90_wins"](spark, FOLDER)
+        df.collect()
+        final = plan(df).split("== Initial Plan ==")[0]
+        assert final.count("l_orderkey#") and "ReusedExchange" in final
+        assert len(re.findall(r"FileScan parquet \[l_orderkey", final)) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -1,0 +1,124 @@
+"""Rolling windows and streaks against brute force, with tiny leaves and blocks."""
+
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import plan, rows
+from tideframe.operators import ordered as O
+from tideframe.operators import streaks as K
+
+SCHEMA = (
+    "game_id long, game_date date, home_team_id long, away_team_id long, "
+    "home_team_wins int, team_id long, player_id long, pts double"
+)
+
+
+@pytest.fixture
+def small_leaves(monkeypatch):
+    monkeypatch.setattr(O, "LEAF_IDS", 7)
+
+
+def season(spark, n=400, seed=1):
+    """Team 1 and player 1 hold a third of all rows and one day is hot."""
+    rnd = random.Random(seed)
+    data = []
+    for g in rnd.sample(range(10 * n), n):
+        day = date(2020, 1, 1) + timedelta(days=0 if rnd.random() < 0.3 else rnd.randrange(60))
+        home = 1 if rnd.random() < 0.4 else rnd.randrange(2, 6)
+        away = rnd.choice([t for t in range(1, 6) if t != home])
+        won = rnd.choice([0, 1, None])
+        for team in (home, away):
+            for _ in range(rnd.randrange(1, 3)):
+                player = 1 if rnd.random() < 0.34 else rnd.randrange(2, 12)
+                pts = rnd.choice([None, 5.0, 10.0, 11.0, 20.0])
+                data.append((g, day, home, away, won, team, player, pts))
+    return data, spark.createDataFrame(data, SCHEMA)
+
+
+def brute_wins(data, width):
+    games = {}
+    for g, day, home, away, won, team, _, _ in data:
+        win = (team == home and won == 1) or (team == away and won == 0)
+        games.setdefault(team, {})[(day, g)] = int(win)
+    out = {}
+    for team, by in games.items():
+        w = [by[k] for k in sorted(by)]
+        out[team] = max(sum(w[max(0, i - width + 1): i + 1]) for i in range(len(w)))
+    return out
+
+
+def brute_streaks(data, points=10):
+    games = {}
+    for g, day, _, _, _, _, player, pts in data:
+        seen = games.setdefault(player, {})
+        old = seen.get((day, g))
+        seen[(day, g)] = pts if old is None else old + (pts or 0)
+    out = {}
+    for player, by in games.items():
+        best = run = 0
+        for k in sorted(by):
+            run = run + 1 if by[k] is not None and by[k] > points else 0
+            best = max(best, run)
+        if best:
+            out[player] = best
+    return out
+
+
+@pytest.mark.parametrize("width,block", [(90, 90), (5, 7), (1, 10), (90, 100_000)])
+def test_rolling_wins(spark, small_leaves, width, block):
+    data, df = season(spark)
+    got = dict(rows(K.rolling_wins(df, width, n=None, block_rows=block)))
+    assert got == brute_wins(data, width)
+
+
+def test_best_team_only(spark):
+    data, df = season(spark)
+    wins = brute_wins(data, 90)
+    best = min(wins, key=lambda t: (-wins[t], t))
+    assert rows(K.rolling_wins(df)) == [(best, wins[best])]
+
+
+def test_91_wins_count_as_90(spark):
+    data = [
+        (g, date(2020, 1, 1) + timedelta(days=g), 1, 2, 1, 1, p, 5.0)
+        for g in range(91) for p in (1, 2, 3)
+    ]
+    assert rows(K.rolling_wins(spark.createDataFrame(data, SCHEMA))) == [(1, 90)]
+
+
+def test_longest_streak(spark, small_leaves):
+    data, df = season(spark, seed=2)
+    assert dict(rows(K.longest_streak(df))) == brute_streaks(data)
+
+
+def test_streak_of_one_player_by_name(spark):
+    data, df = season(spark, seed=3)
+    names = spark.createDataFrame([(i, f"p{i}") for i in range(12)], "player_id long, player_name string")
+    want = brute_streaks(data)
+    assert rows(K.longest_streak(df, names, "p1")) == [(1, "p1", want[1])]
+    assert dict(rows(K.longest_streak(df, names), "player_id", "longest_streak")) == want
+
+
+def test_running_totals_read_their_input_once(spark, small_leaves, tmp_path):
+    spark.range(1000).select(
+        (F.col("id") % 3).alias("k"), (F.col("id") % 10).alias("d"), "id",
+        F.lit(1).cast("bigint").alias("one"),
+    ).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).withColumn("ids", O.id_range("id"))
+    out = O.running_totals(df, ["k"], ["d", "ids"], "id", ["one"])
+    got = {(r["k"], r["d"], r["id"]): r["run_one"] for r in out.collect()}
+    for k in range(3):
+        keys = sorted((d, i) for kk, d, i in got if kk == k)
+        assert [got[(k, d, i)] for d, i in keys] == list(range(1, len(keys) + 1))
+    final = plan(out).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_block_must_hold_a_frame(spark):
+    with pytest.raises(ValueError):
+        O.rolling_sum(spark.range(1), ["id"], "id", "id", 90, "x", 10)
