@@ -30,7 +30,7 @@ def filmids(df):
 
 @pytest.mark.parametrize(
     "rating,expected",
-    [(8.5, "star"), (8.0, "good"), (7.5, "good"), (7.0, "average"), (6.0, "bad"), (None, None)],
+    [(8.5, "star"), (8.0, "good"), (7.5, "good"), (7.0, "average"), (6.0, "bad"), (None, "bad")],
 )
 def test_class_bounds_are_exclusive(spark, rating, expected):
     df = spark.createDataFrame([(rating,)], "r double")

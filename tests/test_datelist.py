@@ -41,7 +41,8 @@ def test_bits_put_the_snapshot_day_first(spark):
 def test_bits_of_lists_equal_bits_of_events_and_decode(spark):
     ev = events(spark, *[("a", n) for n in (0, 3, 3, 7, 31, 40)], ("b", 5), ("c", 60))
     state = D.datelist_backfill(ev, "device_id", NAME, DAY)
-    snapshot = state.filter(F.col("date") == X.as_date(DAY))
+    snapshot = D.datelist_snapshot(ev, "device_id", NAME, DAY)
+    assert rows(snapshot) == rows(state.filter(F.col("date") == X.as_date(DAY)))
     from_lists = D.datelist_bits(snapshot, "device_id", NAME)
     direct = D.activity_bits(ev, "device_id", DAY)
     order = ["device_id", "date", "datelist_bits", "datelist_int"]

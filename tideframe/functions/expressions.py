@@ -24,11 +24,9 @@ DATELIST_BITS = 32
 
 
 def quality_class(rating: Column) -> Column:
-    """Class of a rating; bounds are exclusive, NULL stays NULL."""
-    chain = F.when(rating.isNull(), F.lit(None).cast("string"))
-    for name, bound in CLASS_BOUNDS:
-        chain = chain.when(rating > bound, F.lit(name))
-    return chain.otherwise(F.lit(LOWEST_CLASS))
+    """Class of a rating; bounds are exclusive, no rating is the lowest class."""
+    reached = [F.when(rating > bound, F.lit(name)) for name, bound in CLASS_BOUNDS]
+    return F.coalesce(*reached, F.lit(LOWEST_CLASS))
 
 
 def day(ts: Column | str) -> Column:

@@ -7,23 +7,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side may hold at most this many (narrow) rows.
+# A broadcast side may hold at most this many rows and bytes of text form.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting; beyond the bound no hint is given.
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Broadcast hint only after measuring; beyond the bounds no hint is given.
 
-    The count stops at ``max_rows + 1`` rows.  A larger side is left to a
+    Measuring stops at ``max_rows + 1`` rows.  A larger side is left to a
     shuffled join, which AQE splits when a key is hot.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """left.k <=> right.k for all keys: NULL keys meet each other."""
-    return reduce(
-        lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys)
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    n, n_bytes = (
+        df.limit(max_rows + 1)
+        .agg(F.count(F.lit(1)).alias("n"), size.alias("bytes"))
+        .first()
     )
+    return F.broadcast(df) if n <= max_rows and n_bytes <= max_bytes else df

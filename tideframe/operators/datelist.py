@@ -33,6 +33,22 @@ def datelist_backfill(
     )
 
 
+def datelist_snapshot(
+    events: DataFrame,
+    key: str,
+    list_name: str,
+    as_of: date | Column | None = None,
+    ts: str = "event_time",
+) -> DataFrame:
+    """The one snapshot of ``as_of``, without the days before it."""
+    days = TL.activity_days(events, key, ts)
+    end = X.latest(events, X.day(ts)) if as_of is None else X.as_date(as_of)
+    rows = days.withColumn("date", end).filter("day <= date")
+    return rows.groupBy(key, "date").agg(
+        F.sort_array(F.collect_list("day")).alias(list_name)
+    ).select(key, list_name, "date")
+
+
 def datelist_step(
     prev: DataFrame,
     events: DataFrame,

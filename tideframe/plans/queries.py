@@ -97,7 +97,7 @@ def device_datelist(spark: SparkSession, folder: str) -> DataFrame:
 def device_datelist_step(spark: SparkSession, folder: str) -> DataFrame:
     events = R.web_events(spark, folder)
     name = "device_activity_datelist"
-    before = D.datelist_backfill(events, "device_id", name, DAY_BEFORE)
+    before = D.datelist_snapshot(events, "device_id", name, DAY_BEFORE)
     return flat(D.datelist_step(before, events, "device_id", name, STEP_DAY))
 
 
@@ -130,7 +130,7 @@ def insert_skip_existing(spark: SparkSession, folder: str) -> DataFrame:
     """Devices of the step day that the state of the day before does not hold."""
     events = R.web_events(spark, folder)
     name = "device_activity_datelist"
-    before = D.datelist_backfill(events, "device_id", name, DAY_BEFORE)
+    before = D.datelist_snapshot(events, "device_id", name, DAY_BEFORE)
     now = D.datelist_step(before, events, "device_id", name, STEP_DAY)
     return flat(B.skip_existing(before, now, ["device_id"]))
 
@@ -182,9 +182,7 @@ def host_datelist_int(spark: SparkSession, folder: str) -> DataFrame:
 def _last_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Device date lists of the last day, as the state table holds them."""
     events = R.web_events(spark, folder)
-    last = X.latest(events, X.day("event_time"))
-    state = D.datelist_backfill(events, "device_id", "device_activity_datelist", last)
-    return state.filter(F.col("date") == last)
+    return D.datelist_snapshot(events, "device_id", "device_activity_datelist")
 
 
 @register
@@ -248,15 +246,18 @@ def growth_daily_state(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def growth_yearly_state(spark: SparkSession, folder: str) -> DataFrame:
-    """Order days give years of absence, which the month of events does not."""
+    """Entities per day and yearly state.
+
+    Order days give years of absence, which the month of events does not.
+    """
     orders = parquet_table(spark, folder, "orders").select(
         F.col("o_custkey").alias("player_name"),
         F.to_date("o_orderdate").alias("effective_date"),
     )
     return flat(
         G.growth_backfill(orders)
-        .filter(F.col("date") == F.col("last_active_date"))
-        .select("player_name", "date", "yearly_active_state")
+        .groupBy("date", "yearly_active_state")
+        .agg(F.count(F.lit(1)).alias("entities"))
     )
 
 

@@ -12,14 +12,20 @@ from tideframe.streaming.sinks import BatchWriter
 # Fixed value: time between micro-batches, and so between checkpoints.
 TRIGGER = "10 seconds"
 
+STATE_STORE = (
+    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+)
+
 
 def streaming_session(spark: SparkSession) -> SparkSession:
-    """A session whose session windows are merged before the shuffle.
+    """A session for streams of session windows.
 
-    Events of a hot (ip, host) leave a task as merged sessions; what its one
-    reducer sees is bounded by time and tasks, not by the number of events.
+    Windows are merged before the shuffle: events of a hot (ip, host) leave a
+    task as merged sessions, so what its one reducer sees is bounded by time and
+    tasks, not by the number of events.  State is kept in RocksDB, off the heap.
     """
     own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     own.conf.set("spark.sql.session.timeZone", "UTC")
     own.conf.set(
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
