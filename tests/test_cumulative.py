@@ -126,3 +126,15 @@ def test_large_actor_is_split_and_kept_whole(spark):
 
     assert flat(split) == flat(whole)
     assert rows(split.filter("actorid = 'b'"), "films_part").count((0,)) == 2
+
+
+def test_given_last_year_over_generated_rows(spark):
+    """A literal last year lets Spark prune the generators; none may break."""
+    df = spark.range(200).select(
+        F.lit("n").alias("actor"), (F.col("id") % 7).alias("actorid"),
+        (F.col("id") % 5 + 2000).cast("int").alias("year"),
+        F.col("id").cast("string").alias("film"), F.lit(1).alias("votes"),
+        F.lit(7.5).alias("rating"), F.col("id").cast("string").alias("filmid"),
+    )
+    out = A.actor_backfill(df, 2006)
+    assert out.count() == 7 * 7 and out.filter("quality_class = 'good'").count() == 49

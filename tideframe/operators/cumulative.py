@@ -81,21 +81,26 @@ def actor_attributes(
         .agg(F.sort_array(F.collect_list(F.struct("year", *years.columns[2:]))).alias("active"))
         .withColumn("last_year", last_year)
     )
-    steps = per_actor.select(
-        "actorid", "active", "last_year", F.posexplode("active").alias("pos", "a")
-    ).filter("a.year <= last_year")
-    following = F.get("active", F.col("pos") + 1)["year"] - 1
-    until = F.least(F.coalesce(following, F.col("last_year")), F.col("last_year"))
-    rows = steps.select(
-        "actorid", "a",
-        F.explode(F.sequence(F.col("a.year"), until)).alias("current_year"),
+    # The struct is taken apart before the second generator: nested fields used
+    # on both sides of an explode trip Spark's pruning of generators.
+    steps = (
+        per_actor.select("actorid", "active", "last_year", F.posexplode("active"))
+        .select(
+            "actorid",
+            *[F.col(f"col.{c}").alias(c) for c in ("year", *years.columns[2:])],
+            (F.get("active", F.col("pos") + 1)["year"] - 1).alias("before_next"),
+            "last_year",
+        )
+        .filter("year <= last_year")
     )
-    idle = F.col("current_year") - F.col("a.year")
+    until = F.least(F.coalesce("before_next", "last_year"), "last_year")
+    rows = steps.withColumn("current_year", F.explode(F.sequence("year", until)))
+    idle = F.col("current_year") - F.col("year")
     return rows.select(
         "actorid",
-        *([F.col("a.actor").alias("actor")] if names else []),
-        F.col("a.year").alias("year"),
-        X.quality_class(F.col("a.rating")).alias("quality_class"),
+        *(["actor"] if names else []),
+        "year",
+        X.quality_class(F.col("rating")).alias("quality_class"),
         idle.alias("years_since_film"),
         "current_year",
         (idle == 0).alias("is_active"),
