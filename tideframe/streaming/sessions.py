@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tideframe.operators.sessions import GAP, KEYS
 from tideframe.streaming.sinks import BatchWriter
+from tideframe.streaming.sources import kafka_events, with_watermark
 
 # Fixed value: time between micro-batches, and so between checkpoints.
 TRIGGER = "10 seconds"
@@ -81,6 +82,17 @@ def start_to_batches(
     return writer.start()
 
 
+def start_web_sessions(
+    spark: SparkSession,
+    kafka: dict[str, str],
+    write: BatchWriter,
+    checkpoint: str,
+) -> StreamingQuery:
+    """The whole job: topic to sessions to ``write``, one batch per trigger."""
+    events = kafka_events(streaming_session(spark), kafka)
+    return start_to_batches(session_windows(with_watermark(events)), write, checkpoint)
+
+
 def run(query: StreamingQuery) -> None:
     """Waits for the end; an error of the stream is raised here, not logged."""
     query.awaitTermination()
