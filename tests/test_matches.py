@@ -44,19 +44,18 @@ def test_medals_join_their_own_player_only(spark, roles):
 
 
 def test_reports_do_not_count_medals(spark, roles):
-    played = M.players_in_matches(*roles)
-    assert rows(M.avg_kills_per_player(played)) == [("a", 7.0), ("b", 4.0)]
-    assert rows(M.most_played(played, ["playlist_id"])) == [("ranked", 2), ("social", 1)]
-    assert rows(M.most_played(played, ["mapid", "map_name"])) == [
+    assert rows(M.avg_kills_per_player(*roles)) == [("a", 7.0), ("b", 4.0)]
+    assert rows(M.most_played(*roles, ["playlist_id"])) == [("ranked", 2), ("social", 1)]
+    assert rows(M.most_played(*roles, ["mapid", "map_name"])) == [
         ("x", "Map X", 1), ("y", "Map Y", 2)
     ]
     assert rows(M.killing_sprees(*roles)) == [("x", "Map X", 2), ("y", "Map Y", 1)]
 
 
 def test_reports_are_ranked(spark, roles):
-    ranked = M.avg_kills_per_player(M.players_in_matches(*roles)).collect()
+    ranked = M.avg_kills_per_player(*roles).collect()
     assert [r[0] for r in ranked] == ["a", "b"]
-    local = M.locally_sorted(M.avg_kills_per_player(M.players_in_matches(*roles)), "avg_kills_per_game")
+    local = M.locally_sorted(M.avg_kills_per_player(*roles), "avg_kills_per_game")
     assert rows(local) == [("a", 7.0), ("b", 4.0)]
     assert "rangepartitioning" in plan(local)
 

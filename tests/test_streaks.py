@@ -40,6 +40,14 @@ def season(spark, n=400, seed=1):
     return data, spark.createDataFrame(data, SCHEMA)
 
 
+def tables(df):
+    """Details and games as separate tables."""
+    games = df.select(
+        "game_id", "game_date", "home_team_id", "away_team_id", "home_team_wins"
+    ).distinct()
+    return df.select("game_id", "team_id", "player_id", "pts"), games
+
+
 def brute_wins(data, width):
     games = {}
     for g, day, home, away, won, team, _, _ in data:
@@ -81,6 +89,7 @@ def test_best_team_only(spark):
     wins = brute_wins(data, 90)
     best = min(wins, key=lambda t: (-wins[t], t))
     assert rows(K.rolling_wins(df)) == [(best, wins[best])]
+    assert rows(K.rolling_wins(K.team_lines(*tables(df)))) == [(best, wins[best])]
 
 
 def test_91_wins_count_as_90(spark):
@@ -93,15 +102,16 @@ def test_91_wins_count_as_90(spark):
 
 def test_longest_streak(spark, small_leaves):
     data, df = season(spark, seed=2)
-    assert dict(rows(K.longest_streak(df))) == brute_streaks(data)
+    got = K.longest_streak(*tables(df))
+    assert dict(rows(got)) == brute_streaks(data)
 
 
 def test_streak_of_one_player_by_name(spark):
     data, df = season(spark, seed=3)
     names = spark.createDataFrame([(i, f"p{i}") for i in range(12)], "player_id long, player_name string")
     want = brute_streaks(data)
-    assert rows(K.longest_streak(df, names, "p1")) == [(1, "p1", want[1])]
-    assert dict(rows(K.longest_streak(df, names), "player_id", "longest_streak")) == want
+    assert rows(K.longest_streak(*tables(df), names, "p1")) == [(1, "p1", want[1])]
+    assert dict(rows(K.longest_streak(*tables(df), names), "player_id", "longest_streak")) == want
 
 
 def test_running_totals_read_their_input_once(spark, small_leaves, tmp_path):

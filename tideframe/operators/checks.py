@@ -43,13 +43,18 @@ def freshness(
 
 
 def missing_days(df: DataFrame, ts: str) -> DataFrame:
-    """Days between the first and the last one that have no rows."""
-    days = _daily(df, ts).select("day")
-    span = days.agg(F.min("day").alias("a"), F.max("day").alias("b")).filter("a is not null")
-    calendar = span.select(
-        F.explode(X.days_between(F.col("a"), F.col("b"))).alias("day")
+    """Days between the first and the last one that have no rows.
+
+    The distinct days, at most the calendar's, meet in one row; the table is
+    read once.
+    """
+    present = F.collect_list("day")
+    calendar = X.days_between(F.min("day"), F.max("day"))
+    return (
+        _daily(df, ts)
+        .agg(F.array_except(calendar, present).alias("days"))
+        .select(F.explode("days").alias("day"))
     )
-    return calendar.join(days, "day", "left_anti")
 
 
 def schema_differences(df: DataFrame, declared: T.StructType, table: str) -> DataFrame:

@@ -54,42 +54,49 @@ def _with_part(films: DataFrame, part_films: int) -> tuple[DataFrame, list[str]]
     return parted.select(*films.columns, part.alias("films_part")), ["actorid", "films_part"]
 
 
-def actor_years(films: DataFrame, names: bool = True) -> DataFrame:
+def actor_years(films: DataFrame) -> DataFrame:
     """(actorid, year, rating[, actor]): average rating of the year's films."""
     rating = F.avg("rating").alias("rating")
-    name = [F.max("actor").alias("actor")] if names else []
+    name = [F.max("actor").alias("actor")] if "actor" in films.columns else []
     return films.groupBy("actorid", "year").agg(rating, *name)
 
 
 def actor_attributes(
-    films: DataFrame, last_year: int | Column | None = None, names: bool = True
+    films: DataFrame,
+    last_year: int | Column | None = None,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Snapshots without the films: one narrow row per actor and year.
 
     ``year`` is the year of the latest film, ``current_year`` the snapshot's.
     Idle years repeat the latest class.  The years of an actor are at most the
-    calendar's, so collecting them is bounded.  Without ``names`` the first
-    grouping holds numbers only and hashes instead of sorting.
+    calendar's, so collecting them is bounded.  Names come from the films or,
+    joined once per actor, from ``names``; with neither there is no ``actor``.
     """
-    years = actor_years(films, names)
+    years = actor_years(films)
+    values = years.columns[2:]
     if last_year is None:
         last_year = films.agg(F.max("year").alias("y")).scalar()
     elif isinstance(last_year, int):
         last_year = F.lit(last_year)
-    per_actor = (
-        years.groupBy("actorid")
-        .agg(F.sort_array(F.collect_list(F.struct("year", *years.columns[2:]))).alias("active"))
-        .withColumn("last_year", last_year)
+    per_actor = years.groupBy("actorid").agg(
+        F.sort_array(F.collect_list(F.struct("year", *values))).alias("active")
     )
+    names_joined = []
+    if names is not None:
+        per_actor = per_actor.join(names, "actorid", "left")
+        names_joined = ["actor"]
     # The struct is taken apart before the second generator: nested fields used
     # on both sides of an explode trip Spark's pruning of generators.
     steps = (
-        per_actor.select("actorid", "active", "last_year", F.posexplode("active"))
+        per_actor.withColumn("last_year", last_year)
+        .select("actorid", "active", "last_year", *names_joined, F.posexplode("active"))
         .select(
             "actorid",
-            *[F.col(f"col.{c}").alias(c) for c in ("year", *years.columns[2:])],
+            *[F.col(f"col.{c}").alias(c) for c in ("year", *values)],
             (F.get("active", F.col("pos") + 1)["year"] - 1).alias("before_next"),
             "last_year",
+            *names_joined,
         )
         .filter("year <= last_year")
     )
@@ -98,7 +105,7 @@ def actor_attributes(
     idle = F.col("current_year") - F.col("year")
     return rows.select(
         "actorid",
-        *(["actor"] if names else []),
+        *[c for c in rows.columns if c == "actor"],
         "year",
         X.quality_class(F.col("rating")).alias("quality_class"),
         idle.alias("years_since_film"),
@@ -111,13 +118,14 @@ def actor_backfill(
     films: DataFrame,
     last_year: int | Column | None = None,
     part_films: int = PART_FILMS,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """All snapshots up to ``last_year`` in one pass.
 
     When no actor is large the films are shuffled once, by actor, and the join
     with the attributes needs no further shuffle.
     """
-    attributes = actor_attributes(films, last_year)
+    attributes = actor_attributes(films, last_year, names)
     parted, keys = _with_part(films, part_films)
     parts = parted.groupBy(*keys).agg(_sorted_films(by_year=True).alias("all_films"))
     if "films_part" not in keys:
@@ -133,7 +141,11 @@ def actor_backfill(
 
 
 def actor_step(
-    prev: DataFrame, films: DataFrame, year: int, part_films: int = PART_FILMS
+    prev: DataFrame,
+    films: DataFrame,
+    year: int,
+    part_films: int = PART_FILMS,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Snapshot of ``year`` from the snapshot of the year before.
 
@@ -146,7 +158,10 @@ def actor_step(
         *[F.col(c).alias(f"old_{c}") for c in ATTRIBUTES],
     )
     today, _ = _with_part(films.filter(F.col("year") == year), part_films)
-    attributes = actor_years(today).select(
+    seen_today = actor_years(today)
+    if names is not None:
+        seen_today = seen_today.join(names, "actorid", "left")
+    attributes = seen_today.select(
         "actorid", F.col("actor").alias("new_actor"), "rating", F.lit(True).alias("seen")
     )
     new = today.groupBy("actorid", "films_part").agg(

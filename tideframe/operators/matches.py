@@ -121,25 +121,27 @@ def bucketed_match_join(
     )
 
 
-def players_in_matches(
-    matches: DataFrame, details: DataFrame, medals: DataFrame, maps: DataFrame
-) -> DataFrame:
-    """One row per match and player that the full join keeps.
+def _awarded(details: DataFrame, medals: DataFrame) -> DataFrame:
+    """Details of the players with a medal in the match.
 
     Medals only decide whether a player counts, so their keys are made distinct
-    first: a semi join over them never multiplies rows, however many medals a
-    player has.
+    first: the semi join never multiplies rows, however many medals a player has.
     """
-    awarded = medals.select(*PLAYER_KEY).distinct()
-    return (
-        details.join(awarded, PLAYER_KEY, "left_semi")
-        .join(matches, "match_id")
-        .join(broadcast_if_small(maps), "mapid")
-        .withColumnRenamed("name", "map_name")
+    return details.join(medals.select(*PLAYER_KEY).distinct(), PLAYER_KEY, "left_semi")
+
+
+def _on_known_maps(matches: DataFrame, maps: DataFrame) -> DataFrame:
+    return matches.join(broadcast_if_small(maps), "mapid").withColumnRenamed(
+        "name", "map_name"
     )
 
 
-def avg_kills_per_player(played: DataFrame) -> DataFrame:
+def avg_kills_per_player(
+    matches: DataFrame, details: DataFrame, medals: DataFrame, maps: DataFrame
+) -> DataFrame:
+    """Average kills per match, over the players the full join keeps."""
+    known = _on_known_maps(matches, maps).select("match_id")
+    played = _awarded(details, medals).join(known, "match_id", "left_semi")
     return _ranked(
         played.groupBy("player_gamertag").agg(
             F.avg("player_total_kills").alias("avg_kills_per_game")
@@ -148,10 +150,20 @@ def avg_kills_per_player(played: DataFrame) -> DataFrame:
     )
 
 
-def most_played(played: DataFrame, by: list[str]) -> DataFrame:
-    """Matches per playlist or map, most played first."""
+def most_played(
+    matches: DataFrame, details: DataFrame, medals: DataFrame, maps: DataFrame, by: list[str]
+) -> DataFrame:
+    """Matches per playlist or map, most played first.
+
+    Only matches the full join keeps are counted; their ids are made distinct
+    before the join, so a match with very many players joins as one row.
+    """
+    ids = _awarded(details, medals).select("match_id").distinct()
     return _ranked(
-        played.groupBy(*by).agg(F.count_distinct("match_id").alias("matches_played")),
+        _on_known_maps(matches, maps)
+        .join(ids, "match_id", "left_semi")
+        .groupBy(*by)
+        .agg(F.count_distinct("match_id").alias("matches_played")),
         "matches_played",
     )
 
@@ -165,14 +177,19 @@ def killing_sprees(
 ) -> DataFrame:
     """Killing-spree medals per map; a map played without any shows 0.
 
-    Medals are counted per match and player before any join.
+    Medals are counted per match and player, and then per match, before the
+    join with matches.
     """
-    sprees = medals.groupBy(*PLAYER_KEY).agg(
+    per_player = medals.groupBy(*PLAYER_KEY).agg(
         F.count_if(F.col("medal_type") == medal).alias("sprees")
     )
+    per_match = (
+        per_player.join(details, PLAYER_KEY, "left_semi")
+        .groupBy("match_id")
+        .agg(F.sum("sprees").alias("sprees"))
+    )
     per_map = (
-        sprees.join(details, PLAYER_KEY, "left_semi")
-        .join(matches.select("match_id", "mapid"), "match_id")
+        per_match.join(matches, "match_id")
         .groupBy("mapid")
         .agg(F.sum("sprees").alias("total_killing_spree_medals"))
     )

@@ -12,11 +12,20 @@ STRETCH_GAMES = 90
 STREAK_POINTS = 10
 
 
+def team_lines(details: DataFrame, games: DataFrame) -> DataFrame:
+    """Teams with their games, from details with one row per player.
+
+    Pairs are made distinct before the join, so a game with very many details
+    joins as one row per team.
+    """
+    return details.select("game_id", "team_id").distinct().join(games, "game_id")
+
+
 def team_games(lines: DataFrame) -> DataFrame:
     """One row per team and game: (team_id, game_date, game_id, win).
 
-    Lines hold one row per player; the grouping removes them with map-side
-    combine.
+    Lines may hold several rows per team and game; the grouping removes them
+    with map-side combine.
     """
     home = (F.col("team_id") == F.col("home_team_id")) & (F.col("home_team_wins") == 1)
     away = (F.col("team_id") == F.col("away_team_id")) & (F.col("home_team_wins") == 0)
@@ -92,7 +101,8 @@ def _join_runs(parts: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def longest_streak(
-    lines: DataFrame,
+    details: DataFrame,
+    games: DataFrame,
     players: DataFrame | None = None,
     player_name: str | None = None,
     points: float = STREAK_POINTS,
@@ -100,29 +110,31 @@ def longest_streak(
     """Longest run of games with more than ``points`` points, per player.
 
     A game counts once per player, with the player's points in it; no points
-    is a miss.  Games are ordered by date and id.  Runs are joined within a
+    is a miss.  Points are summed before the join with games, of which only the
+    date is needed.  Games are ordered by date and id.  Runs are joined within a
     range of ids of a day, then within the day, then over the days, so that no
     task ever holds all games of a player.
     """
-    by = "player_id" if "player_id" in lines.columns else "player_name"
+    by = "player_id" if "player_id" in details.columns else "player_name"
     if player_name is not None:
         if players is None:
-            lines = lines.filter(F.col("player_name") == player_name)
+            details = details.filter(F.col("player_name") == player_name)
         else:
             wanted = players.filter(F.col("player_name") == player_name)
-            lines = lines.join(wanted.select("player_id"), "player_id", "left_semi")
+            details = details.join(wanted.select("player_id"), "player_id", "left_semi")
     hit = F.when(F.col("pts") > points, 1).otherwise(0).cast("bigint")
-    games = (
-        lines.filter(F.col(by).isNotNull())
-        .groupBy(by, "game_date", "game_id")
+    scores = (
+        details.filter(F.col(by).isNotNull())
+        .groupBy(by, "game_id")
         .agg(F.sum("pts").alias("pts"))
+        .join(games.select("game_id", "game_date"), "game_id")
         .select(
             by, "game_date", O.id_range("game_id").alias("ids"), "game_id",
             (1 - hit).alias("misses"),
             *[hit.alias(c) for c in ("head", "tail", "best")],
         )
     )
-    runs = _join_runs(games, [by, "game_date", "ids"], "game_id")
+    runs = _join_runs(scores, [by, "game_date", "ids"], "game_id")
     runs = _join_runs(runs, [by, "game_date"], "ids")
     longest = (
         _join_runs(runs, [by], "game_date")

@@ -27,7 +27,7 @@ from tideframe.operators import streaks as K
 from tideframe.operators import tables as B
 from tideframe.plans.present import films_text, flat
 from tideframe.schemas import INPUTS, QUALITY_CLASSES
-from tideframe.session import work_folder
+from tideframe.session import tune, work_folder
 from tideframe.sources import roles as R
 from tideframe.sources.tables import parquet_table
 from tideframe.streaming import sessions as SS
@@ -45,7 +45,10 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(f: Query) -> Query:
-    QUERIES[f.__name__] = f
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return f(tune(spark), folder)
+
+    QUERIES[f.__name__] = run
     return f
 
 
@@ -64,20 +67,25 @@ def _last_year(spark: SparkSession, folder: str) -> Column:
 
 def _attributes(spark: SparkSession, folder: str) -> DataFrame:
     films = R.actor_films(spark, folder)
-    return A.actor_attributes(films, _last_year(spark, folder), names=False)
+    return A.actor_attributes(films, _last_year(spark, folder))
 
 
 @register
 def actor_cumulative(spark: SparkSession, folder: str) -> DataFrame:
     films = R.actor_films(spark, folder)
-    return _with_film_text(A.actor_backfill(films, _last_year(spark, folder)))
+    names = R.actor_names(spark, folder)
+    return _with_film_text(
+        A.actor_backfill(films, _last_year(spark, folder), names=names)
+    )
 
 
 @register
 def actor_cumulative_step(spark: SparkSession, folder: str) -> DataFrame:
     films = R.actor_films(spark, folder)
-    before = A.actor_backfill(films.filter(F.col("year") < STEP_YEAR), STEP_YEAR - 1)
-    return _with_film_text(A.actor_step(before, films, STEP_YEAR))
+    names = R.actor_names(spark, folder)
+    earlier = films.filter(F.col("year") < STEP_YEAR)
+    before = A.actor_backfill(earlier, STEP_YEAR - 1, names=names)
+    return _with_film_text(A.actor_step(before, films, STEP_YEAR, names=names))
 
 
 @register
@@ -277,17 +285,19 @@ def growth_latest_activity(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def rolling_90_wins(spark: SparkSession, folder: str) -> DataFrame:
-    return K.rolling_wins(R.game_lines(spark, folder))
+    return K.rolling_wins(R.game_sides(spark, folder))
 
 
 @register
 def rolling_90_wins_by_team(spark: SparkSession, folder: str) -> DataFrame:
-    return K.rolling_wins(R.game_lines(spark, folder), n=None)
+    return K.rolling_wins(R.game_sides(spark, folder), n=None)
 
 
 @register
 def longest_streak(spark: SparkSession, folder: str) -> DataFrame:
-    return K.longest_streak(R.game_lines(spark, folder), R.players(spark, folder))
+    return K.longest_streak(
+        R.player_scores(spark, folder), R.game_days(spark, folder), R.players(spark, folder)
+    )
 
 
 # --- matches -------------------------------------------------------------------------
@@ -332,23 +342,19 @@ def joined_matches_sink(spark: SparkSession, folder: str) -> DataFrame:
     return flat(M.write_bucketed(joined, name, out, partition_by="completion_year"))
 
 
-def _played(spark: SparkSession, folder: str) -> DataFrame:
-    return M.players_in_matches(*_match_roles(spark, folder))
-
-
 @register
 def avg_kills_per_player(spark: SparkSession, folder: str) -> DataFrame:
-    return M.avg_kills_per_player(_played(spark, folder))
+    return M.avg_kills_per_player(*_match_roles(spark, folder))
 
 
 @register
 def most_played_playlist(spark: SparkSession, folder: str) -> DataFrame:
-    return M.most_played(_played(spark, folder), ["playlist_id"])
+    return M.most_played(*_match_roles(spark, folder), ["playlist_id"])
 
 
 @register
 def most_played_map(spark: SparkSession, folder: str) -> DataFrame:
-    return M.most_played(_played(spark, folder), ["mapid", "map_name"])
+    return M.most_played(*_match_roles(spark, folder), ["mapid", "map_name"])
 
 
 @register
@@ -359,24 +365,21 @@ def map_killing_sprees(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def sorted_aggregates(spark: SparkSession, folder: str) -> DataFrame:
     """The three reports in a layout for writing, sorted within files."""
-    played = _played(spark, folder)
-    kills = M.locally_sorted(M.avg_kills_per_player(played), "avg_kills_per_game")
-    lists = M.locally_sorted(M.most_played(played, ["playlist_id"]), "matches_played")
-    sprees = M.locally_sorted(
-        map_killing_sprees(spark, folder), "total_killing_spree_medals"
-    )
 
     def row(df: DataFrame, report: str, key: str, value: str) -> DataFrame:
-        return df.select(
+        return M.locally_sorted(df, value).select(
             F.lit(report).alias("report"), F.col(key).cast("string").alias("entry"),
             F.col(value).cast("double").alias("value"),
         )
 
     return C.all_of(
         [
-            row(kills, "avg_kills", "player_gamertag", "avg_kills_per_game"),
-            row(lists, "most_played_playlist", "playlist_id", "matches_played"),
-            row(sprees, "killing_sprees", "mapid", "total_killing_spree_medals"),
+            row(avg_kills_per_player(spark, folder), "avg_kills",
+                "player_gamertag", "avg_kills_per_game"),
+            row(most_played_playlist(spark, folder), "most_played_playlist",
+                "playlist_id", "matches_played"),
+            row(map_killing_sprees(spark, folder), "killing_sprees",
+                "mapid", "total_killing_spree_medals"),
         ]
     )
 

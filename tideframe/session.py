@@ -7,12 +7,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.ansi.enabled": "true",
+# What the plans count on; runtime settings, see tune().
+ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key also where the grouping above the join would reuse
+    # its partitioning; the extra shuffle is cheaper than one endless task.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+DEFAULTS = {
+    **ADAPTIVE,
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     # Map-side merge of session windows, so that one hot (ip, host) reaches
     # its reducer as a few pre-merged sessions per map task.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
@@ -43,6 +51,13 @@ def build_session(
     return b.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Turns on adaptive execution and skew splitting in a session made elsewhere."""
+    for k, v in ADAPTIVE.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for tables and stream checkpoints of one run.
 

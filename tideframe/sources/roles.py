@@ -15,13 +15,9 @@ from tideframe.sources.tables import parquet_table
 
 
 def actor_films(spark: SparkSession, folder: str) -> DataFrame:
-    orders = parquet_table(spark, folder, "orders")
-    customer = parquet_table(spark, folder, "customer")
+    """Films without the actor's name, which ``actor_names`` holds once."""
     key = F.col("o_orderkey")
-    return orders.join(
-        customer, orders["o_custkey"] == customer["c_custkey"]
-    ).select(
-        F.col("c_name").alias("actor"),
+    return parquet_table(spark, folder, "orders").select(
         F.col("o_custkey").alias("actorid"),
         F.year("o_orderdate").alias("year"),
         F.concat(F.lit("order-"), key.cast("string")).alias("film"),
@@ -31,6 +27,12 @@ def actor_films(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def actor_names(spark: SparkSession, folder: str) -> DataFrame:
+    return parquet_table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("actorid"), F.col("c_name").alias("actor")
+    )
+
+
 def web_events(spark: SparkSession, folder: str) -> DataFrame:
     return parquet_table(spark, folder, "events").select(
         F.col("user_id").alias("device_id"),
@@ -65,6 +67,33 @@ def games(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def game_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Games where only their date matters: no join."""
+    return parquet_table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("game_id"), F.to_date("o_orderdate").alias("game_date")
+    )
+
+
+def player_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Details where only the player matters: no join."""
+    return parquet_table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("game_id"),
+        F.col("l_partkey").alias("player_id"),
+        F.col("l_quantity").alias("pts"),
+    )
+
+
+def _with_team(lines: DataFrame, games: DataFrame) -> DataFrame:
+    return (
+        lines.join(games, "game_id")
+        .withColumn(
+            "team_id",
+            F.when(F.col("at_home"), F.col("home_team_id")).otherwise(F.col("away_team_id")),
+        )
+        .drop("at_home")
+    )
+
+
 def game_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Details joined with their games, one row per detail; players by id."""
     lines = parquet_table(spark, folder, "lineitem").select(
@@ -73,12 +102,21 @@ def game_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_quantity").alias("pts"),
         (F.col("l_linenumber") % 2 == 1).alias("at_home"),
     )
-    return lines.join(games(spark, folder), "game_id").select(
-        "*",
-        F.when(F.col("at_home"), F.col("home_team_id"))
-        .otherwise(F.col("away_team_id"))
-        .alias("team_id"),
-    ).drop("at_home")
+    return _with_team(lines, games(spark, folder))
+
+
+def game_sides(spark: SparkSession, folder: str) -> DataFrame:
+    """Teams with their games: sides are made distinct before the join, so a
+    game with very many details joins as two rows."""
+    sides = (
+        parquet_table(spark, folder, "lineitem")
+        .select(
+            F.col("l_orderkey").alias("game_id"),
+            (F.col("l_linenumber") % 2 == 1).alias("at_home"),
+        )
+        .distinct()
+    )
+    return _with_team(sides, games(spark, folder))
 
 
 def players(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,27 +189,28 @@ def user_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_profit(spark: SparkSession, folder: str) -> DataFrame:
-    """(segment, month, profit) per order.
+    """(segment, month, profit) per customer and month.
 
-    Line amounts are summed per order before the joins: a hot order leaves each
-    map task as one row, and the second join moves one row per order.
+    Amounts are summed per order before the join with orders and per customer
+    and month before the join with customers: hot orders and customers leave
+    each map task as a few rows.
     """
     amount = F.col("l_extendedprice").cast("decimal(18,2)") * (
         F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
     )
     per_order = (
         parquet_table(spark, folder, "lineitem")
-        .groupBy("l_orderkey")
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.sum(amount).alias("profit"))
     )
-    orders = parquet_table(spark, folder, "orders")
-    customer = parquet_table(spark, folder, "customer")
-    return (
-        per_order.join(orders, per_order["l_orderkey"] == orders["o_orderkey"])
-        .join(customer, orders["o_custkey"] == customer["c_custkey"])
-        .select(
-            F.col("c_mktsegment").alias("segment"),
+    per_customer = (
+        per_order.join(parquet_table(spark, folder, "orders"), "o_orderkey")
+        .groupBy(
+            F.col("o_custkey").alias("c_custkey"),
             F.trunc(F.to_date("o_orderdate"), "MM").alias("month"),
-            "profit",
         )
+        .agg(F.sum("profit").alias("profit"))
+    )
+    return per_customer.join(parquet_table(spark, folder, "customer"), "c_custkey").select(
+        F.col("c_mktsegment").alias("segment"), "month", "profit"
     )
