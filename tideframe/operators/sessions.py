@@ -25,7 +25,7 @@ def session_hits(events: DataFrame, gap: str = GAP, ts: str = "event_time") -> D
     gap_length = F.expr(f"interval {gap}")
     slots = (
         events.filter(F.col(ts).isNotNull())
-        .groupBy(*KEYS, F.window(ts, gap).alias("slot"))
+        .groupBy(*KEYS, F.window(ts, gap)["start"].alias("slot"))
         .agg(
             F.min(ts).alias("first_ts"),
             F.max(ts).alias("last_ts"),

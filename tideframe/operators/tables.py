@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Up to this many partition values are written into the filter of an upsert.
+LISTED_PARTITIONS = 1_000
 
 
 def skip_existing(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -17,9 +21,14 @@ def keyed_upsert(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFram
 
 
 def write_snapshot(df: DataFrame, path: str, partition: str) -> None:
-    """Replaces only the partitions present in ``df``; a rerun is harmless."""
+    """Replaces only the partitions present in ``df``; a rerun is harmless.
+
+    Rows are rebalanced by partition value: few files for a small partition,
+    several tasks for a large one.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", F.col(partition))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
@@ -49,7 +58,12 @@ def upsert_partitions(
     the partitions dynamically.
     """
     target = spark.read.schema(new.schema).parquet(path)
-    touched = target.join(new.select(partition).distinct(), partition, "left_semi")
+    found = new.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()
+    if len(found) <= LISTED_PARTITIONS:
+        # literal values prune the scan to the touched folders
+        touched = target.filter(F.col(partition).isin([r[0] for r in found]))
+    else:
+        touched = target.join(new.select(partition).distinct(), partition, "left_semi")
     write_snapshot(keyed_upsert(touched, new, keys), staging, partition)
     write_snapshot(spark.read.schema(new.schema).parquet(staging), path, partition)
 
