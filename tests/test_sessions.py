@@ -75,3 +75,14 @@ def test_hits_per_session(spark):
         "host string, session_id string",
     )
     assert rows(W.hits_per_session_id(hits)) == [("h", 2.0), ("none", None)]
+
+
+def test_events_carry_their_session(spark):
+    df = spark.createDataFrame(
+        [("a", "h", T0), ("a", "h", T0 + GAP), ("a", "h", T0 + 3 * GAP), ("a", None, T0)], SCHEMA
+    )
+    got = W.with_session_id(df).select("event_time", "host", "session_id.session_start")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(
+        [(T0, "h", T0), (T0 + GAP, "h", T0), (T0 + 3 * GAP, "h", T0 + 3 * GAP), (T0, None, T0)],
+        key=str,
+    )

@@ -27,3 +27,10 @@ def broadcast_if_small(
         .first()
     )
     return F.broadcast(df) if n <= max_rows and n_bytes <= max_bytes else df
+
+
+def null_safe(pairs: dict[str, str]) -> Column:
+    """left <=> right for each pair of column names: NULL meets NULL."""
+    return reduce(
+        lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(v)) for k, v in pairs.items())
+    )

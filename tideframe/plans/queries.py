@@ -397,6 +397,12 @@ def hits_per_session_host(spark: SparkSession, folder: str) -> DataFrame:
     return W.hits_per_session(W.session_hits(R.web_events(spark, folder)))
 
 
+@register
+def hits_per_session_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from single events that carry the id of their session."""
+    return W.hits_per_session_id(W.with_session_id(R.web_events(spark, folder)))
+
+
 @register
 def stream_session_hits(spark: SparkSession, folder: str) -> DataFrame:
     """Runs the stream over the events file to its end and reads the sink."""
