@@ -1,0 +1,80 @@
+"""Operator outputs have the declared schemas; CSV inputs read with them join."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+from tests.conftest import rows
+from tideframe import schemas as SC
+from tideframe.operators import cumulative, datelist, growth, matches, month_array, scd, sessions
+from tideframe.sources.tables import csv_table
+
+
+def shape(schema):
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
+@pytest.fixture
+def events(spark):
+    return spark.createDataFrame(
+        [("1", "1", "h", datetime(2024, 1, 1))],
+        "device_id string, ip string, host string, event_time timestamp",
+    )
+
+
+def test_outputs(spark, events):
+    films = spark.createDataFrame([("A", "a", 2000, "f", 1, 9.0, "f1")], SC.ACTOR_FILMS)
+    actors = cumulative.actor_backfill(films)
+    history = scd.stamp(scd.scd2_backfill(actors), 2000)
+    days = spark.createDataFrame([("p", date(2024, 1, 1))], "player_name string, effective_date date")
+    players = growth.growth_backfill(days).select(*SC.PLAYERS.fieldNames())
+    for df, declared in [
+        (actors, SC.ACTORS),
+        (history, SC.ACTORS_HISTORY),
+        (datelist.datelist_backfill(events, "device_id", "device_activity_datelist"),
+         SC.USER_DEVICES_CUMULATED),
+        (datelist.datelist_backfill(events, "host", "host_activity_datelist"), SC.HOSTS_CUMULATED),
+        (month_array.host_month_array(events), SC.HOST_ACTIVITY_REDUCED),
+        (players, SC.PLAYERS),
+        (sessions.session_hits(events), SC.SESSIONS),
+    ]:
+        assert shape(df.schema) == shape(declared)
+
+
+CSV = {
+    "matches": (SC.MATCHES, "match_id,is_team_game,playlist_id,completion_date,mapid\n"
+                            "m1,true,p,2016-01-02,x\nm2,false,q,2016-01-03,y\n"),
+    "match_details": (SC.MATCH_DETAILS,
+                      "match_id,player_gamertag,player_total_kills,player_total_deaths\n"
+                      "m1,a,10,1\nm2,a,20,2\n"),
+    "medals_matches_players": (SC.MEDALS_MATCHES_PLAYERS,
+                               "match_id,player_gamertag,medal_type\n"
+                               "m1,a,Killing Spree\nm1,a,Killing Spree\nm2,a,Other\n"),
+    "maps": (SC.MAPS, "mapid,name\nx,Map X\ny,Map Y\n"),
+}
+
+
+def test_match_reports_from_csv(spark, tmp_path):
+    tables = []
+    for name, (schema, text) in CSV.items():
+        path = tmp_path / f"{name}.csv"
+        path.write_text(text)
+        tables.append(csv_table(spark, str(path), schema))
+        assert shape(tables[-1].schema) == shape(schema)
+    assert rows(matches.avg_kills_per_player(*tables)) == [("a", 15.0)]
+    assert rows(matches.killing_sprees(*tables)) == [("x", "Map X", 2), ("y", "Map Y", 0)]
+    assert matches.match_join(*tables).count() == 3
+
+
+def test_csv_refuses_other_headers_and_bad_values(spark, tmp_path):
+    for text in ["name,mapid\nMap X,x\n", "medal_id\n1\n"]:
+        (tmp_path / "bad.csv").write_text(text)
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            csv_table(spark, str(tmp_path / "bad.csv"), SC.MAPS).collect()
+    (tmp_path / "d.csv").write_text(CSV["match_details"][1] + "m3,a,many,1\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        csv_table(spark, str(tmp_path / "d.csv"), SC.MATCH_DETAILS).collect()
