@@ -98,3 +98,20 @@ def test_backfill_ignores_events_after_as_of(spark):
     out = D.datelist_backfill(ev, "device_id", NAME, DAY - timedelta(days=1))
     d = DAY - timedelta(days=2)
     assert rows(out) == [("a", (d,), d), ("a", (d,), d + timedelta(days=1))]
+
+
+def test_step_reads_one_snapshot_and_one_day(spark, tmp_path):
+    ev = events(spark, *[("a", n) for n in range(5)], ("b", 3))
+    ev.write.parquet(str(tmp_path / "events"))
+    D.datelist_backfill(ev, "device_id", NAME).write.partitionBy("date").parquet(
+        str(tmp_path / "state")
+    )
+    state = spark.read.parquet(str(tmp_path / "state"))
+    out = D.datelist_step(
+        state, spark.read.parquet(str(tmp_path / "events")), "device_id", NAME, DAY
+    )
+    p = plan(out)
+    assert "PartitionFilters: [isnotnull(date" in p and "2024-02-09" in p
+    assert "GreaterThanOrEqual(event_time,2024-02-10T00:00)" in p
+    assert "LessThan(event_time,2024" in p
+    assert rows(out, "device_id") == [("a",), ("b",)]

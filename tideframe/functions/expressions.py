@@ -47,6 +47,18 @@ def as_date(value: date | str | Column) -> Column:
     return value if isinstance(value, Column) else F.to_date(F.lit(str(value)))
 
 
+def on_day(ts: str, d: Column) -> Column:
+    """Times within day ``d``, as a range that reaches the scan."""
+    return (F.col(ts) >= d) & (F.col(ts) < F.date_add(d, 1))
+
+
+def up_to(df: DataFrame, ts: str, as_of: date | str | Column | None) -> DataFrame:
+    """Rows up to the end of day ``as_of``; all rows when it is not given."""
+    if as_of is None or isinstance(as_of, Column):
+        return df
+    return df.filter(F.col(ts) < F.date_add(as_date(as_of), 1))
+
+
 def latest(df: DataFrame, d: Column) -> Column:
     """The last day in ``df`` as a scalar subquery: one value, one narrow scan."""
     return df.agg(F.max(d).alias("latest")).scalar()

@@ -35,9 +35,9 @@ def _sorted_films(by_year: bool) -> Column:
 def _with_part(films: DataFrame, part_films: int) -> tuple[DataFrame, list[str]]:
     """Adds films_part: 0, or a hash of filmid where (actor, year) is large.
 
-    Also returns the columns that tell arrays apart.
-    The count reads two columns and combines on the map side.  Only the large
-    groups take part in the join; there is none when no group is large.
+    Also returns the columns that tell arrays apart: without a large group, the
+    actor alone.  The count reads two columns and combines on the map side; the
+    join takes only the large groups, and is left out when there is none.
     """
     large = (
         films.groupBy("actorid", "year")

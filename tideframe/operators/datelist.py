@@ -23,7 +23,7 @@ def datelist_backfill(
     Rows with a NULL key are dropped; an idle entity is carried with its list
     unchanged.  The shuffles move distinct (key, day) pairs, not events.
     """
-    days = TL.activity_days(events, key, ts)
+    days = TL.activity_days(X.up_to(events, ts, as_of), key, ts)
     end = X.latest(days, F.col("day")) if as_of is None else X.as_date(as_of)
     grid = TL.timeline(TL.date_lists(days, key), key, end)
     return grid.select(
@@ -41,7 +41,7 @@ def datelist_snapshot(
     ts: str = "event_time",
 ) -> DataFrame:
     """The one snapshot of ``as_of``, without the days before it."""
-    days = TL.activity_days(events, key, ts)
+    days = TL.activity_days(X.up_to(events, ts, as_of), key, ts)
     end = X.latest(events, X.day(ts)) if as_of is None else X.as_date(as_of)
     rows = days.withColumn("date", end).filter("day <= date")
     return rows.groupBy(key, "date").agg(
@@ -65,7 +65,7 @@ def datelist_step(
     today = X.as_date(d)
     y = prev.filter(F.col("date") == F.date_sub(today, 1)).select(key, list_name)
     t = (
-        TL.activity_days(events.filter(X.day(ts) == today), key, ts)
+        TL.activity_days(events.filter(X.on_day(ts, today)), key, ts)
         .withColumnRenamed("day", "active_on")
     )
     old = F.coalesce(F.col(list_name), F.array().cast("array<date>"))
@@ -98,7 +98,7 @@ def activity_bits(
     with map-side combine: one shuffle of at most one row per entity and map
     task, whatever the skew.  Entities idle for 32 days keep a zero string.
     """
-    days = events.select(key, X.day(ts).alias("day")).filter(
+    days = X.up_to(events, ts, as_of).select(key, X.day(ts).alias("day")).filter(
         F.col(key).isNotNull() & F.col("day").isNotNull()
     )
     end = X.latest(days, F.col("day")) if as_of is None else X.as_date(as_of)

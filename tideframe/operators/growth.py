@@ -43,7 +43,7 @@ def growth_backfill(
     day_col: str = "effective_date",
 ) -> DataFrame:
     """Every snapshot up to ``as_of`` with daily and yearly state."""
-    days = TL.activity_days(activity, NAME, day_col)
+    days = TL.activity_days(X.up_to(activity, day_col, as_of), NAME, day_col)
     end = X.latest(days, F.col("day")) if as_of is None else X.as_date(as_of)
     grid = TL.timeline(TL.date_lists(days, NAME), NAME, end)
     d = F.col("snapshot")
@@ -75,7 +75,7 @@ def growth_step(
         )
     )
     t = TL.activity_days(
-        activity.filter(X.day(day_col) == today), NAME, day_col
+        activity.filter(X.on_day(day_col, today)), NAME, day_col
     ).withColumnRenamed("day", "active_on")
     is_new = F.col("known").isNull()
     on, last = F.col("active_on"), F.col("last_active_date")

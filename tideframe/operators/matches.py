@@ -96,7 +96,7 @@ def bucketed_match_join(
     used only while no match holds more rows than an average bucket; with a
     hotter match the same join runs shuffled, where AQE splits it.
     """
-    if hottest_share(medals, "match_id") > 1 / buckets:
+    if max(hottest_share(t, "match_id") for t in (medals, details)) > 1 / buckets:
         return match_join(matches, details, medals, maps)
     for name, df, part in [
         ("matches", matches, partition_by),

@@ -34,7 +34,7 @@ def host_month_array(
     at ``as_of`` or at the end of the month.  A host has no row for a month in
     which it was never seen.
     """
-    hits = daily_hits(events, ts)
+    hits = daily_hits(X.up_to(events, ts, as_of), ts)
     end = X.latest(hits, F.col("day")) if as_of is None else X.as_date(as_of)
     month = (
         hits.withColumn("as_of", end)
@@ -69,7 +69,7 @@ def host_month_step(
     know the counts in between (use the backfill).
     """
     today = X.as_date(d)
-    t = daily_hits(events.filter(X.day(ts) == today), ts).select("host", "hits")
+    t = daily_hits(events.filter(X.on_day(ts, today)), ts).select("host", "hits")
     y = prev.filter(
         (F.col("month_start") == X.month_start(today))
         & (F.col("metric_name") == SITE_HITS)

@@ -20,14 +20,21 @@ def kafka_options(
     key: str | None = None,
     secret: str | None = None,
     starting: str = "latest",
+    max_offsets: int | None = None,
 ) -> dict[str, str]:
-    """Options of a JSON topic; SASL over TLS when a key is given."""
+    """Options of a JSON topic; SASL over TLS when a key is given.
+
+    ``max_offsets`` bounds the messages of one micro-batch, so that a backlog
+    is worked off in batches of equal size.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": "true",
     }
+    if max_offsets:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
     if group:
         options["kafka.group.id"] = group
     if key:
