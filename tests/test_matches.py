@@ -86,9 +86,12 @@ def test_bucketed_join_has_no_hash_exchange(spark, roles):
     matches = matches.withColumn("completion_year", F.year("completion_date"))
     spread = [(f"g{i}", "p", "Other") for i in range(50)]
     medals = medals.unionByName(spark.createDataFrame(spread, medals.schema))
+    scores = [(g, p, 1, 1) for g, p, _ in spread]
+    details = details.unionByName(spark.createDataFrame(scores, details.schema))
     out = _bucketed(spark, (matches, details, medals, maps), buckets=4, partition_by="completion_year")
     p = plan(out)
     assert "hashpartitioning" not in p and p.count("SortMergeJoin") == 2
+    assert "match_details_bucketed" in p
     assert rows(out) == rows(M.match_join(*roles))
 
 
