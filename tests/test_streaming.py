@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -27,22 +28,50 @@ def at(seconds):
     return T0 + timedelta(seconds=seconds)
 
 
-def run(spark, folder, batches):
-    """Each batch is a file; files are read one per micro-batch, oldest first."""
+def add_files(folder, batches, first=0):
     source = folder / "in"
-    source.mkdir()
-    for i, b in enumerate(batches):
+    source.mkdir(exist_ok=True)
+    for i, b in enumerate(batches, first):
         f = source / f"{i}.json"
         f.write_text("\n".join(message(*m) for m in b))
-        import os
-
         os.utime(f, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+
+
+def start(spark, folder):
+    """Files are read one per micro-batch, oldest first."""
     own = SS.streaming_session(spark)
-    raw = SO.file_stream(own, str(source), SO.WEB_TRAFFIC, "json", files_per_trigger=1)
+    raw = SO.file_stream(own, str(folder / "in"), SO.WEB_TRAFFIC, "json", files_per_trigger=1)
     events = raw.withColumn("window_timestamp", SO.parse_event_time(F.col("event_time")))
     sessions = SS.session_windows(SO.with_watermark(events))
-    SS.run(SS.start_to_files(sessions, str(folder / "out"), str(folder / "cp"), once=True))
-    return own.read.schema(sessions.schema).parquet(str(folder / "out"))
+    query = SS.start_to_files(sessions, str(folder / "out"), str(folder / "cp"), once=True)
+    SS.run(query)
+    return query, own.read.schema(sessions.schema).parquet(str(folder / "out"))
+
+
+def run(spark, folder, batches):
+    add_files(folder, batches)
+    return start(spark, folder)[1]
+
+
+def test_restart_continues_from_the_checkpoint(spark, tmp_path):
+    first = [[("a", "h", at(0))], [("a", "h", at(100)), ("b", "h", at(150))]]
+    then = [[("a", "h", at(300))], [("z", "h", at(9000))]]
+    add_files(tmp_path, first)
+    assert start(spark, tmp_path)[1].count() == 0  # nothing is closed yet
+    add_files(tmp_path, then, first=2)
+    assert rows(start(spark, tmp_path)[1], "ip", "num_hits") == [("a", 3), ("b", 1)]
+    # a third start without new files repeats nothing
+    assert rows(start(spark, tmp_path)[1], "ip", "num_hits") == [("a", 3), ("b", 1)]
+
+
+def test_hot_keys_are_merged_before_the_shuffle(spark, tmp_path, capsys):
+    add_files(tmp_path, [[("a", "h", at(i)) for i in range(50)], [("z", "h", at(9000))]])
+    query, out = start(spark, tmp_path)
+    query.explain()
+    p = capsys.readouterr().out
+    assert p.count("MergingSessions") == 2
+    assert p.rindex("MergingSessions") > p.index("Exchange hashpartitioning")
+    assert rows(out, "ip", "num_hits") == [("a", 50)]
 
 
 def test_closed_sessions_equal_the_batch(spark, tmp_path):
