@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
@@ -54,6 +56,15 @@ def test_bits_of_lists_equal_bits_of_events_and_decode(spark):
     ]
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.dictionaries(st.sampled_from("abcd"), st.sets(st.integers(0, 40), min_size=1), min_size=1))
+def test_bits_decode_to_the_days(spark, ages):
+    ev = events(spark, *[(k, n) for k, ns in ages.items() for n in ns for _ in range(1 + n % 2)])
+    bits = dict(rows(D.activity_bits(ev, "device_id", DAY), "device_id", "datelist_int"))
+    decoded = {k: {i for i, c in enumerate(b) if c == "1"} for k, b in bits.items()}
+    assert decoded == {k: {n for n in ns if n < 32} for k, ns in ages.items()}
+
+
 def test_grid_sums_to_the_bits_without_a_cross_join(spark):
     ev = events(spark, ("a", 0), ("a", 9), ("b", 31))
     snapshot = D.datelist_backfill(ev, "device_id", NAME, DAY).filter(

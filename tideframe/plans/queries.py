@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,9 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(f: Query) -> Query:
+    """Registers ``f``, to be run in a session with adaptive execution on."""
+
+    @wraps(f)
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return f(tune(spark), folder)
 
