@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
 from tideframe.operators import matches as M
+from tideframe.operators.tables import write_bucketed
 from tideframe.session import work_folder
 
 
@@ -113,5 +114,5 @@ def test_rewriting_a_bucketed_table_does_not_double_it(spark, roles):
     path, name = work_folder(spark, "sink"), "sink_" + uuid.uuid4().hex[:8]
     joined = M.match_join(*roles)
     for _ in range(2):
-        out = M.write_bucketed(joined, name, path, buckets=4, partition_by="completion_date")
+        out = write_bucketed(joined, name, path, "match_id", 4, "completion_date")
     assert rows(out, *joined.columns) == rows(joined)

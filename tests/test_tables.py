@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timedelta
 
-from tests.conftest import rows
+from tests.conftest import plan, rows
 from tideframe.operators import tables as B
+from tideframe.operators.datelist import datelist_backfill, datelist_snapshot, datelist_step
 from tideframe.sources.tables import csv_table
 from tideframe.schemas import MAPS
 
@@ -72,3 +74,23 @@ def test_csv_has_declared_types_and_checked_header(spark, tmp_path):
     df = csv_table(spark, str(f), MAPS)
     assert df.schema == MAPS
     assert rows(df) == [("1", "Alpha"), ("2", None)]
+
+
+def test_step_over_a_bucketed_state_does_not_shuffle_the_state(spark, tmp_path):
+    name, key, lists = "state_" + uuid.uuid4().hex[:8], "device_id", "dates"
+    day = [datetime(2024, 2, 1, 8) + timedelta(days=i) for i in range(4)]
+    ev = spark.createDataFrame(
+        [(f"d{i % 20}", day[i % 4]) for i in range(60)] + [("late", day[3])],
+        "device_id string, event_time timestamp_ntz",
+    )
+    first = datelist_snapshot(ev, key, lists, day[1].date())
+    state = B.write_bucketed(first, name, str(tmp_path / "s"), key, 8, "date")
+    for d in (day[2].date(), day[3].date(), day[3].date()):
+        step = datelist_step(spark.table(name), ev, key, lists, d)
+        p = plan(step)
+        state_side = p[p.index("SortMergeJoin"):].split(":- ", 1)[1].split("+- Exchange")[0]
+        assert "FileScan" in state_side and "Bucketed: true" in state_side
+        B.insert_snapshot(step, name, key, 8)
+    want = datelist_backfill(ev, key, lists).filter("date >= date'2024-02-02'")
+    assert rows(spark.table(name), key, lists, "date") == rows(want)
+    assert state.columns == [key, lists, "date"]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.functions.joins import broadcast_if_small
+from tideframe.operators.tables import write_bucketed
 
 # Fixed values.
 KILLING_SPREE = "Killing Spree"
@@ -51,34 +52,6 @@ def hottest_share(df: DataFrame, key: str) -> float:
     return (row["top"] or 0) / row["rows"] if row["rows"] else 0.0
 
 
-def write_bucketed(
-    df: DataFrame,
-    table: str,
-    path: str,
-    key: str = "match_id",
-    buckets: int = BUCKETS,
-    partition_by: str | None = None,
-) -> DataFrame:
-    """Overwrites a bucketed table and reads it back.
-
-    The shuffle uses the hash of the bucketing, so a task holds whole buckets
-    and writes one file per partition value and bucket.  Rebalancing lets AQE
-    spread a bucket with a hot key over several tasks, which adds files to that
-    bucket.  Choose ``buckets`` so that a bucket is about 1 GB.
-    """
-    spark = df.sparkSession
-    writer = (
-        df.hint("rebalance", buckets, F.col(key))
-        .write.mode("overwrite")
-        .format("parquet")
-        .option("path", path)
-    )
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-    return spark.table(table)
-
-
 def bucketed_match_join(
     spark: SparkSession,
     matches: DataFrame,
@@ -105,7 +78,7 @@ def bucketed_match_join(
     ]:
         write_bucketed(
             df, f"{prefix}_{name}_bucketed", f"{folder}/{name}_bucketed",
-            buckets=buckets, partition_by=part,
+            "match_id", buckets, part,
         )
     # Settings of this join only: no automatic broadcast, and buckets of
     # match_id also serve the join on (match_id, player_gamertag).

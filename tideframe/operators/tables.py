@@ -35,6 +35,51 @@ def write_snapshot(df: DataFrame, path: str, partition: str) -> None:
     )
 
 
+def write_bucketed(
+    df: DataFrame,
+    table: str,
+    path: str,
+    key: str,
+    buckets: int,
+    partition_by: str | None = None,
+) -> DataFrame:
+    """Overwrites a bucketed table and reads it back.
+
+    The shuffle uses the hash of the bucketing, so a task holds whole buckets
+    and writes one file per partition value and bucket.  Rebalancing lets AQE
+    spread a bucket with a hot key over several tasks, which adds files to that
+    bucket.  Choose ``buckets`` so that a bucket is about 1 GB.
+    """
+    spark = df.sparkSession
+    writer = (
+        df.hint("rebalance", buckets, F.col(key))
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", path)
+    )
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return spark.table(table)
+
+
+def insert_snapshot(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Adds or replaces the snapshots in ``df`` in a partitioned, bucketed table.
+
+    A step joins the snapshot before it by the key.  With the state bucketed by
+    that key, and at least ``spark.sql.shuffle.partitions`` buckets, only the
+    day's input is shuffled to the join, not the state.
+    """
+    columns = df.sparkSession.table(table).columns
+    (
+        df.select(*columns)
+        .hint("rebalance", buckets, F.col(key))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .insertInto(table)
+    )
+
+
 def insert_missing(
     spark: SparkSession, path: str, new: DataFrame, keys: list[str], partition: str
 ) -> None:

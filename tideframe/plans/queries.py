@@ -343,7 +343,9 @@ def joined_matches_sink(spark: SparkSession, folder: str) -> DataFrame:
     out = work_folder(spark, "joined-matches")
     joined = _yearly(M.match_join(*_match_roles(spark, folder)))
     name = "joined_matches_" + out.rsplit("-", 1)[1]
-    return flat(M.write_bucketed(joined, name, out, partition_by="completion_year"))
+    return flat(
+        B.write_bucketed(joined, name, out, "match_id", M.BUCKETS, "completion_year")
+    )
 
 
 @register
