@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from tests.conftest import plan, rows
 from tideframe.operators import tables as B
 from tideframe.operators.datelist import datelist_backfill, datelist_snapshot, datelist_step
@@ -94,3 +96,22 @@ def test_step_over_a_bucketed_state_does_not_shuffle_the_state(spark, tmp_path):
     want = datelist_backfill(ev, key, lists).filter("date >= date'2024-02-02'")
     assert rows(spark.table(name), key, lists, "date") == rows(want)
     assert state.columns == [key, lists, "date"]
+
+
+def test_hot_bucket_is_written_by_several_tasks(spark, tmp_path):
+    df = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+    try:
+        out = B.write_bucketed(
+            df, "hot_" + uuid.uuid4().hex[:8], str(tmp_path / "t"), "k", 4
+        )
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert out.count() == 400_000
+    buckets = [f.name.rsplit("_", 1)[1][:5] for f in (tmp_path / "t").glob("part-*")]
+    counts = sorted(buckets.count(b) for b in set(buckets))
+    assert len(counts) == 4 and counts[-1] > 2 * counts[0]
