@@ -6,6 +6,8 @@ import json
 import os
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -108,6 +110,16 @@ def test_malformed_time_is_skipped_and_null_host_counts_nothing(spark, tmp_path)
     assert rows(out, "ip", "host", "num_hits") == [("a", None, 0)]
 
 
+def test_error_of_a_stream_is_raised(spark, tmp_path):
+    add_files(tmp_path, [[("a", "h", at(0))]])
+    own = SS.streaming_session(spark)
+    raw = SO.file_stream(own, str(tmp_path / "in"), SO.WEB_TRAFFIC, "json")
+    broken = raw.select(F.raise_error(F.lit("broken row")).cast("string").alias("x"))
+    query = SS.start_to_files(broken, str(tmp_path / "out"), str(tmp_path / "cp"), once=True)
+    with pytest.raises(StreamingQueryException, match="broken row"):
+        SS.run(query)
+
+
 def test_messages_are_parsed(spark):
     df = spark.createDataFrame(
         [(message("1", "h", "2024-01-02T03:04:05.678Z"),), ("no json",)], "value string"
