@@ -54,11 +54,15 @@ def _with_part(films: DataFrame, part_films: int) -> tuple[DataFrame, list[str]]
     return parted.select(*films.columns, part.alias("films_part")), ["actorid", "films_part"]
 
 
-def actor_years(films: DataFrame) -> DataFrame:
-    """(actorid, year, rating[, actor]): average rating of the year's films."""
-    rating = F.avg("rating").alias("rating")
+def _year_values(films: DataFrame) -> list[Column]:
+    """What a year's films say about the actor: average rating and, if there, name."""
     name = [F.max("actor").alias("actor")] if "actor" in films.columns else []
-    return films.groupBy("actorid", "year").agg(rating, *name)
+    return [F.avg("rating").alias("rating"), *name]
+
+
+def actor_years(films: DataFrame) -> DataFrame:
+    """(actorid, year, rating[, actor])."""
+    return films.groupBy("actorid", "year").agg(*_year_values(films))
 
 
 def actor_attributes(
@@ -150,28 +154,40 @@ def actor_step(
     """Snapshot of ``year`` from the snapshot of the year before.
 
     Actors without a film are carried; actors first seen this year are added.
-    The outer join is by part, so an actor with many parts is spread over many
-    tasks; the attributes come in by a left join, which AQE can split.
+    While every array has one part, one outer join by actor does it, and the
+    state is shuffled once, or not at all when it is bucketed by actor.  With
+    parts the outer join is by part, so that an actor with many parts is spread
+    over many tasks, and the attributes come in by a left join, which AQE can
+    split.
     """
     y = prev.filter(F.col("current_year") == year - 1).select(
         "actorid", "films_part", "films",
         *[F.col(c).alias(f"old_{c}") for c in ATTRIBUTES],
     )
-    today, _ = _with_part(films.filter(F.col("year") == year), part_films)
-    seen_today = actor_years(today)
-    if names is not None:
-        seen_today = seen_today.join(names, "actorid", "left")
-    attributes = seen_today.select(
-        "actorid", F.col("actor").alias("new_actor"), "rating", F.lit(True).alias("seen")
-    )
-    new = today.groupBy("actorid", "films_part").agg(
-        _sorted_films(by_year=False)["film_row"].alias("new_films")
-    )
-    # All parts of an actor must learn that the actor was seen this year, also
-    # those that get none of the new films: attributes join by actor.
-    rows = y.join(new, ["actorid", "films_part"], "full_outer").join(
-        attributes, "actorid", "left"
-    )
+    today, keys = _with_part(films.filter(F.col("year") == year), part_films)
+    new_films = _sorted_films(by_year=False)["film_row"].alias("new_films")
+    one_part = "films_part" not in keys and y.filter("films_part > 0").isEmpty()
+
+    def seen_today(values: DataFrame) -> DataFrame:
+        if names is not None:
+            values = values.join(names, "actorid", "left")
+        return values.withColumnRenamed("actor", "new_actor").withColumn("seen", F.lit(True))
+
+    if one_part:
+        new = today.groupBy("actorid").agg(new_films, *_year_values(today))
+        rows = (
+            y.drop("films_part")
+            .join(seen_today(new), "actorid", "full_outer")
+            .withColumn("films_part", F.lit(0))
+        )
+    else:
+        new = today.groupBy("actorid", "films_part").agg(new_films)
+        # All parts of an actor must learn that the actor was seen this year,
+        # also those that get none of the new films: attributes join by actor.
+        values = today.groupBy("actorid").agg(*_year_values(today))
+        rows = y.join(new, ["actorid", "films_part"], "full_outer").join(
+            seen_today(values), "actorid", "left"
+        )
     none = F.array().cast(ACTORS["films"].dataType)
     seen = F.col("seen").isNotNull()
     return rows.select(
