@@ -9,9 +9,11 @@ import pytest
 import __spark_entry__ as entry
 import verify
 from tests.conftest import plan
+from tideframe.plans.oracle import ORACLE
+from tideframe.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = list(entry.queries())
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +22,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(ORACLE) == set(NAMES)
+    assert set(NAMES) <= set(entry.queries())
 
 
 def test_entry(spark):

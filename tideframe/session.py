@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -62,15 +61,10 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for tables and stream checkpoints of one run.
 
     It lies under the shared folder the cluster names in
-    ``spark.checkpoint.dir``.  Only a local session, where driver and
-    executors share a disk, may do without that setting.
+    ``spark.checkpoint.dir``; without that setting under the warehouse folder,
+    which every session has and a cluster shares as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder shared by all executors"
-            )
-        base = tempfile.mkdtemp(prefix="tideframe-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
