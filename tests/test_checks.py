@@ -57,16 +57,15 @@ def test_spikes_need_a_full_week_before(spark):
     assert rows(out, "day", "trailing_mean")[6][1] is None
 
 
-def test_cluster_needs_a_shared_folder():
+def test_work_folder_without_a_checkpoint_folder_is_under_the_warehouse():
     class Conf:
         def get(self, key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+            return {"spark.sql.warehouse.dir": "hdfs://x/warehouse"}.get(key, default)
 
     class Session:
         conf = Conf()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        work_folder(Session(), "x")
+    assert work_folder(Session(), "x").startswith("hdfs://x/warehouse/_work/x-")
 
 
 def test_work_folder_lies_in_the_named_folder(spark):
