@@ -5,9 +5,13 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tideframe.session import work_folder
+from tideframe.session import tune, work_folder
+
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1000
 
 #: A word: digits, lower-case a-z, and everything beyond ASCII.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -54,7 +58,7 @@ def _powers(n: int) -> np.ndarray:
     """The first n powers of an odd number, modulo 2^64."""
     global _POWERS
     while len(_POWERS) < n:
-        last = _POWERS[-1] * np.uint64(0x9E3779B97F4A7C15)
+        last = _POWERS[-1:] * np.uint64(0x9E3779B97F4A7C15)
         _POWERS = np.concatenate([_POWERS, _POWERS * last])
     return _POWERS[:n]
 
@@ -82,3 +86,15 @@ def hash_spans(start: np.ndarray, end: np.ndarray, b: np.ndarray) -> np.ndarray:
     value = _BYTE[b[at]] * _powers(int(length.max()))[place]
     first = np.concatenate([[0], np.cumsum(length)[:-1]])
     return mix(np.add.reduceat(value, first))
+
+
+def session(spark: SparkSession) -> SparkSession:
+    """Adaptive plans, and small Arrow batches: a batch of long texts has to fit in memory."""
+    tune(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
+def texts(column: pa.Array) -> list[bytes]:
+    """The UTF-8 bytes of a string column; NULL is empty."""
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

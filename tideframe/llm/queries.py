@@ -7,15 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm.common import table
+from tideframe.llm.common import session, table
+from tideframe.llm.decontaminate import find_leaks
 from tideframe.llm.exact_dedup import exact_dedup
 from tideframe.llm.line_templates import drop_template_lines
 from tideframe.llm.poisson_mix import poisson_mix
-from tideframe.session import tune
+from tideframe.llm.token_files import read_tokens, write_tokens
+from tideframe.session import tune, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    out = work_folder(session(spark), "tokens")
+    write_tokens(table(spark, folder, "documents"), out, tokenizer_path())
+    return read_tokens(spark, out)
+
+
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    session(spark)
+    rows = find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to_word"] - s["from_word"])
+    return rows.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"), "longest",
+    )
+
+
 def op4_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = poisson_mix(table(tune(spark), folder, "documents"))
     return mixed.select(
@@ -37,5 +62,9 @@ def op9_line_templates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_poisson_mix, op5_exact_dedup, op9_line_templates)
+    f.__name__: f
+    for f in (
+        op2_token_files, op3_decontaminate, op4_poisson_mix, op5_exact_dedup,
+        op9_line_templates,
+    )
 }
