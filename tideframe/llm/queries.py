@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tideframe.llm.chat_format import LEARN, START, STOP, format_chats, read_back, turn_records
 from tideframe.llm.common import session, table, written
+from tideframe.llm.cotraining import quality
 from tideframe.llm.decontaminate import find_leaks
 from tideframe.llm.exact_dedup import exact_dedup
 from tideframe.llm.html_text import main_text
 from tideframe.llm.language_id import language_id
 from tideframe.llm.line_templates import drop_template_lines
+from tideframe.llm.order_minhash import near_duplicates
 from tideframe.llm.poisson_mix import poisson_mix
 from tideframe.llm.token_files import read_tokens, write_tokens
 from tideframe.session import tune, work_folder
@@ -21,6 +23,10 @@ from tideframe.session import tune, work_folder
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_cotraining(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(table(session(spark), folder, "documents"), table(spark, folder, "labels"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -84,10 +90,14 @@ def op9_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     return drop_template_lines(table(tune(spark), folder, "documents"))
 
 
+def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(session(spark), folder, "documents")).drop("place")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op2_token_files, op3_decontaminate, op4_poisson_mix, op5_exact_dedup,
-        op6_main_text, op7_chat_format, op8_language_id, op9_line_templates,
+        op1_quality_cotraining, op2_token_files, op3_decontaminate, op4_poisson_mix, op5_exact_dedup,
+        op6_main_text, op7_chat_format, op8_language_id, op9_line_templates, op10_order_minhash,
     )
 }
