@@ -7,10 +7,11 @@ agree in such a sketch when they share these shingles and their order, so the
 chance of agreement follows edit similarity and not only common content.
 
 Documents that agree in two (and in three) neighbouring sketches meet.  In each
-meeting all are linked with one of them, the hub, which gives as many links as
-members.  A link stands when the two sequences align in at least ``SIMILAR``
-of their shingles; linked documents form a class.  Copies of a word sequence
-are one document throughout.
+meeting all are compared with one of them, the hub, which gives as many pairs
+as members.  A link stands when the two sequences align in at least ``SIMILAR``
+of their shingles; linked documents form a class.  Meetings whose members are
+not yet one class choose another hub and compare again, until a round finds no
+link.  Copies of a word sequence are one document throughout.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ PICK = 3
 SIMILAR = 0.8
 #: Neighbouring sketches that name a meeting.
 DEPTHS = (2, 3)
+#: Turns of new hubs before a turn without a link may be the last.
+LEAST_TURNS = 2
 
 _RANDOM = np.random.Generator(np.random.PCG64(31))
 _FACTORS = _RANDOM.integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -147,23 +150,61 @@ def meetings(reps: DataFrame) -> DataFrame:
     return reps.select("name", F.explode(keys).alias("key"))
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """name, hub: pairs that met, once each; the hub is the least name of a meeting."""
+def shared_meetings(reps: DataFrame) -> DataFrame:
+    """key, name: the meetings of two or more."""
     met = meetings(reps)
+    several = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    return met.join(several, "key").select("key", "name")
+
+
+def candidates(shared: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
+    """name, hub: whom to compare in this turn, once each.
+
+    Only meetings of several classes compare.  The hub is the member least
+    after an exclusive or with a number that changes every turn.
+    """
+    mask = F.lit(int(np.array(mix(np.array([turn], dtype=np.uint64))).view(np.int64)[0]))
+    if roots is None:
+        members, known = shared.withColumn("root", F.col("name")), None
+    else:
+        members = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+        known = roots.toDF("hub", "hub_root")
     hubs = (
-        met.groupBy("key").agg(F.min("name").alias("hub"), F.count(F.lit(1)).alias("members"))
-        .filter("members > 1").select("key", "hub")
+        members.groupBy("key")
+        .agg(F.min(F.col("name").bitwiseXOR(mask)).alias("hub"), F.min("root").alias("a"), F.max("root").alias("b"))
+        .filter("a <> b").select("key", F.col("hub").bitwiseXOR(mask).alias("hub"))
     )
-    return met.join(hubs, "key").filter("name <> hub").select("name", "hub").distinct()
+    pairs = members.join(hubs, "key").filter("name <> hub").select("name", "root", "hub").distinct()
+    if known is not None:
+        pairs = pairs.join(known, "hub", "left").filter(F.col("root") != F.coalesce("hub_root", "hub"))
+    return pairs.select("name", "hub")
 
 
-def links(docs: DataFrame, reps: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """name, hub of the candidates whose alignment holds."""
+def classes(docs: DataFrame, reps: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """name, root of every document that is linked with another."""
+    shared = written(shared_meetings(reps), "near-meetings")
+    roots = tested = edges = None
+    turn = 0
+    while True:
+        pairs = candidates(shared, roots, turn)
+        if tested is not None:
+            pairs = pairs.join(tested, ["name", "hub"], "left_anti")
+        pairs = written(pairs, "near-candidates")
+        found = written(links(docs, reps, pairs, similar), "near-links")
+        tested = pairs if tested is None else tested.union(pairs)
+        if turn >= LEAST_TURNS and found.isEmpty():
+            return roots
+        edges = found if edges is None else edges.union(found)
+        roots = components(edges)
+        turn += 1
+
+
+def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """name, hub of the pairs whose alignment holds."""
     known = reps.select("name", "n", "place")
     pairs = (
-        candidates(reps)
-        .join(known, "name")
-        .join(known.select(*(F.col(c).alias(f"hub_{c}" if c != "name" else "hub") for c in known.columns)), "hub")
+        pairs.join(known, "name")
+        .join(known.toDF("hub", "hub_n", "hub_place"), "hub")
         .filter(F.least("n", "hub_n") >= similar * F.greatest("n", "hub_n"))
         .select("name", "hub", "place", "hub_place")
     )
@@ -197,7 +238,7 @@ def components(edges: DataFrame) -> DataFrame:
     written, so a lost executor costs one round.  Chains of hubs are short,
     and rounds grow with their logarithm.
     """
-    both = written(edges.union(edges.select("hub", "name")).toDF("name", "other").distinct(), "near-links")
+    both = written(edges.union(edges.select("hub", "name")).toDF("name", "other").distinct(), "near-edges")
     labels = both.groupBy("name").agg(F.least(F.min("other"), F.first("name")).alias("root"))
     labels = written(labels, "near-labels")
     while True:
@@ -227,22 +268,22 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     rows = written(sketched(docs), "sketches")
     worded = rows.filter("n > 0")
     reps = written(worded.dropDuplicates(["name"]).select("name", "place", "n", "sketch"), "representatives")
-    roots = components(links(docs, reps, similar))
+    roots = classes(docs, reps, similar)
     members = (
         worded.groupBy("name", "doc_id", "place").agg(F.count(F.lit(1)).alias("rows"))
         .join(roots, "name", "left")
         .select(F.coalesce("root", "name").alias("root"), "doc_id", "place", "rows")
     )
     members = written(members, "near-members")
-    classes = members.groupBy("root").agg(
+    heads = members.groupBy("root").agg(
         F.min("doc_id").alias("class_id"), F.sum("rows").alias("class_size"))
     # Of several texts under the doc_id that stays, one.
     first = (
-        members.join(classes, "root").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+        members.join(heads, "root").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
         .groupBy("root").agg(F.min("place").alias("stays"))
     )
     found = (
-        members.join(classes.join(first, "root"), "root")
+        members.join(heads.join(first, "root"), "root")
         .withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
         .select("doc_id", "class_id", "class_size",
                 ((F.col("place") == F.col("stays")) & (F.col("nth") == 1)).alias("kept"), "place")
