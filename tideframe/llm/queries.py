@@ -17,7 +17,7 @@ from tideframe.llm.language_id import language_id
 from tideframe.llm.line_templates import drop_template_lines
 from tideframe.llm.order_minhash import near_duplicates
 from tideframe.llm.poisson_mix import poisson_mix
-from tideframe.llm.token_files import read_tokens, write_tokens
+from tideframe.llm.token_files import default_tokenizer, read_tokens, write_tokens
 from tideframe.session import tune, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,15 +27,9 @@ def op1_quality_cotraining(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(session(spark), folder, "documents"), table(spark, folder, "labels"))
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     out = work_folder(session(spark), "tokens")
-    write_tokens(table(spark, folder, "documents"), out, tokenizer_path())
+    write_tokens(table(spark, folder, "documents"), out, default_tokenizer())
     return read_tokens(spark, out)
 
 
@@ -94,10 +88,16 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(session(spark), folder, "documents")).drop("place")
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_cotraining, op2_token_files, op3_decontaminate, op4_poisson_mix, op5_exact_dedup,
-        op6_main_text, op7_chat_format, op8_language_id, op9_line_templates, op10_order_minhash,
+        op6_main_text, op7_chat_format, op8_language_id, op9_line_templates, op10_order_minhash, pipeline,
     )
 }

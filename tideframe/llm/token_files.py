@@ -36,6 +36,13 @@ SEGMENTS = ("part int, segment int, first_token long, n_docs long, n_tokens long
             " first_doc long, last_doc long, data binary")
 
 
+def default_tokenizer() -> str:
+    """The word tokenizer of the installed vocabulary files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def pack_segment(ids: np.ndarray, docs: list[int | None], sizes: list[int]) -> bytes:
     """The bytes of a segment: header, documents, levels."""
     ids = ids.astype(np.uint32)
