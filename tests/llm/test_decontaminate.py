@@ -1,0 +1,109 @@
+"""Decontamination against a brute-force search of all windows."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import tideframe.llm.decontaminate as D
+from tests.llm.fixtures import DOCS, clashing, docs, odd_rows, words
+from tideframe.llm.common import LOWER, WORD
+
+ITEMS = "item_id long, text string"
+
+
+def brute(text, items, window):
+    """Words, hit words and items with a window in the text."""
+    w = WORD.findall((text or "").translate(LOWER))
+    hit, found = set(), set()
+    for i, t in items:
+        v = WORD.findall((t or "").translate(LOWER))
+        for k in range(max(1, len(v) - window + 1)) if v else []:
+            part = v[k:k + window]
+            for j in range(len(w) - len(part) + 1):
+                if w[j:j + len(part)] == part:
+                    hit.update(range(j, j + len(part)))
+                    found.add("" if i is None else str(i))
+    return len(w), len(hit), sorted(found)
+
+
+def automaton(items, window):
+    pieces = []
+    for i, t in items:
+        v = [x.encode() for x in WORD.findall((t or "").translate(LOWER))]
+        if v:
+            pieces.append((str(i), v, len(v) < window))
+    return D.SuffixAutomaton(pieces, window)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("ab c", max_size=14), max_size=5), st.text("aBb c.", max_size=40), st.integers(1, 4))
+def test_like_brute_force(items, text, window):
+    items = list(enumerate(items))
+    m = D.match(automaton(items, window), text.encode())
+    n, hit, found = brute(text, items, window)
+    assert (m.n_words, sum(b - a for a, b in m.spans), sorted(m.items)) == (n, hit, found)
+
+
+def test_longest_match():
+    a = automaton([(1, "one two three four five"), (2, "three four six")], 3)
+    states = list(a.stream(b"zero two three four six six".split()))
+    assert [n for _, n in states] == [0, 1, 2, 3, 3, 1]
+
+
+@pytest.fixture
+def mixture():
+    r = random.Random(5)
+    items = [(i, words(1000 + i, r.choice([3, 9, 10, 30, 60]))) for i in range(20)] + [
+        (20, None), (21, ""), (None, words(77, 12)), (22, words(1003, 12)), (22, words(78, 12)), (23, "Ünï CÖDE wörds à la carte")]
+    rows = odd_rows()
+    for k in range(40):
+        parts = [words(k, r.randrange(40))]
+        for i, t in r.sample(items, 2):
+            w = (t or "").upper().split()
+            at = r.randrange(max(1, len(w) - 8))
+            parts += [" -- ".join(w[at:at + r.randrange(4, 25)]), words(k * 31, 5)]
+        rows.append((100 + k, "\n".join(parts)))
+    return items, rows
+
+
+@pytest.mark.parametrize("sizes", [(2_000, 100_000), (25, 60)])
+def test_tables(spark, monkeypatch, mixture, sizes):
+    """In one shard and in many, with items cut in pieces."""
+    monkeypatch.setattr(D, "PIECE_WORDS", sizes[0])
+    monkeypatch.setattr(D, "SHARD_WORDS", sizes[1])
+    items, rows = mixture
+    table = spark.createDataFrame(items, ITEMS)
+    got = D.find_leaks(clashing(docs(spark, rows)), table).collect()
+    seen = sorted(((r.doc_id is None, r.doc_id), r.n_words, sum(s.to_word - s.from_word for s in r.spans), r["items"]) for r in got)
+    assert seen == sorted(((d is None, d), *brute(t, items, 10)) for d, t, *_ in rows)
+    assert all(r.longest >= 10 for r in got if r.spans and max(s.to_word - s.from_word for s in r.spans) >= 10)
+    clean = D.remove_leaks(docs(spark, rows), table)
+    assert clean.columns == docs(spark, rows).columns
+    left = {(r.doc_id, r.text): r for r in clean.collect()}
+    for d, t, *_ in rows:
+        n, hit, _ = brute(t, items, 10)
+        if not hit:
+            assert (d, t) in left  # untouched
+    assert all(brute(r.text, items, 10)[1] == 0 for r in left.values())
+    gone = {d for d, t, *_ in rows if (b := brute(t, items, 10))[1] > 0.5 * b[0]}
+    assert not gone & {d for d, _ in left}
+    assert all(r.n_chars in (None, len(r.text)) for r in left.values() if r.text is not None)
+
+
+def test_meeting_ends_are_cut_too(spark):
+    item = words(5, 12)
+    w = item.split()
+    text = " ".join([words(1, 30), *w[:6], *w, *w[6:], words(2, 30)])
+    kept = D.remove_leaks(docs(spark, [(1, text)]), spark.createDataFrame([(1, item)], ITEMS)).collect()
+    assert not set(w) & set(kept[0].text.split()) and len(kept[0].text.split()) == 60
+
+
+def test_empty_tables(spark):
+    none, items = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
+    assert D.find_leaks(none, items).count() == 0 and D.remove_leaks(none, items).count() == 0
+    got = D.find_leaks(docs(spark, [(1, "a b")]), items).collect()
+    assert got[0].n_words == 2 and got[0].spans == [] and got[0]["items"] == []

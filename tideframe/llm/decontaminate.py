@@ -141,9 +141,8 @@ class Match:
     n_words: int = 0
     longest: int = 0
     items: set[str] = field(default_factory=set)
-    #: Hit words [from, to), ascending, apart; and the bytes they cover.
+    #: Hit words [from, to), ascending, apart.
     spans: list[tuple[int, int]] = field(default_factory=list)
-    cuts: list[tuple[int, int]] = field(default_factory=list)
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -188,7 +187,6 @@ def match(automaton: SuffixAutomaton, raw: bytes) -> Match:
                     spans.append((k + 1 - size, k + 1))
                     found.items.add(item)
     found.spans = _merged(spans)
-    found.cuts = [(int(start[i]), int(end[j - 1])) for i, j in found.spans]
     return found
 
 
@@ -259,10 +257,7 @@ def _found(batches: Iterator[pa.RecordBatch], automaton: SuffixAutomaton) -> Ite
             "spans": [[{"from_word": x, "to_word": y} for x, y in s] for s in spans],
             "items": [sorted(m.items.union(b["items"])) for m, b in zip(rows, before)],
         }
-        for name, values in columns.items():
-            at = batch.schema.get_field_index(name)
-            batch = batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))
-        yield batch
+        yield _replaced(batch, columns)
 
 
 def remove_leaks(
@@ -280,16 +275,18 @@ def remove_leaks(
     schema = T.StructType([
         *docs.schema.fields,
         T.StructField("_leak_words", T.LongType()), T.StructField("_leak_hits", T.LongType()),
-        T.StructField("_leak_cut", T.BooleanType()),
+        T.StructField("_leak_spans", SPANS), T.StructField("_leak_cut", T.BooleanType()),
     ])
-    count = F.lit(0).cast("long")
     cut = docs.withColumns({
-        "_leak_words": F.lit(None).cast("long"), "_leak_hits": count, "_leak_cut": F.lit(False)})
+        "_leak_words": F.lit(None).cast("long"), "_leak_hits": F.lit(0).cast("long"),
+        "_leak_spans": F.array().cast(SPANS), "_leak_cut": F.lit(False)})
     while True:
         cut = cut.withColumn("_leak_cut", F.lit(False))
-        for a in shared:
-            cut = cut.mapInArrow(lambda batches, a=a: _cut(batches, a.value), schema)
-        if len(shared) == 1:  # its own cuts are already final
+        for a in shared[:-1]:
+            cut = cut.mapInArrow(lambda batches, a=a: _scan(batches, a.value), schema)
+        alone = len(shared) == 1
+        cut = cut.mapInArrow(lambda batches, a=shared[-1]: _cut(batches, a.value, alone), schema)
+        if alone:  # its cuts are final
             break
         cut = written(cut, "decontaminated")
         if cut.filter("_leak_cut").isEmpty():
@@ -301,32 +298,47 @@ def remove_leaks(
     return cut.select(*docs.columns)
 
 
-def _cut(batches: Iterator[pa.RecordBatch], automaton: SuffixAutomaton) -> Iterator[pa.RecordBatch]:
+def _replaced(batch: pa.RecordBatch, values: dict[str, list]) -> pa.RecordBatch:
+    for name, x in values.items():
+        at = batch.schema.get_field_index(name)
+        f = batch.schema.field(at)
+        batch = batch.set_column(at, f, pa.array(x, f.type))
+    return batch
+
+
+def _spans_of(batch: pa.RecordBatch) -> list[list[tuple[int, int]]]:
+    column = batch.column(batch.schema.get_field_index("_leak_spans")).to_pylist()
+    return [[(s["from_word"], s["to_word"]) for s in x] for x in column]
+
+
+def _scan(batches: Iterator[pa.RecordBatch], automaton: SuffixAutomaton) -> Iterator[pa.RecordBatch]:
+    """Adds this shard's hits."""
+    for batch in batches:
+        raws = texts(batch.column(batch.schema.get_field_index("text")))
+        spans = [_merged(match(automaton, raw).spans + old) for raw, old in zip(raws, _spans_of(batch))]
+        yield _replaced(batch, {"_leak_spans": [[{"from_word": a, "to_word": b} for a, b in s] for s in spans]})
+
+
+def _cut(batches: Iterator[pa.RecordBatch], automaton: SuffixAutomaton, again: bool) -> Iterator[pa.RecordBatch]:
+    """Cuts all hits; ``again``: until this automaton finds none."""
     for batch in batches:
-        at = {name: batch.schema.get_field_index(name)
-              for name in ("text", "_leak_words", "_leak_hits", "_leak_cut")}
-        old = batch.column(at["text"])
-        words, hits, new, cut = [], [], old.to_pylist(), []
-        before = zip(batch.column(at["_leak_words"]).to_pylist(),
-                     batch.column(at["_leak_hits"]).to_pylist(), batch.column(at["_leak_cut"]).to_pylist())
-        for i, (raw, (n, hit, done)) in enumerate(zip(texts(old), before)):
+        old, words, hits, done = (
+            batch.column(batch.schema.get_field_index(n)) for n in ("text", "_leak_words", "_leak_hits", "_leak_cut"))
+        words, hits, done, new = words.to_pylist(), hits.to_pylist(), done.to_pylist(), old.to_pylist()
+        for i, (raw, others) in enumerate(zip(texts(old), _spans_of(batch))):
             m = match(automaton, raw)
-            words.append(m.n_words if n is None else n)
-            while m.spans:
-                hit += sum(b - a for a, b in m.spans)
+            words[i] = m.n_words if words[i] is None else words[i]
+            spans = _merged(m.spans + others)
+            while spans:
+                hits[i] += sum(b - a for a, b in spans)
+                start, end, _ = word_spans(raw)
                 kept, last = [], 0
-                for a, b in m.cuts:
-                    kept.append(raw[last:a].rstrip(b" "))
-                    last = b
+                for a, b in spans:
+                    kept.append(raw[last:start[a]].rstrip(b" "))
+                    last = end[b - 1]
                 raw = b"\n".join([*kept, raw[last:].lstrip(b" ")])
-                done = True
-                m = match(automaton, raw)
-            hits.append(hit)
-            cut.append(done)
-            if done:
-                new[i] = raw.decode()
-        values = {"text": new, "_leak_words": words, "_leak_hits": hits, "_leak_cut": cut}
-        for name, x in values.items():
-            f = batch.schema.field(at[name])
-            batch = batch.set_column(at[name], f, pa.array(x, f.type))
-        yield batch
+                done[i], new[i] = True, raw.decode()
+                spans = match(automaton, raw).spans if again else []
+        yield _replaced(batch, {
+            "text": new, "_leak_words": words, "_leak_hits": hits, "_leak_cut": done,
+            "_leak_spans": [[]] * batch.num_rows})
