@@ -41,7 +41,7 @@ ENDS_BEFORE = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 SCOPE = frozenset("ul ol dl table body html article main section div nav aside footer header form".split())
-CONTAINERS = frozenset("article main section div td body".split())
+CONTAINERS = frozenset("article main section div body".split())
 JUNK_TAGS = frozenset(
     "nav footer aside form button select input dialog menu head".split()
 )
@@ -279,8 +279,8 @@ def extract(page: str, path: str | None) -> str:
         else:
             todo += reversed(e.children)
     texts = [b for e in found for b in blocks(e)]
-    if not texts and (e := best_container(root)[0]) is not None:
-        texts = blocks(e)
+    if not texts:
+        texts = blocks(best_container(root)[0] or root)
     return "\n\n".join(texts)
 
 
