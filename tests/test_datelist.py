@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
@@ -126,3 +128,17 @@ def test_step_reads_one_snapshot_and_one_day(spark, tmp_path):
     assert "GreaterThanOrEqual(event_time,2024-02-10T00:00)" in p
     assert "LessThan(event_time,2024" in p
     assert rows(out, "device_id") == [("a",), ("b",)]
+
+
+def test_skipped_day_is_refused_and_a_rerun_is_harmless(spark):
+    ev = events(spark, ("a", 3), ("a", 1), ("b", 0))
+    days = [date(2024, 2, d) for d in (7, 8, 9, 10)]
+    state = spark.createDataFrame([], "device_id string, device_activity_datelist array<date>, date date")
+    for d in days:
+        step = D.datelist_step(state, ev, "device_id", NAME, d)
+        state = spark.createDataFrame(state.unionByName(step).collect(), state.schema)
+    again = D.datelist_step(state, ev, "device_id", NAME, days[2])
+    assert rows(again) == rows(state.filter(F.col("date") == days[2]))
+    for d in (date(2024, 2, 12), date(2024, 3, 1)):  # with and without events that day
+        with pytest.raises(PySparkException, match="no rows of"):
+            D.datelist_step(state, ev, "device_id", NAME, d).collect()

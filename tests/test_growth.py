@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, timedelta
 
-from tests.conftest import rows
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tests.conftest import plan, rows
 from tideframe.operators import experiments as E
 from tideframe.operators import growth as G
 from tideframe.schemas import PLAYERS
@@ -66,10 +71,35 @@ def test_latest_activity(spark):
 
 
 def test_growth_counts(spark):
-    s = G.growth_backfill(activity(spark, ("a", 0), ("a", 2), ("b", 0)))
+    s = G.growth_counts(activity(spark, ("a", 0), ("a", 2), ("b", 0)))
     assert rows(E.growth_total(s)) == [
         (D0, 2, 2, 0, 0, 2),
         (D0 + timedelta(days=1), 0, 0, 0, 2, -2),
         (D0 + timedelta(days=2), 1, 0, 1, 0, 1),
     ]
-    assert (D0, "New", 2) in rows(E.growth_daily(s))
+    assert (D0, "New", 2) in rows(s)
+
+
+@pytest.mark.parametrize("state", ["daily_active_state", "yearly_active_state"])
+def test_counts_and_snapshots_equal_the_grid(spark, state):
+    r = random.Random(3)
+    items = [(f"p{i % 9}", r.randrange(900) if i % 4 else i % 9) for i in range(60)]
+    df = activity(spark, *items)
+    grid = G.growth_backfill(df)
+    counts = grid.groupBy("date", state).count()
+    assert rows(G.growth_counts(df, state)) == rows(counts)
+    explodes = plan(G.growth_counts(df, state)).split("Exchange")
+    assert "sequence" not in explodes[-1] and "sequence" in explodes[0]  # after the last shuffle
+    for d in (0, 450, 899):
+        day = D0 + timedelta(days=d)
+        assert rows(G.growth_snapshot(df, day)) == rows(G.growth_backfill(df, day).filter(F.col("date") == day))
+
+
+def test_skipped_day_is_refused(spark):
+    df = activity(spark, ("a", 0), ("a", 3))
+    state = G.growth_step(spark.createDataFrame([], PLAYERS), df, D0)
+    for d in (2, 3):
+        with pytest.raises(PySparkException, match="no rows of"):
+            G.growth_step(state, df, D0 + timedelta(days=d)).collect()
+    again = G.growth_step(state, df, D0 + timedelta(days=1))
+    assert rows(G.growth_step(state.unionByName(again), df, D0 + timedelta(days=1))) == rows(again)

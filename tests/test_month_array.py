@@ -43,6 +43,13 @@ def test_steps_equal_backfill_and_rerun_replaces(spark):
     assert rows(state) == rows(M.host_month_array(ev, date(2023, 1, 5)))
 
 
+def test_rerun_of_an_earlier_day_keeps_later_ones(spark):
+    ev = events(spark)
+    state = M.host_month_array(ev, date(2023, 1, 5))
+    for d in (1, 3, 5):
+        assert rows(keyed_upsert(state, M.host_month_step(state, ev, date(2023, 1, d)), M.KEY)) == rows(state)
+
+
 def test_skipped_day_is_refused(spark):
     ev = events(spark)
     state = M.host_month_array(ev, date(2023, 1, 3))

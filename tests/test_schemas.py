@@ -29,7 +29,7 @@ def events(spark):
 def test_outputs(spark, events):
     films = spark.createDataFrame([("A", "a", 2000, "f", 1, 9.0, "f1")], SC.ACTOR_FILMS)
     actors = cumulative.actor_backfill(films)
-    history = scd.stamp(scd.scd2_backfill(actors), 2000)
+    history = scd.stamp(scd.scd2_backfill(actors, carry=("actor",)), 2000)
     days = spark.createDataFrame([("p", date(2024, 1, 1))], "player_name string, effective_date date")
     players = growth.growth_backfill(days).select(*SC.PLAYERS.fieldNames())
     for df, declared in [
@@ -65,8 +65,8 @@ def test_match_reports_from_csv(spark, tmp_path):
         path.write_text(text)
         tables.append(csv_table(spark, str(path), schema))
         assert shape(tables[-1].schema) == shape(schema)
-    assert rows(matches.avg_kills_per_player(*tables)) == [("a", 15.0)]
-    assert rows(matches.killing_sprees(*tables)) == [("x", "Map X", 2), ("y", "Map Y", 0)]
+    assert rows(matches.avg_kills_per_player(matches.played(*tables))) == [("a", 15.0)]
+    assert rows(matches.killing_sprees(matches.played(*tables))) == [("x", "Map X", 2), ("y", "Map Y", 0)]
     assert matches.match_join(*tables).count() == 3
 
 

@@ -1,10 +1,10 @@
 """Cumulative yearly snapshots of actors.
 
-A snapshot row holds all films of an actor so far.  An actor's array is split
-over several rows, numbered ``films_part``, when one year alone brings more
-films than ``PART_FILMS``; otherwise there is one row, part 0.  The attributes
-are the same on every part, so each row can be read on its own, and no array
-grows beyond PART_FILMS per year.
+A snapshot row holds the films of an actor so far.  The caller may split every
+actor's films over a fixed number of ``parts`` by a hash of the film; the key of
+a snapshot is then (actorid, films_part, current_year).  With one part, the
+default, it is (actorid, current_year).  The attributes are the same on every
+part, so each row can be read on its own.
 """
 
 from __future__ import annotations
@@ -13,12 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideframe.functions import expressions as X
-from tideframe.functions.joins import broadcast_if_small
+from tideframe.operators.guards import require_previous
 from tideframe.schemas import ACTORS, FILM
 
-# Films of one actor and year that fit into one array.
-PART_FILMS = 10_000
-
 ATTRIBUTES = ["actor", "year", "quality_class", "years_since_film"]
 
 
@@ -32,26 +29,10 @@ def _sorted_films(by_year: bool) -> Column:
     return F.sort_array(F.collect_list(F.struct(*key, _film().alias("film_row"))))
 
 
-def _with_part(films: DataFrame, part_films: int) -> tuple[DataFrame, list[str]]:
-    """Adds films_part: 0, or a hash of filmid where (actor, year) is large.
-
-    Also returns the columns that tell arrays apart: without a large group, the
-    actor alone.  The count reads two columns and combines on the map side; the
-    join takes only the large groups, and is left out when there is none.
-    """
-    large = (
-        films.groupBy("actorid", "year")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > part_films)
-        .select(
-            "actorid", "year", F.ceil(F.col("n") / part_films).cast("int").alias("parts")
-        )
-    )
-    if large.isEmpty():
-        return films.withColumn("films_part", F.lit(0)), ["actorid"]
-    part = F.pmod(F.xxhash64("filmid"), F.coalesce("parts", F.lit(1))).cast("int")
-    parted = films.join(broadcast_if_small(large), ["actorid", "year"], "left")
-    return parted.select(*films.columns, part.alias("films_part")), ["actorid", "films_part"]
+def _with_part(films: DataFrame, parts: int) -> DataFrame:
+    """Adds films_part, a hash of the film below ``parts``."""
+    part = F.pmod(F.xxhash64("filmid"), F.lit(parts)).cast("int") if parts > 1 else F.lit(0)
+    return films.withColumn("films_part", part)
 
 
 def _year_values(films: DataFrame) -> list[Column]:
@@ -121,23 +102,23 @@ def actor_attributes(
 def actor_backfill(
     films: DataFrame,
     last_year: int | Column | None = None,
-    part_films: int = PART_FILMS,
+    parts: int = 1,
     names: DataFrame | None = None,
 ) -> DataFrame:
     """All snapshots up to ``last_year`` in one pass.
 
-    When no actor is large the films are shuffled once, by actor, and the join
-    with the attributes needs no further shuffle.
+    With one part the films are shuffled once, by actor, and the join with the
+    attributes needs no further shuffle.
     """
     attributes = actor_attributes(films, last_year, names)
-    parted, keys = _with_part(films, part_films)
-    parts = parted.groupBy(*keys).agg(_sorted_films(by_year=True).alias("all_films"))
-    if "films_part" not in keys:
-        parts = parts.withColumn("films_part", F.lit(0))
+    grouped = (
+        _with_part(films, parts).groupBy("actorid", "films_part")
+        .agg(_sorted_films(by_year=True).alias("all_films"))
+    )
     first = F.col("all_films")[0]["year"]
     so_far = F.filter("all_films", lambda f: f["year"] <= F.col("current_year"))
     return (
-        parts.join(attributes, "actorid")
+        grouped.join(attributes, "actorid")
         .filter(first <= F.col("current_year"))
         .withColumn("films", so_far["film_row"])
         .select(*ACTORS.fieldNames())
@@ -147,33 +128,33 @@ def actor_backfill(
 def actor_step(
     prev: DataFrame,
     films: DataFrame,
-    year: int,
-    part_films: int = PART_FILMS,
+    year: int | Column,
+    parts: int = 1,
     names: DataFrame | None = None,
 ) -> DataFrame:
     """Snapshot of ``year`` from the snapshot of the year before.
 
     Actors without a film are carried; actors first seen this year are added.
-    While every array has one part, one outer join by actor does it, and the
-    state is shuffled once, or not at all when it is bucketed by actor.  With
-    parts the outer join is by part, so that an actor with many parts is spread
-    over many tasks, and the attributes come in by a left join, which AQE can
-    split.
+    ``parts`` is that of the state.  With one part, one outer join by actor
+    does it, and the state is shuffled once, or not at all when it is bucketed
+    by actor.  With more, the outer join is by part, so that a large actor is
+    spread over tasks, and the attributes come in by a left join, which AQE can
+    split.  A state without the year before is refused, unless it is empty.
     """
+    year = F.lit(year)
     y = prev.filter(F.col("current_year") == year - 1).select(
         "actorid", "films_part", "films",
         *[F.col(c).alias(f"old_{c}") for c in ATTRIBUTES],
     )
-    today, keys = _with_part(films.filter(F.col("year") == year), part_films)
+    today = _with_part(films.filter(F.col("year") == year), parts)
     new_films = _sorted_films(by_year=False)["film_row"].alias("new_films")
-    one_part = "films_part" not in keys and y.filter("films_part > 0").isEmpty()
 
     def seen_today(values: DataFrame) -> DataFrame:
         if names is not None:
             values = values.join(names, "actorid", "left")
         return values.withColumnRenamed("actor", "new_actor").withColumn("seen", F.lit(True))
 
-    if one_part:
+    if parts == 1:
         new = today.groupBy("actorid").agg(new_films, *_year_values(today))
         rows = (
             y.drop("films_part")
@@ -190,10 +171,10 @@ def actor_step(
         )
     none = F.array().cast(ACTORS["films"].dataType)
     seen = F.col("seen").isNotNull()
-    return rows.select(
+    result = rows.select(
         F.coalesce("new_actor", "old_actor").alias("actor"),
         "actorid",
-        F.when(seen, F.lit(year)).otherwise(F.col("old_year")).alias("year"),
+        F.when(seen, year).otherwise(F.col("old_year")).alias("year"),
         "films_part",
         F.concat(F.coalesce("films", none), F.coalesce("new_films", none)).alias("films"),
         F.when(seen, X.quality_class(F.col("rating")))
@@ -201,6 +182,7 @@ def actor_step(
         .alias("quality_class"),
         F.when(seen, F.lit(0)).otherwise(F.col("old_years_since_film") + 1)
         .alias("years_since_film"),
-        F.lit(year).alias("current_year"),
+        year.alias("current_year"),
         seen.alias("is_active"),
     )
+    return require_previous(result, prev, "current_year", year - 1)

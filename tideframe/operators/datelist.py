@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideframe.functions import expressions as X
 from tideframe.operators import timeline as TL
+from tideframe.operators.guards import require_previous
 
 
 def datelist_backfill(
@@ -54,13 +55,14 @@ def datelist_step(
     events: DataFrame,
     key: str,
     list_name: str,
-    d: date,
+    d: date | Column,
     ts: str = "event_time",
 ) -> DataFrame:
     """Snapshot of day ``d`` from the snapshot of the day before.
 
     ``prev`` may be the whole state table: only the partition of ``d - 1`` is
-    read.  Running the step again for the same day gives the same rows.
+    read.  Running the step again for the same day gives the same rows.  A
+    state without the snapshot of ``d - 1`` is refused, unless it is empty.
     """
     today = X.as_date(d)
     y = prev.filter(F.col("date") == F.date_sub(today, 1)).select(key, list_name)
@@ -73,9 +75,10 @@ def datelist_step(
         F.col("active_on").isNull() | F.array_contains(old, F.col("active_on")),
         F.array().cast("array<date>"),
     ).otherwise(F.array("active_on"))
-    return y.join(t, key, "full_outer").select(
+    result = y.join(t, key, "full_outer").select(
         key, F.concat(old, new).alias(list_name), today.alias("date")
     )
+    return require_previous(result, prev, "date", F.date_sub(today, 1))
 
 
 def datelist_bits(snapshot: DataFrame, key: str, list_name: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideframe.functions import expressions as X
+
 # The cells of an experiment; A is the control.
 CELLS = ["A", "B", "C"]
 
@@ -79,24 +81,23 @@ def profit_total(profit: DataFrame) -> DataFrame:
     )
 
 
-def growth_daily(states: DataFrame) -> DataFrame:
-    """Entities per day and daily state."""
-    return states.groupBy("date", "daily_active_state").agg(
-        F.count(F.lit(1)).alias("entities")
-    )
+def growth_total(daily: DataFrame) -> DataFrame:
+    """Per day: active, new, returned and lost entities, and the net change.
+
+    ``daily`` has entities per date and daily state (growth.growth_counts).
+    """
 
+    def entities(*states: str) -> Column:
+        named = F.col("daily_active_state").isin(*states)
+        return F.sum(F.when(named, F.col("entities")).otherwise(0))
 
-def growth_total(states: DataFrame) -> DataFrame:
-    """Per day: active, new, returned and lost entities, and the net change."""
-    state = F.col("daily_active_state")
     return (
-        states.groupBy("date")
+        daily.groupBy("date")
         .agg(
-            F.count_if(state.isin("New", "Continued Playing", "Returned from retirement"))
-            .alias("active"),
-            F.count_if(state == "New").alias("new"),
-            F.count_if(state == "Returned from retirement").alias("returned"),
-            F.count_if(state == "Retired").alias("lost"),
+            entities(X.NEW, X.CONTINUED, X.RETURNED).alias("active"),
+            entities(X.NEW).alias("new"),
+            entities(X.RETURNED).alias("returned"),
+            entities(X.RETIRED).alias("lost"),
         )
         .withColumn("net_change", F.col("new") + F.col("returned") - F.col("lost"))
     )

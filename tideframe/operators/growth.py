@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideframe.functions import expressions as X
 from tideframe.operators import timeline as TL
+from tideframe.operators.guards import require_previous
 
 NAME = "player_name"
 
@@ -63,9 +64,12 @@ def growth_backfill(
 
 
 def growth_step(
-    prev: DataFrame, activity: DataFrame, d: date, day_col: str = "effective_date"
+    prev: DataFrame, activity: DataFrame, d: date | Column, day_col: str = "effective_date"
 ) -> DataFrame:
-    """Snapshot of ``d`` from the snapshot of the day before and today's activity."""
+    """Snapshot of ``d`` from the snapshot of the day before and today's activity.
+
+    A state without the snapshot of ``d - 1`` is refused, unless it is empty.
+    """
     today = X.as_date(d)
     y = (
         prev.filter(F.col("date") == F.date_sub(today, 1))
@@ -80,7 +84,7 @@ def growth_step(
     is_new = F.col("known").isNull()
     on, last = F.col("active_on"), F.col("last_active_date")
     none = F.array().cast("array<date>")
-    return y.join(t, NAME, "full_outer").select(
+    result = y.join(t, NAME, "full_outer").select(
         NAME,
         F.coalesce("first_active_date", on).alias("first_active_date"),
         F.coalesce(on, last).alias("last_active_date"),
@@ -92,6 +96,85 @@ def growth_step(
         ).alias("dates_active"),
         today.alias("date"),
     )
+    return require_previous(result, prev, "date", F.date_sub(today, 1))
+
+
+def growth_snapshot(
+    activity: DataFrame, as_of: date | Column, day_col: str = "effective_date"
+) -> DataFrame:
+    """The one snapshot of ``as_of``, without the days before it."""
+    d = X.as_date(as_of)
+    days = TL.activity_days(X.up_to(activity, day_col, as_of), NAME, day_col)
+    lists = TL.date_lists(days.filter(F.col("day") <= d), NAME)
+    latest = F.element_at("dates", -1)
+    earlier = F.try_element_at("dates", F.lit(-2))
+    active = latest == d
+    last = F.when(active, earlier).otherwise(latest)
+    today = F.when(active, d)
+    is_new = active & earlier.isNull()
+    return lists.select(
+        NAME,
+        F.element_at("dates", 1).alias("first_active_date"),
+        latest.alias("last_active_date"),
+        _daily_state(is_new, last, today, d).alias("daily_active_state"),
+        _yearly_state(is_new, last, today, d).alias("yearly_active_state"),
+        F.col("dates").alias("dates_active"),
+        d.alias("date"),
+    )
+
+
+def growth_counts(
+    activity: DataFrame,
+    state: str = "daily_active_state",
+    as_of: date | Column | None = None,
+    day_col: str = "effective_date",
+) -> DataFrame:
+    """(date, <state>, entities) of every day, without a row per entity and day.
+
+    An entity enters a state on some day and leaves it on another: two changes
+    per stretch, added up per state and day with map-side combine.  Running
+    sums over the calendar give the counts, so that only the number of days
+    decides how many rows there are after the first shuffle.
+    """
+    days = TL.activity_days(X.up_to(activity, day_col, as_of), NAME, day_col)
+    end = X.latest(days, F.col("day")) if as_of is None else X.as_date(as_of)
+    steps = TL.stretches(TL.date_lists(days, NAME), NAME, end)
+    day, until = F.col("last_active"), F.col("until")
+    is_new = F.col("previous_active").isNull()
+    first = (_daily_state if state == "daily_active_state" else _yearly_state)(
+        is_new, F.col("previous_active"), day, day
+    )
+
+    def stretch(name: Column, a: Column, b: Column) -> Column:
+        return F.struct(name.alias("state"), a.alias("a"), b.alias("b"))
+
+    next_day = F.date_add(day, 1)
+    if state == "daily_active_state":
+        idle = [
+            stretch(F.lit(X.RETIRED), next_day, next_day),
+            stretch(F.lit(X.STAYED_RETIRED), F.date_add(day, 2), until),
+        ]
+    else:
+        idle = [stretch(F.lit(X.RETIRED), next_day, until)]
+    parts = F.filter(F.array(stretch(first, day, day), *idle), lambda s: (s["a"] <= s["b"]) & (s["a"] <= until))
+    changes = (
+        steps.select(F.inline(parts))
+        .select("state", F.inline(F.array(
+            F.struct(F.col("a").alias("day"), F.lit(1).alias("change")),
+            F.struct(F.date_add("b", 1).alias("day"), F.lit(-1).alias("change")),
+        )))
+        .groupBy("state", "day").agg(F.sum("change").alias("change"))
+    )
+    w = Window.partitionBy("state").orderBy("day")
+    levels = (
+        changes.withColumn("entities", F.sum("change").over(w))
+        .withColumn("last", F.date_sub(F.lead("day").over(w), 1))
+        .filter("entities > 0 and last >= day")
+    )
+    return levels.select(
+        F.explode(X.days_between(F.col("day"), F.col("last"))).alias("date"),
+        F.col("state").alias(state), "entities",
+    )
 
 
 def latest_activity(activity: DataFrame, season: int | None = None) -> DataFrame:

@@ -60,13 +60,13 @@ def host_month_array(
 
 
 def host_month_step(
-    prev: DataFrame, events: DataFrame, d: date, ts: str = "event_time"
+    prev: DataFrame, events: DataFrame, d: date | Column, ts: str = "event_time"
 ) -> DataFrame:
     """Rows to upsert for day ``d``: arrays of its month with ``d`` appended.
 
     The array length says which day a row has reached.  A rerun of ``d``
-    replaces its element; a skipped day is refused, because the step cannot
-    know the counts in between (use the backfill).
+    replaces its element and keeps later ones; a skipped day is refused,
+    because the step cannot know the counts in between (use the backfill).
     """
     today = X.as_date(d)
     t = daily_hits(events.filter(X.on_day(ts, today)), ts).select("host", "hits")
@@ -92,11 +92,15 @@ def host_month_step(
             ).cast("array<bigint>")
         )
     )
+    later = F.coalesce(
+        F.slice("metric_array", before + 2, F.greatest(F.size("metric_array") - before - 1, F.lit(0))),
+        F.array().cast("array<bigint>"),
+    )
     return y.join(t, "host", "full_outer").select(
         "host",
         X.month_start(today).alias("month_start"),
         F.lit(SITE_HITS).alias("metric_name"),
-        F.concat(kept, F.array(F.coalesce("hits", zero))).alias("metric_array"),
+        F.concat(kept, F.array(F.coalesce("hits", zero)), later).alias("metric_array"),
     )
 
 

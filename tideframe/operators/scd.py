@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tideframe.operators.guards import require_previous
+
+#: The period a stored history is valid for.
+STAMP = "current_year"
 KEY = "actorid"
 ATTRIBUTES = ["quality_class", "is_active"]
 
@@ -29,11 +33,13 @@ def scd2_backfill(
     key: str = KEY,
     attributes: list[str] = ATTRIBUTES,
     period: str = "current_year",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """History as of the last snapshot: one row per unbroken streak.
 
     A streak ends when an attribute changes or a period is missing.  Both
     windows and the final grouping share one shuffle and one sort by key.
+    Columns in ``carry`` (a name, say) go along without being compared.
     """
     w = Window.partitionBy(key).orderBy(period)
     now = F.struct(*attributes)
@@ -41,33 +47,54 @@ def scd2_backfill(
         F.lag(period).over(w) == F.col(period) - 1
     )
     return (
-        snapshots.select(key, *attributes, period)
+        snapshots.select(key, *attributes, *carry, period)
         .withColumn("starts", F.when(continues, 0).otherwise(1))
         .withColumn("streak", F.sum("starts").over(w))
         .groupBy(key, "streak", *attributes)
-        .agg(F.min(period).alias("start_date"), F.max(period).alias("end_date"))
-        .select(key, *attributes, "start_date", "end_date")
+        .agg(
+            *[F.max(c).alias(c) for c in carry],
+            F.min(period).alias("start_date"), F.max(period).alias("end_date"),
+        )
+        .select(key, *carry, *attributes, "start_date", "end_date")
     )
 
 
 def stamp(history: DataFrame, period: int | Column) -> DataFrame:
     """Marks the period a history is valid for."""
-    value = F.lit(period) if isinstance(period, int) else period
-    return history.withColumn("current_year", value)
+    return history.withColumn(STAMP, F.lit(period))
+
+
+def as_of_before(history: DataFrame, t: int | Column) -> DataFrame:
+    """The history as of t-1, also when it already went through ``t`` or later.
+
+    Of a stamped table the rows stamped t-1 are taken or, on a rerun of a table
+    that holds only ``t``, those.  Intervals that begin at ``t`` or later are
+    undone, and those that reach further end at t-1 again.
+    """
+    before = F.lit(t) - 1
+    if STAMP in history.columns:
+        at = F.col(STAMP)
+        chosen = history.agg(
+            F.coalesce(F.max(F.when(at == before, at)), F.max(F.when(at == F.lit(t), at))).alias("s")
+        ).scalar()
+        history = history.filter(at == chosen).drop(STAMP)
+    return history.filter(F.col("start_date") <= before).withColumn(
+        "end_date", F.least("end_date", before)
+    )
 
 
 def _compare(
-    history: DataFrame, snapshot: DataFrame, t: int, key: str,
+    history: DataFrame, snapshot: DataFrame, t: int | Column, key: str,
     attributes: list[str], period: str,
 ) -> DataFrame:
     """Open intervals of t-1 beside the rows of snapshot t, one per key."""
-    old = history.filter(F.col("end_date") == t - 1).select(
+    old = history.filter(F.col("end_date") == F.lit(t) - 1).select(
         key,
         *[F.col(c).alias(f"old_{c}") for c in attributes],
         F.col("start_date").alias("old_start"),
         F.col("end_date").alias("old_end"),
     )
-    new = snapshot.filter(F.col(period) == t).select(
+    new = snapshot.filter(F.col(period) == F.lit(t)).select(
         key, *[F.col(c).alias(f"new_{c}") for c in attributes],
         F.col(period).alias("now"),
     )
@@ -85,45 +112,49 @@ def _interval(prefix: str, attributes: list[str], start: Column, end: Column) ->
 def scd2_incremental(
     history: DataFrame,
     snapshot: DataFrame,
-    t: int,
+    t: int | Column,
     key: str = KEY,
     attributes: list[str] = ATTRIBUTES,
     period: str = "current_year",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """History as of ``t`` from the history as of ``t - 1`` and snapshot ``t``.
 
     Intervals already closed pass through without a shuffle.  One full outer
     join finds the unchanged, changed, new and absent keys; a changed key
-    becomes two rows.
+    becomes two rows.  Running the step again gives the same rows; a stamped
+    history that stops before t-1 is refused.
     """
-    both = _compare(history, snapshot, t, key, attributes, period)
+    stored, history = history, as_of_before(history, t)
+    values = [*carry, *attributes]
+    both = _compare(history, snapshot, t, key, values, period)
     start, end, now = F.col("old_start"), F.col("old_end"), F.col("now")
-    kept = _interval("old_", attributes, start, end)
-    opened = _interval("new_", attributes, now, now)
+    kept = _interval("old_", values, start, end)
+    opened = _interval("new_", values, now, now)
     rows = (
         F.when(now.isNull(), F.array(kept))
         .when(start.isNull(), F.array(opened))
-        .when(
-            _same("old_", "new_", attributes),
-            F.array(_interval("old_", attributes, start, now)),
-        )
+        .when(_same("old_", "new_", attributes), F.array(_interval("new_", values, start, now)))
         .otherwise(F.array(kept, opened))
     )
     current = both.select(key, F.inline(rows))
-    closed = history.filter(F.col("end_date") < t - 1).select(*current.columns)
-    return stamp(closed.unionByName(current), t)
+    closed = history.filter(F.col("end_date") < F.lit(t) - 1).select(*current.columns)
+    result = stamp(closed.unionByName(current), t)
+    if STAMP in stored.columns:
+        result = require_previous(result, stored, STAMP, F.lit(t) - 1, F.lit(t))
+    return result
 
 
 def scd2_expand_changed(
     history: DataFrame,
     snapshot: DataFrame,
-    t: int,
+    t: int | Column,
     key: str = KEY,
     attributes: list[str] = ATTRIBUTES,
     period: str = "current_year",
 ) -> DataFrame:
     """Only the changed keys: the closed and the opened interval of each."""
-    both = _compare(history, snapshot, t, key, attributes, period)
+    both = _compare(as_of_before(history, t), snapshot, t, key, attributes, period)
     now = F.col("now")
     changed = both.filter(
         now.isNotNull()

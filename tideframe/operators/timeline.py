@@ -28,17 +28,13 @@ def date_lists(days: DataFrame, key: str) -> DataFrame:
     return days.groupBy(key).agg(F.sort_array(F.collect_list("day")).alias("dates"))
 
 
-def timeline(lists: DataFrame, key: str, as_of: Column) -> DataFrame:
-    """One row per entity and day from its first day to ``as_of``.
-
-    An activity day stays the latest one until the day before the next, so each
-    is expanded over exactly that stretch: two generators, no join with a
-    calendar, no window and no shuffle.
+def stretches(lists: DataFrame, key: str, as_of: Column) -> DataFrame:
+    """One row per activity day up to ``as_of``, with the day until which it is the latest.
 
-    Columns: key, dates, pos (index of the latest activity day), last_active,
-    previous_active, snapshot.
+    Columns: key, dates, pos (index of the activity day), last_active,
+    next_active, previous_active, as_of, until.
     """
-    step = (
+    return (
         lists.withColumn("as_of", as_of)
         .select("*", F.posexplode("dates").alias("pos", "last_active"))
         .filter(F.col("last_active") <= F.col("as_of"))
@@ -49,7 +45,19 @@ def timeline(lists: DataFrame, key: str, as_of: Column) -> DataFrame:
             F.least(F.coalesce(F.date_sub("next_active", 1), F.col("as_of")), "as_of"),
         )
     )
-    return step.select(
+
+
+def timeline(lists: DataFrame, key: str, as_of: Column) -> DataFrame:
+    """One row per entity and day from its first day to ``as_of``.
+
+    An activity day stays the latest one until the day before the next, so each
+    is expanded over exactly that stretch: two generators, no join with a
+    calendar, no window and no shuffle.
+
+    Columns: key, dates, pos (index of the latest activity day), last_active,
+    previous_active, snapshot.
+    """
+    return stretches(lists, key, as_of).select(
         key, "dates", "pos", "last_active", "previous_active",
         F.explode(X.days_between(F.col("last_active"), F.col("until"))).alias("snapshot"),
     )

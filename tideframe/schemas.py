@@ -50,7 +50,7 @@ ACTORS = _schema(
 )
 
 ACTORS_HISTORY = _schema(
-    actorid="string", quality_class="string", is_active="boolean",
+    actorid="string", actor="string", quality_class="string", is_active="boolean",
     start_date="int", end_date="int", current_year="int",
 )
 
