@@ -45,18 +45,20 @@ def test_medals_join_their_own_player_only(spark, roles):
 
 
 def test_reports_do_not_count_medals(spark, roles):
-    assert rows(M.avg_kills_per_player(*roles)) == [("a", 7.0), ("b", 4.0)]
-    assert rows(M.most_played(*roles, ["playlist_id"])) == [("ranked", 2), ("social", 1)]
-    assert rows(M.most_played(*roles, ["mapid", "map_name"])) == [
+    played = M.played(*roles)
+    assert rows(M.avg_kills_per_player(played)) == [("a", 7.0), ("b", 4.0)]
+    assert rows(M.most_played(played, ["playlist_id"])) == [("ranked", 2), ("social", 1)]
+    assert rows(M.most_played(played, ["mapid", "map_name"])) == [
         ("x", "Map X", 1), ("y", "Map Y", 2)
     ]
-    assert rows(M.killing_sprees(*roles)) == [("x", "Map X", 2), ("y", "Map Y", 1)]
+    assert rows(M.killing_sprees(played)) == [("x", "Map X", 2), ("y", "Map Y", 1)]
 
 
 def test_reports_are_ranked(spark, roles):
-    ranked = M.avg_kills_per_player(*roles).collect()
+    report = M.avg_kills_per_player(M.played(*roles))
+    ranked = report.collect()
     assert [r[0] for r in ranked] == ["a", "b"]
-    local = M.locally_sorted(M.avg_kills_per_player(*roles), "avg_kills_per_game")
+    local = M.locally_sorted(report, "avg_kills_per_game")
     assert rows(local) == [("a", 7.0), ("b", 4.0)]
     assert "rangepartitioning" in plan(local)
 
@@ -96,7 +98,7 @@ def test_bucketed_join_has_no_hash_exchange(spark, roles):
     assert rows(out) == rows(M.match_join(*roles))
 
 
-def test_hot_match_is_joined_shuffled(spark, roles):
+def test_hot_match_is_in_the_bucketed_join_too(spark, roles):
     matches, details, medals, maps = roles
     hot = medals.unionByName(
         spark.range(1000).select(
@@ -104,10 +106,18 @@ def test_hot_match_is_joined_shuffled(spark, roles):
             F.lit("Other").alias("medal_type"),
         )
     )
-    assert M.hottest_share(hot, "match_id") > 0.9
     out = _bucketed(spark, (matches, details, hot, maps), buckets=4)
-    assert "bucketed" not in plan(out)
-    assert out.count() == 1006
+    assert "match_details_bucketed" in plan(out)
+    assert out.count() == M.match_join(matches, details, hot, maps).count() == 1006
+
+
+def test_same_prefix_overwrites(spark, roles):
+    folder = work_folder(spark, "b")
+    before = len(spark.catalog.listTables())
+    for _ in range(2):
+        out = M.bucketed_match_join(spark, *roles, folder, "again", buckets=2)
+    assert rows(out) == rows(M.match_join(*roles))
+    assert len(spark.catalog.listTables()) == before + 3
 
 
 def test_rewriting_a_bucketed_table_does_not_double_it(spark, roles):

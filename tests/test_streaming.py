@@ -147,3 +147,19 @@ def test_connector_options():
     assert "kafka.security.protocol" not in SO.kafka_options("host:9092", "topic")
     j = SI.jdbc_options("jdbc:postgresql://h/db", "sessions", "u", "p")
     assert j["dbtable"] == "sessions" and j["driver"] == "org.postgresql.Driver"
+
+
+def test_batches_from_a_folder_of_part_files(spark, tmp_path):
+    """A table stored as several files is read whole, and each batch is handed on."""
+    data = [(ip, "h", at(s)) for ip in "abc" for s in range(0, 4000, 130)] + [("z", "h", at(99_000))]
+    df = spark.createDataFrame(data, "ip string, host string, window_timestamp timestamp")
+    df.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    df.limit(1).write.parquet(str(tmp_path / "other.parquet"))
+    own = SS.streaming_session(spark)
+    raw = SO.file_stream(own, str(tmp_path), df.schema, glob="events.parquet")
+    sessions = SS.session_windows(SO.with_watermark(raw))
+    SS.run(SS.start_to_batches(sessions, SI.parquet_batches(str(tmp_path / "out")), str(tmp_path / "cp"), once=True))
+    out = own.read.parquet(str(tmp_path / "out")).select(*sessions.columns)
+    batch = session_hits(df.withColumnRenamed("window_timestamp", "event_time"))
+    assert rows(out) == rows(batch.filter(F.col("session_end") <= F.lit(at(99_000 - 15))))
+    assert batch.count() == out.count() + 1

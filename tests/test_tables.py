@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
+from tideframe.streaming.sinks import missing_rows_batches
 from tideframe.operators import tables as B
 from tideframe.operators.datelist import datelist_backfill, datelist_snapshot, datelist_step
 from tideframe.sources.tables import csv_table
@@ -55,6 +56,25 @@ def test_snapshot_overwrite_is_idempotent(spark, tmp_path):
     assert stored(spark, path) == [(1, "a", 1), (2, "b", 2)]
 
 
+def test_new_keys_come_once(spark):
+    """As an insert that does nothing on conflict; an upsert takes one as well."""
+    old = frame(spark, (1, "a", 1))
+    new = frame(spark, (1, "a", 7), (2, "a", 5), (2, "a", 3), (2, "a", 3))
+    assert rows(B.skip_existing(old, new, ["id", "month"])) == [(2, "a", 3)]
+    assert rows(B.keyed_upsert(old, new, ["id", "month"])) == [(1, "a", 7), (2, "a", 3)]
+
+
+def test_replayed_batches_add_only_what_is_missing(spark, tmp_path):
+    path = str(tmp_path / "sink")
+    frame(spark, (1, "a", 1)).write.parquet(path)
+    write = missing_rows_batches(
+        lambda s: s.read.parquet(path), lambda df: df.write.mode("append").parquet(path), ["id", "month"]
+    )
+    for _ in range(2):
+        write(frame(spark, (1, "a", 9), (2, "b", 2)), 0)
+    assert stored(spark, path) == [(1, "a", 1), (2, "b", 2)]
+
+
 def test_insert_skips_known_keys(spark, tmp_path):
     path = str(tmp_path / "t")
     B.write_snapshot(frame(spark, (1, "a", 1)), path, "month")

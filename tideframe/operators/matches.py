@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from tideframe.functions.joins import broadcast_if_small
 from tideframe.operators.tables import write_bucketed
 
-# Fixed values.
+# Fixed value.
 KILLING_SPREE = "Killing Spree"
-BUCKETS = 16
 
 PLAYER_KEY = ["match_id", "player_gamertag"]
 
@@ -42,14 +41,8 @@ def match_join(
     )
 
 
-def hottest_share(df: DataFrame, key: str) -> float:
-    """Share of the most frequent key, by one grouping with map-side combine."""
-    row = (
-        df.groupBy(key).count()
-        .agg(F.max("count").alias("top"), F.sum("count").alias("rows"))
-        .first()
-    )
-    return (row["top"] or 0) / row["rows"] if row["rows"] else 0.0
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def bucketed_match_join(
@@ -60,17 +53,17 @@ def bucketed_match_join(
     maps: DataFrame,
     folder: str,
     prefix: str,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     partition_by: str | None = None,
 ) -> DataFrame:
     """match_join over three tables bucketed by match_id: no shuffle to join.
 
-    A bucket is read by one task and AQE cannot split it.  So the layout is
-    used only while no match holds more rows than an average bucket; with a
-    hotter match the same join runs shuffled, where AQE splits it.
+    A bucket is joined by one task.  ``buckets`` defaults to the session's
+    shuffle partitions; choose it so that a bucket is about 1 GB.  Where single
+    matches may outgrow that, use match_join, whose shuffles AQE splits.
+    The tables are overwritten by every call with the same ``prefix``.
     """
-    if max(hottest_share(t, "match_id") for t in (medals, details)) > 1 / buckets:
-        return match_join(matches, details, medals, maps)
+    buckets = buckets or shuffle_partitions(spark)
     for name, df, part in [
         ("matches", matches, partition_by),
         ("match_details", details, None),
@@ -94,82 +87,59 @@ def bucketed_match_join(
     )
 
 
-def _awarded(details: DataFrame, medals: DataFrame) -> DataFrame:
-    """Details of the players with a medal in the match.
+def played(
+    matches: DataFrame,
+    details: DataFrame,
+    medals: DataFrame,
+    maps: DataFrame,
+    medal: str = KILLING_SPREE,
+) -> DataFrame:
+    """One row per match and player that the full join keeps, for all reports.
 
-    Medals only decide whether a player counts, so their keys are made distinct
-    first: the semi join never multiplies rows, however many medals a player has.
+    match_id, player_gamertag, player_total_kills, sprees, playlist_id, mapid,
+    map_name.  Medals are counted per match and player before the join, so it
+    never multiplies rows, however many medals a player has.
     """
-    return details.join(medals.select(*PLAYER_KEY).distinct(), PLAYER_KEY, "left_semi")
-
-
-def _on_known_maps(matches: DataFrame, maps: DataFrame) -> DataFrame:
-    return matches.join(broadcast_if_small(maps), "mapid").withColumnRenamed(
-        "name", "map_name"
+    per_player = medals.groupBy(*PLAYER_KEY).agg(
+        F.count_if(F.col("medal_type") == medal).alias("sprees")
+    )
+    known = matches.join(broadcast_if_small(maps), "mapid").select(
+        "match_id", "playlist_id", "mapid", F.col("name").alias("map_name")
+    )
+    return (
+        details.select(*PLAYER_KEY, "player_total_kills")
+        .join(per_player, PLAYER_KEY)
+        .join(known, "match_id")
     )
 
 
-def avg_kills_per_player(
-    matches: DataFrame, details: DataFrame, medals: DataFrame, maps: DataFrame
-) -> DataFrame:
-    """Average kills per match, over the players the full join keeps."""
-    known = _on_known_maps(matches, maps).select("match_id")
-    played = _awarded(details, medals).join(known, "match_id", "left_semi")
+def avg_kills_per_player(rows: DataFrame) -> DataFrame:
+    """Average kills per match, of ``played``."""
     return _ranked(
-        played.groupBy("player_gamertag").agg(
+        rows.groupBy("player_gamertag").agg(
             F.avg("player_total_kills").alias("avg_kills_per_game")
         ),
         "avg_kills_per_game",
     )
 
 
-def most_played(
-    matches: DataFrame, details: DataFrame, medals: DataFrame, maps: DataFrame, by: list[str]
-) -> DataFrame:
-    """Matches per playlist or map, most played first.
+def most_played(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Matches per playlist or map, most played first, of ``played``.
 
-    Only matches the full join keeps are counted; their ids are made distinct
-    before the join, so a match with very many players joins as one row.
+    Match ids are made distinct first, with map-side combine, so a match with
+    very many players counts as one row.
     """
-    ids = _awarded(details, medals).select("match_id").distinct()
     return _ranked(
-        _on_known_maps(matches, maps)
-        .join(ids, "match_id", "left_semi")
-        .groupBy(*by)
-        .agg(F.count_distinct("match_id").alias("matches_played")),
+        rows.select("match_id", *by).distinct().groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("matches_played")),
         "matches_played",
     )
 
 
-def killing_sprees(
-    matches: DataFrame,
-    details: DataFrame,
-    medals: DataFrame,
-    maps: DataFrame,
-    medal: str = KILLING_SPREE,
-) -> DataFrame:
-    """Killing-spree medals per map; a map played without any shows 0.
-
-    Medals are counted per match and player, and then per match, before the
-    join with matches.
-    """
-    per_player = medals.groupBy(*PLAYER_KEY).agg(
-        F.count_if(F.col("medal_type") == medal).alias("sprees")
-    )
-    per_match = (
-        per_player.join(details, PLAYER_KEY, "left_semi")
-        .groupBy("match_id")
-        .agg(F.sum("sprees").alias("sprees"))
-    )
-    per_map = (
-        per_match.join(matches, "match_id")
-        .groupBy("mapid")
-        .agg(F.sum("sprees").alias("total_killing_spree_medals"))
-    )
+def killing_sprees(rows: DataFrame) -> DataFrame:
+    """Killing-spree medals per map, of ``played``; a map played without any shows 0."""
     return _ranked(
-        per_map.join(maps, "mapid").select(
-            "mapid", F.col("name").alias("map_name"), "total_killing_spree_medals"
-        ),
+        rows.groupBy("mapid", "map_name").agg(F.sum("sprees").alias("total_killing_spree_medals")),
         "total_killing_spree_medals",
     )
 

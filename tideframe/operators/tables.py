@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Up to this many partition values are written into the filter of an upsert.
-LISTED_PARTITIONS = 1_000
+from tideframe.operators.rollup import dedupe_rows
 
 
 def skip_existing(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``target`` yet."""
-    return new.join(target.select(*keys), keys, "left_anti")
+    """Rows of ``new`` whose key is not in ``target`` yet, one per key.
+
+    Of several new rows with a key the first in the order of the other columns
+    is taken, as an insert that does nothing on conflict keeps one.
+    """
+    return dedupe_rows(new, keys, []).join(target.select(*keys), keys, "left_anti").select(*new.columns)
 
 
 def keyed_upsert(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` with the rows of ``new`` inserted or replaced by key."""
+    """``target`` with the rows of ``new`` inserted or replaced by key, one per key."""
+    new = dedupe_rows(new, keys, [])
     kept = target.join(new.select(*keys), keys, "left_anti")
     return kept.unionByName(new.select(*target.columns))
 
@@ -103,12 +107,8 @@ def upsert_partitions(
     the partitions dynamically.
     """
     target = spark.read.schema(new.schema).parquet(path)
-    found = new.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()
-    if len(found) <= LISTED_PARTITIONS:
-        # literal values prune the scan to the touched folders
-        touched = target.filter(F.col(partition).isin([r[0] for r in found]))
-    else:
-        touched = target.join(new.select(partition).distinct(), partition, "left_semi")
+    # dynamic partition pruning keeps the scan to the touched folders
+    touched = target.join(new.select(partition).distinct(), partition, "left_semi").select(*new.columns)
     write_snapshot(keyed_upsert(touched, new, keys), staging, partition)
     write_snapshot(spark.read.schema(new.schema).parquet(staging), path, partition)
 

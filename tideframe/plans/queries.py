@@ -1,13 +1,18 @@
 """The registered queries: operators over the roles of the Parquet tables.
 
 Each takes (spark, folder) and reads its whole tables.  Steps (state of t from
-state of t-1) run for a fixed year or day, as a scheduled job would.
+state of t-1) run for the last year of the data, or for the last day on which
+somebody new came, so that every state occurs.
+
+A query sets adaptive execution in its session (session.tune).  Queries that
+write use tables and folders named by the application, which the next run
+overwrites.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from datetime import date
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,18 +35,19 @@ from tideframe.plans.present import films_text, flat
 from tideframe.schemas import INPUTS, QUALITY_CLASSES
 from tideframe.session import tune, work_folder
 from tideframe.sources import roles as R
-from tideframe.sources.tables import parquet_table
+from tideframe.sources.tables import csv_table, parquet_table
 from tideframe.streaming import sessions as SS
 from tideframe.streaming import sources as SO
+from tideframe.streaming.sinks import parquet_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-STEP_YEAR = 2000
-STEP_DAY = date(2024, 1, 16)
-DAY_BEFORE = date(2024, 1, 15)
 # The medal that plays the part of the killing spree in the test tables.
 SPREE = "PROMO"
 
+# The name of an actor goes along with the history.
+NAMED = ("actor",)
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -56,6 +62,17 @@ def register(f: Query) -> Query:
     return f
 
 
+def _own_name(spark: SparkSession, name: str) -> str:
+    """A table name of this application, overwritten by its next run."""
+    return f"{name}_{re.sub('[^a-z0-9]', '_', spark.sparkContext.applicationId.lower())}"
+
+
+def _own_folder(spark: SparkSession, name: str) -> str:
+    """The folder of such a table."""
+    base = work_folder(spark, name).rpartition("/")[0]
+    return f"{base}/{name}-{spark.sparkContext.applicationId}"
+
+
 # --- cumulative snapshots ---------------------------------------------------
 
 
@@ -69,9 +86,9 @@ def _last_year(spark: SparkSession, folder: str) -> Column:
     return orders.agg(F.year(F.max("o_orderdate")).alias("year")).scalar()
 
 
-def _attributes(spark: SparkSession, folder: str) -> DataFrame:
+def _attributes(spark: SparkSession, folder: str, names: DataFrame | None = None) -> DataFrame:
     films = R.actor_films(spark, folder)
-    return A.actor_attributes(films, _last_year(spark, folder))
+    return A.actor_attributes(films, _last_year(spark, folder), names)
 
 
 @register
@@ -87,9 +104,9 @@ def actor_cumulative(spark: SparkSession, folder: str) -> DataFrame:
 def actor_cumulative_step(spark: SparkSession, folder: str) -> DataFrame:
     films = R.actor_films(spark, folder)
     names = R.actor_names(spark, folder)
-    earlier = films.filter(F.col("year") < STEP_YEAR)
-    before = A.actor_backfill(earlier, STEP_YEAR - 1, names=names)
-    return _with_film_text(A.actor_step(before, films, STEP_YEAR, names=names))
+    last = _last_year(spark, folder)
+    before = A.actor_backfill(films.filter(F.col("year") < last), last - 1, names=names)
+    return _with_film_text(A.actor_step(before, films, last, names=names))
 
 
 @register
@@ -105,12 +122,19 @@ def device_datelist(spark: SparkSession, folder: str) -> DataFrame:
     return flat(D.datelist_backfill(events, "device_id", "device_activity_datelist"))
 
 
+def _device_step(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Date lists of the day before the step's and of its day."""
+    events = R.order_events(spark, folder)
+    day = R.last_arrival(events)
+    name = "device_activity_datelist"
+    before = D.datelist_snapshot(events, "device_id", name, F.date_sub(day, 1))
+    return before, D.datelist_step(before, events, "device_id", name, day)
+
+
 @register
 def device_datelist_step(spark: SparkSession, folder: str) -> DataFrame:
-    events = R.web_events(spark, folder)
-    name = "device_activity_datelist"
-    before = D.datelist_snapshot(events, "device_id", name, DAY_BEFORE)
-    return flat(D.datelist_step(before, events, "device_id", name, STEP_DAY))
+    _, now = _device_step(spark, folder)
+    return flat(now)
 
 
 @register
@@ -121,56 +145,133 @@ def host_datelist(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def host_month_array(spark: SparkSession, folder: str) -> DataFrame:
-    return flat(H.host_month_array(R.web_events(spark, folder)))
+    return flat(H.host_month_array(R.order_events(spark, folder)))
 
 
 @register
 def host_month_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    events = R.web_events(spark, folder)
-    state = H.host_month_array(events, DAY_BEFORE)
-    new = H.host_month_step(state, events, STEP_DAY)
+    events = R.order_events(spark, folder)
+    day = R.last_arrival(events)
+    state = H.host_month_array(events, F.date_sub(day, 1))
+    new = H.host_month_step(state, events, day)
     return flat(B.keyed_upsert(state, new, H.KEY))
 
 
 @register
 def month_array_explode(spark: SparkSession, folder: str) -> DataFrame:
-    return flat(H.month_array_explode(H.host_month_array(R.web_events(spark, folder))))
+    return flat(H.month_array_explode(H.host_month_array(R.order_events(spark, folder))))
 
 
 @register
 def insert_skip_existing(spark: SparkSession, folder: str) -> DataFrame:
     """Devices of the step day that the state of the day before does not hold."""
-    events = R.web_events(spark, folder)
-    name = "device_activity_datelist"
-    before = D.datelist_snapshot(events, "device_id", name, DAY_BEFORE)
-    now = D.datelist_step(before, events, "device_id", name, STEP_DAY)
+    before, now = _device_step(spark, folder)
     return flat(B.skip_existing(before, now, ["device_id"]))
 
 
-# --- slowly changing dimensions -----------------------------------------------
+# --- writes ---------------------------------------------------------------------
+
+
+def _classes(spark: SparkSession, folder: str) -> DataFrame:
+    return _attributes(spark, folder).select("actorid", "quality_class", "current_year")
+
+
+def _start(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").partitionBy("current_year").parquet(path)
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @register
-def scd2_backfill(spark: SparkSession, folder: str) -> DataFrame:
-    return S.scd2_backfill(_attributes(spark, folder))
+def snapshot_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """All years but the last, then the last two over them: nothing doubles."""
+    rows, last = _classes(spark, folder), _last_year(spark, folder)
+    out = _own_folder(spark, "snapshots")
+    _start(rows.filter(F.col("current_year") < last), out)
+    B.write_snapshot(rows.filter(F.col("current_year") >= last - 1), out, "current_year")
+    return _stored(rows, out)
 
 
-def _history_before(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    snapshots = _attributes(spark, folder)
-    history = S.scd2_backfill(snapshots.filter(F.col("current_year") < STEP_YEAR))
-    return history, snapshots
+@register
+def overwrite_insert(spark: SparkSession, folder: str) -> DataFrame:
+    """A catalog table that held the first year, overwritten with the last."""
+    rows, last = _classes(spark, folder), _last_year(spark, folder)
+    name = _own_name(spark, "classes")
+    first = rows.filter(F.col("current_year") == rows.agg(F.min("current_year").alias("y")).scalar())
+    first.write.mode("overwrite").option("path", _own_folder(spark, "classes")).saveAsTable(name)
+    B.overwrite_table(rows.filter(F.col("current_year") == last), name)
+    return spark.table(name)
+
+
+@register
+def insert_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes an actor had the year before, and those of the last year that are new."""
+    rows, last = _classes(spark, folder), _last_year(spark, folder)
+    out = _own_folder(spark, "insert-missing")
+    _start(rows.filter(F.col("current_year") == last - 1), out)
+    new = rows.filter(F.col("current_year") == last)
+    for _ in range(2):  # the second time there is nothing left to insert
+        B.insert_missing(spark, out, new.unionByName(new), ["actorid", "quality_class"], "current_year")
+    return _stored(rows, out)
+
+
+@register
+def upsert_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Old rows up to the year before; that year and the last one upserted."""
+    rows, last = _classes(spark, folder), _last_year(spark, folder)
+    out = _own_folder(spark, "upserted")
+    old = rows.filter(F.col("current_year") < last).withColumn("quality_class", F.lit("old"))
+    _start(old, out)
+    new = rows.filter((F.col("current_year") >= last - 1) & (F.col("actorid") % 2 == 0))
+    B.upsert_partitions(
+        spark, out, new, ["actorid", "current_year"], "current_year", work_folder(spark, "upsert-staging")
+    )
+    return _stored(rows, out)
+
+
+@register
+def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written as CSV with a header and read with their declared types."""
+    orders = parquet_table(spark, folder, "orders")
+    out = _own_folder(spark, "orders-csv")
+    orders.write.mode("overwrite").option("header", True).csv(out)
+    return flat(csv_table(spark, out, orders.schema))
+
+
+# --- slowly changing dimensions -----------------------------------------------
+
+
+@register
+def scd2_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    snapshots = _attributes(spark, folder, R.actor_names(spark, folder))
+    return S.stamp(S.scd2_backfill(snapshots, carry=NAMED), _last_year(spark, folder))
+
+
+def _history_before(
+    spark: SparkSession, folder: str, carry: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame, Column]:
+    """A table of two stamped histories, all snapshots, and the step's year."""
+    last = _last_year(spark, folder)
+    snapshots = _attributes(spark, folder, R.actor_names(spark, folder) if carry else None)
+    before, older = (
+        S.stamp(S.scd2_backfill(snapshots.filter(F.col("current_year") < y), carry=carry), y - 1)
+        for y in (last, last - 1)
+    )
+    return before.unionByName(older), snapshots, last
 
 
 @register
 def scd2_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    history, snapshots = _history_before(spark, folder)
-    return S.scd2_incremental(history, snapshots, STEP_YEAR)
+    history, snapshots, last = _history_before(spark, folder, NAMED)
+    return S.scd2_incremental(history, snapshots, last, carry=NAMED)
 
 
 @register
 def scd2_expand_changed(spark: SparkSession, folder: str) -> DataFrame:
-    history, snapshots = _history_before(spark, folder)
-    return S.scd2_expand_changed(history, snapshots, STEP_YEAR)
+    history, snapshots, last = _history_before(spark, folder)
+    return S.scd2_expand_changed(history, snapshots, last)
 
 
 @register
@@ -183,17 +284,17 @@ def scd2_group_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def device_datelist_int(spark: SparkSession, folder: str) -> DataFrame:
-    return flat(D.activity_bits(R.web_events(spark, folder), "device_id"))
+    return flat(D.activity_bits(R.order_events(spark, folder), "device_id"))
 
 
 @register
 def host_datelist_int(spark: SparkSession, folder: str) -> DataFrame:
-    return flat(D.activity_bits(R.web_events(spark, folder), "host"))
+    return flat(D.activity_bits(R.order_events(spark, folder), "host"))
 
 
 def _last_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Device date lists of the last day, as the state table holds them."""
-    events = R.web_events(spark, folder)
+    events = R.order_events(spark, folder)
     return D.datelist_snapshot(events, "device_id", "device_activity_datelist")
 
 
@@ -213,7 +314,7 @@ def calendar_grid(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def active_days_bits(spark: SparkSession, folder: str) -> DataFrame:
-    bits = D.activity_bits(R.web_events(spark, folder), "device_id")
+    bits = D.activity_bits(R.order_events(spark, folder), "device_id")
     return D.active_days_bits(bits, "device_id")
 
 
@@ -256,27 +357,37 @@ def growth_daily_state(spark: SparkSession, folder: str) -> DataFrame:
     return flat(G.growth_backfill(R.player_days(spark, folder)).drop("yearly_active_state"))
 
 
+def _order_days(spark: SparkSession, folder: str, player: str = "ip") -> DataFrame:
+    """Order days give years of absence, which the month of events does not."""
+    return R.order_events(spark, folder).select(
+        F.col(player).alias("player_name"), F.to_date("event_time").alias("effective_date")
+    )
+
+
 @register
 def growth_yearly_state(spark: SparkSession, folder: str) -> DataFrame:
-    """Entities per day and yearly state.
+    """Entities per day and yearly state."""
+    return flat(G.growth_counts(_order_days(spark, folder), "yearly_active_state"))
 
-    Order days give years of absence, which the month of events does not.
-    """
-    orders = parquet_table(spark, folder, "orders").select(
-        F.col("o_custkey").alias("player_name"),
-        F.to_date("o_orderdate").alias("effective_date"),
-    )
+
+@register
+def growth_yearly_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every entity's yearly state on the last day."""
+    days = _order_days(spark, folder)
+    last = X.latest(days, F.col("effective_date"))
     return flat(
-        G.growth_backfill(orders)
-        .groupBy("date", "yearly_active_state")
-        .agg(F.count(F.lit(1)).alias("entities"))
+        G.growth_snapshot(days, last).select(
+            "player_name", "last_active_date", "yearly_active_state", "date"
+        )
     )
 
 
 @register
 def growth_step(spark: SparkSession, folder: str) -> DataFrame:
-    days = R.player_days(spark, folder)
-    return flat(G.growth_step(G.growth_backfill(days, DAY_BEFORE), days, STEP_DAY))
+    day = R.last_arrival(R.order_events(spark, folder))
+    days = _order_days(spark, folder, "device_id")
+    before = G.growth_snapshot(days, F.date_sub(day, 1))
+    return flat(G.growth_step(before, days, day))
 
 
 @register
@@ -329,48 +440,60 @@ def _yearly(matches: DataFrame) -> DataFrame:
 def bucketed_match_join(spark: SparkSession, folder: str) -> DataFrame:
     """Stored by year, because a day of the test tables is a handful of rows."""
     matches, details, medals, maps = _match_roles(spark, folder)
-    out = work_folder(spark, "bucketed-matches")
     return flat(
         M.bucketed_match_join(
-            spark, _yearly(matches), details, medals, maps, out,
-            "t" + out.rsplit("-", 1)[1], partition_by="completion_year",
+            spark, _yearly(matches), details, medals, maps,
+            _own_folder(spark, "bucketed-matches"), _own_name(spark, "t"),
+            partition_by="completion_year",
         )
     )
 
 
 @register
 def joined_matches_sink(spark: SparkSession, folder: str) -> DataFrame:
-    out = work_folder(spark, "joined-matches")
     joined = _yearly(M.match_join(*_match_roles(spark, folder)))
-    name = "joined_matches_" + out.rsplit("-", 1)[1]
     return flat(
-        B.write_bucketed(joined, name, out, "match_id", M.BUCKETS, "completion_year")
+        B.write_bucketed(
+            joined, _own_name(spark, "joined_matches"), _own_folder(spark, "joined-matches"),
+            "match_id", M.shuffle_partitions(spark), "completion_year",
+        )
     )
 
 
+def _played(spark: SparkSession, folder: str) -> DataFrame:
+    return M.played(*_match_roles(spark, folder), medal=SPREE)
+
+
 @register
 def avg_kills_per_player(spark: SparkSession, folder: str) -> DataFrame:
-    return M.avg_kills_per_player(*_match_roles(spark, folder))
+    return M.avg_kills_per_player(_played(spark, folder))
 
 
 @register
 def most_played_playlist(spark: SparkSession, folder: str) -> DataFrame:
-    return M.most_played(*_match_roles(spark, folder), ["playlist_id"])
+    return M.most_played(_played(spark, folder), ["playlist_id"])
 
 
 @register
 def most_played_map(spark: SparkSession, folder: str) -> DataFrame:
-    return M.most_played(*_match_roles(spark, folder), ["mapid", "map_name"])
+    return M.most_played(_played(spark, folder), ["mapid", "map_name"])
 
 
 @register
 def map_killing_sprees(spark: SparkSession, folder: str) -> DataFrame:
-    return M.killing_sprees(*_match_roles(spark, folder), medal=SPREE)
+    return M.killing_sprees(_played(spark, folder))
 
 
 @register
 def sorted_aggregates(spark: SparkSession, folder: str) -> DataFrame:
-    """The three reports in a layout for writing, sorted within files."""
+    """The three reports in a layout for writing, sorted within files.
+
+    What they share, a row per match and player, is written once.
+    """
+    out = _own_folder(spark, "played")
+    shared = _played(spark, folder)
+    shared.write.mode("overwrite").parquet(out)
+    rows = spark.read.schema(shared.schema).parquet(out)
 
     def row(df: DataFrame, report: str, key: str, value: str) -> DataFrame:
         return M.locally_sorted(df, value).select(
@@ -380,11 +503,11 @@ def sorted_aggregates(spark: SparkSession, folder: str) -> DataFrame:
 
     return C.all_of(
         [
-            row(avg_kills_per_player(spark, folder), "avg_kills",
+            row(M.avg_kills_per_player(rows), "avg_kills",
                 "player_gamertag", "avg_kills_per_game"),
-            row(most_played_playlist(spark, folder), "most_played_playlist",
+            row(M.most_played(rows, ["playlist_id"]), "most_played_playlist",
                 "playlist_id", "matches_played"),
-            row(map_killing_sprees(spark, folder), "killing_sprees",
+            row(M.killing_sprees(rows), "killing_sprees",
                 "mapid", "total_killing_spree_medals"),
         ]
     )
@@ -409,18 +532,31 @@ def hits_per_session_id(spark: SparkSession, folder: str) -> DataFrame:
     return W.hits_per_session_id(W.with_session_id(R.web_events(spark, folder)))
 
 
-@register
-def stream_session_hits(spark: SparkSession, folder: str) -> DataFrame:
-    """Runs the stream over the events file to its end and reads the sink."""
+def _event_sessions(spark: SparkSession, folder: str) -> tuple[SparkSession, DataFrame, str]:
+    """A session for streams, the stream of sessions, and a new folder for its output."""
     own = SS.streaming_session(spark)
-    out = work_folder(spark, "stream-sessions")
     raw = SO.file_stream(own, folder, INPUTS["events"], glob="events.parquet")
     events = raw.select(
         F.col("user_id").alias("ip"),
         F.col("event_type").alias("host"),
         F.col("ts").alias("window_timestamp"),
     )
-    sessions = SS.session_windows(SO.with_watermark(events))
+    return own, SS.session_windows(SO.with_watermark(events)), work_folder(spark, "stream-sessions")
+
+
+@register
+def stream_session_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The same stream, each micro-batch handed to a writer."""
+    own, sessions, out = _event_sessions(spark, folder)
+    write = parquet_batches(f"{out}/sessions")
+    SS.run(SS.start_to_batches(sessions, write, f"{out}/checkpoint", once=True))
+    return flat(own.read.parquet(f"{out}/sessions").select(*sessions.columns))
+
+
+@register
+def stream_session_hits(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs the stream over the events file to its end and reads the sink."""
+    own, sessions, out = _event_sessions(spark, folder)
     SS.run(SS.start_to_files(sessions, f"{out}/sessions", f"{out}/checkpoint", once=True))
     return flat(own.read.schema(sessions.schema).parquet(f"{out}/sessions"))
 
@@ -476,17 +612,17 @@ def profit_by_unit(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def profit_total(spark: SparkSession, folder: str) -> DataFrame:
-    return flat(E.profit_total(R.order_profit(spark, folder)))
+    return flat(E.profit_total(R.customer_profit(spark, folder)))
 
 
 @register
 def growth_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return flat(E.growth_daily(G.growth_backfill(R.player_days(spark, folder))))
+    return flat(G.growth_counts(R.player_days(spark, folder)))
 
 
 @register
 def growth_total(spark: SparkSession, folder: str) -> DataFrame:
-    return flat(E.growth_total(G.growth_backfill(R.player_days(spark, folder))))
+    return flat(E.growth_total(G.growth_counts(R.player_days(spark, folder))))
 
 
 @register

@@ -8,7 +8,7 @@ size allows and otherwise shuffles, with AQE splitting hot keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.sources.tables import parquet_table
@@ -42,6 +42,22 @@ def web_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Years of events: the orders of a customer with one priority are a device's."""
+    return parquet_table(spark, folder, "orders").select(
+        F.concat_ws("-", "o_custkey", F.substring("o_orderpriority", 1, 1)).alias("device_id"),
+        F.col("o_custkey").alias("ip"),
+        F.col("o_orderpriority").alias("host"),
+        F.col("o_orderdate").alias("event_time"),
+    )
+
+
+def last_arrival(events: DataFrame) -> Column:
+    """The last day on which a device was seen for the first time."""
+    first = events.groupBy("device_id").agg(F.min(F.to_date("event_time")).alias("d"))
+    return first.agg(F.max("d").alias("d")).scalar()
+
+
 def player_days(spark: SparkSession, folder: str) -> DataFrame:
     day = F.to_date("ts")
     return parquet_table(spark, folder, "events").select(
@@ -188,11 +204,10 @@ def user_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_profit(spark: SparkSession, folder: str) -> DataFrame:
-    """(segment, month, profit) per customer and month.
+def customer_profit(spark: SparkSession, folder: str) -> DataFrame:
+    """(c_custkey, month, profit).
 
-    Amounts are summed per order before the join with orders and per customer
-    and month before the join with customers: hot orders and customers leave
+    Amounts are summed per order before the join with orders: hot orders leave
     each map task as a few rows.
     """
     amount = F.col("l_extendedprice").cast("decimal(18,2)") * (
@@ -203,7 +218,7 @@ def order_profit(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.sum(amount).alias("profit"))
     )
-    per_customer = (
+    return (
         per_order.join(parquet_table(spark, folder, "orders"), "o_orderkey")
         .groupBy(
             F.col("o_custkey").alias("c_custkey"),
@@ -211,6 +226,11 @@ def order_profit(spark: SparkSession, folder: str) -> DataFrame:
         )
         .agg(F.sum("profit").alias("profit"))
     )
-    return per_customer.join(parquet_table(spark, folder, "customer"), "c_custkey").select(
+
+
+def order_profit(spark: SparkSession, folder: str) -> DataFrame:
+    """(segment, month, profit) per customer and month."""
+    customer = parquet_table(spark, folder, "customer")
+    return customer_profit(spark, folder).join(customer, "c_custkey").select(
         F.col("c_mktsegment").alias("segment"), "month", "profit"
     )

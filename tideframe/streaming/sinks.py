@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from tideframe.operators.tables import skip_existing
+
+#: What tells sessions apart in a sink.
+SESSION_KEY = ["ip", "host", "session_start"]
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -33,11 +38,27 @@ def jdbc_options(
     }
 
 
-def jdbc_batches(options: dict[str, str]) -> BatchWriter:
-    """Appends each batch to a table.  A replayed batch is appended again; give
-    the table a unique key on (ip, host, session_start) to refuse it."""
+def missing_rows_batches(
+    read: Callable[[SparkSession], DataFrame],
+    append: Callable[[DataFrame], None],
+    keys: list[str],
+) -> BatchWriter:
+    """Appends the rows of a batch whose key the target does not hold.
+
+    A batch that is replayed, also after it was written in part, adds only what
+    is missing.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format("jdbc").options(**options).mode("append").save()
+        append(skip_existing(read(batch.sparkSession), batch, keys))
 
     return write
+
+
+def jdbc_batches(options: dict[str, str], keys: list[str] = SESSION_KEY) -> BatchWriter:
+    """Appends each batch to a relational table, safe on replay."""
+    return missing_rows_batches(
+        lambda spark: spark.read.format("jdbc").options(**options).load(),
+        lambda rows: rows.write.format("jdbc").options(**options).mode("append").save(),
+        keys,
+    )

@@ -75,13 +75,20 @@ def file_stream(
     fmt: str = "parquet",
     glob: str | None = None,
     files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """New files of a folder as a stream."""
+    """New files of a folder as a stream.
+
+    ``glob`` names entries of the folder, which may be files or folders of part
+    files; ``bytes_per_trigger`` bounds a micro-batch while a backlog is read.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
+        folder = f"{folder}/{{{glob}}}"
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.load(folder)
 
 
