@@ -14,9 +14,12 @@ a lost task leaves nothing behind.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,7 @@ MAGIC = b"TDAC0001"
 BLOCK = 512  # bits of a bitmap per entry of its rank directory
 HEADER = struct.Struct("<8sIIB3x")  # magic, tokens, documents, levels
 #: Words whose ids a task remembers, and the longest of these.
-MEMO_WORDS, MEMO_CHARS = 300_000, 64
+MEMO_WORDS, MEMO_CHARS = 500_000, 64
 
 SEGMENTS = ("part int, segment int, first_token long, n_docs long, n_tokens long,"
             " first_doc long, last_doc long, data binary")
@@ -111,38 +114,67 @@ class Segment:
         return below
 
 
-class WordEncoder:
-    """Encodes texts word by word and remembers the ids of words.
+class WordIds(dict):
+    """Ids (as bytes) of words: what stands between two blanks.
 
-    Right for tokenizers that never look past white space: a text's ids are
-    those of its words, one after the other.
+    Right for tokenizers that never look past white space, lower their texts
+    and cut words where letters end.  A plain word, lower-case letters of
+    Latin-1 and then signs, is encoded as its letters by the tokenizer's own
+    model and its signs; any other word by the whole tokenizer.
     """
 
+    PLAIN = re.compile(r"([a-z\xdf-\xf6\xf8-\xff]+)([!-/:-@\[-`{-~]*)")
+    #: Byte-level form of a text: bytes that print stand for themselves.
+    BYTES = {b: 256 + k for k, b in enumerate(
+        b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {"": b""}
-
-    def __call__(self, batch: list[str]) -> list[np.ndarray]:
-        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in batch]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo = {"": b""}
-        new = list({w for ws in words for w in ws}.difference(self.memo))
-        known = self.memo
-        for k in range(0, len(new), 10_000):
-            for w, e in zip(new[k:k + 10_000], self.tokenizer.encode_batch_fast(
-                    new[k:k + 10_000], add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        out = [np.frombuffer(b"".join(map(known.__getitem__, ws)), dtype="<u4") for ws in words]
-        for w in new:
-            if len(w) > MEMO_CHARS:
-                del known[w]
-        return out
+        self.model = self.tokenizer.model
+
+    def __missing__(self, word: str) -> bytes:
+        plain = self.PLAIN.fullmatch(word)
+        if plain is None or len(word) > MEMO_CHARS:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        elif plain[2]:
+            ids = self[plain[1]] + self._signs(plain[2])
+        else:
+            known = self.model.tokenize(word.encode().decode("latin-1").translate(self.BYTES))
+            ids = array("I", [t.id for t in known]).tobytes()
+        if len(word) <= MEMO_CHARS:
+            self[word] = ids
+        return ids
+
+    def _signs(self, signs: str) -> bytes:
+        if signs not in self:
+            self[signs] = array("I", self.tokenizer.encode(signs, add_special_tokens=False).ids).tobytes()
+        return self[signs]
+
+    def encode(self, text: str) -> np.ndarray:
+        if len(self) > MEMO_WORDS:
+            self.clear()
+            self[""] = b""
+        if "<|" not in text:  # the special tokens are told by their case
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:  # the tokenizer lowers some other letters its own way
+                pass
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype="<u4")
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One memory per Python worker, whatever the number of its tasks."""
+    return WordIds(path)
 
 
 def _segments(batches: Iterator[pa.RecordBatch], path: str, end: int, limit: int) -> Iterator[pa.RecordBatch]:
-    encode, part = WordEncoder(path), TaskContext.get().partitionId()
+    words, part = word_ids(path), TaskContext.get().partitionId()
     docs: list[int | None] = []
     ids: list[np.ndarray] = []
     held = segment = first = 0
@@ -158,15 +190,14 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str, end: int, limit: int
     tail = np.array([end], dtype="<u4")
     for batch in batches:
         bodies, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-        for k in range(0, len(keys), 100):
-            for d, x in zip(keys[k:k + 100], encode([t or "" for t in bodies[k:k + 100]])):
-                docs.append(d)
-                ids.append(np.concatenate([x, tail]))
-                held += len(x) + 1
-                if held >= limit:
-                    yield row()
-                    first, segment = first + held, segment + 1
-                    docs, ids, held = [], [], 0
+        for d, text in zip(keys, bodies):
+            docs.append(d)
+            ids.append(np.concatenate([words.encode(text or ""), tail]))
+            held += len(ids[-1])
+            if held >= limit:
+                yield row()
+                first, segment = first + held, segment + 1
+                docs, ids, held = [], [], 0
     if docs:
         yield row()
 
