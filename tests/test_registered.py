@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import pytest
@@ -68,3 +69,17 @@ def test_forced_shuffle_joins_give_the_same(spark, con):
         assert len(re.findall(r"FileScan parquet \[l_orderkey", final)) == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_entry_without_the_training_data_operators(monkeypatch):
+    monkeypatch.setattr(entry, "_has_llm", lambda: False)
+    assert entry.queries() == dict(QUERIES) and entry.oracle_sql() == dict(ORACLE)
+
+
+def test_nothing_else_imports_them():
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    for folder, _, names in os.walk(os.path.join(root, "tideframe")):
+        for name in names:
+            if name.endswith(".py") and os.path.basename(folder) != "llm":
+                with open(os.path.join(folder, name)) as f:
+                    assert "tideframe.llm" not in f.read(), name
