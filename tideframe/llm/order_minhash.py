@@ -7,10 +7,10 @@ agree in such a sketch when they share these shingles and their order, so the
 chance of agreement follows edit similarity and not only common content.
 
 Documents that agree in two (and in three) neighbouring sketches meet.  In each
-meeting all are compared with one of them, the hub, which gives as many pairs
-as members.  A link stands when the two sequences align in at least ``SIMILAR``
+meeting all are compared with two of them, the hubs, which gives twice as many
+pairs as members.  A link stands when the two sequences align in at least ``SIMILAR``
 of their shingles; linked documents form a class.  Meetings whose members are
-not yet one class choose another hub and compare again, until a round finds no
+not yet one class choose other hubs and compare again, until a round finds no
 link.  Copies of a word sequence are one document throughout.
 """
 
@@ -33,8 +33,8 @@ PICK = 3
 SIMILAR = 0.8
 #: Neighbouring sketches that name a meeting.
 DEPTHS = (2, 3)
-#: Turns of new hubs before a turn without a link may be the last.
-LEAST_TURNS = 2
+#: Members of a meeting with whom the others are compared in a turn.
+HUBS = 2
 
 _RANDOM = np.random.Generator(np.random.PCG64(31))
 _FACTORS = _RANDOM.integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -140,82 +140,64 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def meetings(reps: DataFrame) -> DataFrame:
-    """name, key: every meeting a document goes to."""
+    """key, name, n: every meeting a document goes to."""
     s = F.col("sketch")
 
     def key(depth: int, k: int) -> Column:
         return F.xxhash64(F.lit(depth * SKETCHES + k), *(s[(k + i) % SKETCHES] for i in range(depth)))
 
     keys = F.array(*(key(d, k) for d in DEPTHS for k in range(SKETCHES)))
-    return reps.select("name", F.explode(keys).alias("key"))
+    return reps.select(F.explode(keys).alias("key"), "name", "n")
 
 
 def shared_meetings(reps: DataFrame) -> DataFrame:
-    """key, name: the meetings of two or more."""
+    """The meetings of two or more."""
     met = meetings(reps)
-    several = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    return met.join(several, "key").select("key", "name")
+    several = met.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("key")
+    return met.join(several, "key").select("key", "name", "n")
 
 
-def candidates(shared: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
+def texts_of(docs: DataFrame, reps: DataFrame, shared: DataFrame) -> DataFrame:
+    """name, text of every document that meets another: one pass over all texts."""
+    needed = reps.join(shared.select("name").distinct(), "name").select("place", "name")
+    return (
+        docs.select(place(docs).alias("place"), "text").join(needed.hint("merge"), "place")
+        .groupBy("place", "name").agg(F.any_value("text").alias("text")).select("name", "text")
+    )
+
+
+def candidates(shared: DataFrame, roots: DataFrame | None, turn: int, similar: float) -> DataFrame:
     """name, hub: whom to compare in this turn, once each.
 
-    Only meetings of several classes compare.  The hub is the member least
-    after an exclusive or with a number that changes every turn.
+    Only meetings of several classes compare.  Each has HUBS hubs: the members
+    least after an exclusive or with numbers that change every turn.  Pairs
+    whose lengths rule out ``similar`` are left out.
     """
-    mask = F.lit(int(np.array(mix(np.array([turn], dtype=np.uint64))).view(np.int64)[0]))
     if roots is None:
-        members, known = shared.withColumn("root", F.col("name")), None
+        members = shared.withColumn("root", F.col("name"))
     else:
         members = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
-        known = roots.toDF("hub", "hub_root")
+    masks = mix(np.arange(HUBS, dtype=np.uint64) + np.uint64(HUBS * turn + 1)).view(np.int64).tolist()
+    least = [F.min(F.struct(F.col("name").bitwiseXOR(F.lit(m)).alias("x"), F.col("name").alias("hub"),
+                            F.col("root").alias("hub_root"), F.col("n").alias("hub_n"))) for m in masks]
     hubs = (
         members.groupBy("key")
-        .agg(F.min(F.col("name").bitwiseXOR(mask)).alias("hub"), F.min("root").alias("a"), F.max("root").alias("b"))
-        .filter("a <> b").select("key", F.col("hub").bitwiseXOR(mask).alias("hub"))
+        .agg(F.array(*least).alias("hubs"), F.min("root").alias("a"), F.max("root").alias("b"))
+        .filter("a <> b").select("key", F.inline("hubs")).drop("x").distinct()
+    )
+    return (
+        members.join(hubs, "key")
+        .filter((F.col("root") != F.col("hub_root")) & (F.least("n", "hub_n") >= similar * F.greatest("n", "hub_n")))
+        .select("name", "hub").distinct()
     )
-    pairs = members.join(hubs, "key").filter("name <> hub").select("name", "root", "hub").distinct()
-    if known is not None:
-        pairs = pairs.join(known, "hub", "left").filter(F.col("root") != F.coalesce("hub_root", "hub"))
-    return pairs.select("name", "hub")
-
-
-def classes(docs: DataFrame, reps: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """name, root of every document that is linked with another."""
-    shared = written(shared_meetings(reps), "near-meetings")
-    roots = tested = edges = None
-    turn = 0
-    while True:
-        pairs = candidates(shared, roots, turn)
-        if tested is not None:
-            pairs = pairs.join(tested, ["name", "hub"], "left_anti")
-        pairs = written(pairs, "near-candidates")
-        found = written(links(docs, reps, pairs, similar), "near-links")
-        tested = pairs if tested is None else tested.union(pairs)
-        if turn >= LEAST_TURNS and found.isEmpty():
-            return roots
-        edges = found if edges is None else edges.union(found)
-        roots = components(edges)
-        turn += 1
 
 
-def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def links(pairs: DataFrame, texts_by_name: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """name, hub of the pairs whose alignment holds."""
-    known = reps.select("name", "n", "place")
-    pairs = (
-        pairs.join(known, "name")
-        .join(known.toDF("hub", "hub_n", "hub_place"), "hub")
-        .filter(F.least("n", "hub_n") >= similar * F.greatest("n", "hub_n"))
-        .select("name", "hub", "place", "hub_place")
-    )
-    pairs = written(pairs, "near-pairs")
-    needed = pairs.select("place").union(pairs.select("hub_place")).distinct()
-    texts_of = (
-        docs.select(place(docs).alias("place"), "text").join(needed, "place")
-        .groupBy("place").agg(F.any_value("text").alias("text"))
+    both = (
+        pairs.join(texts_by_name.hint("merge"), "name")
+        .join(texts_by_name.toDF("hub", "hub_text").hint("merge"), "hub")
     )
-    both = pairs.join(texts_of, "place").drop("place").join(
-        texts_of.select(F.col("place").alias("hub_place"), F.col("text").alias("hub_text")), "hub_place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hub_shingles = None, np.zeros(0, dtype=np.uint64)
@@ -239,22 +221,41 @@ def components(edges: DataFrame) -> DataFrame:
     and rounds grow with their logarithm.
     """
     both = written(edges.union(edges.select("hub", "name")).toDF("name", "other").distinct(), "near-edges")
-    labels = both.groupBy("name").agg(F.least(F.min("other"), F.first("name")).alias("root"))
-    labels = written(labels, "near-labels")
+    labels = both.groupBy("name").agg(F.min("other").alias("root"))
+    labels = written(labels.select("name", F.least("name", "root").alias("root")), "near-labels")
+    none = F.lit(None).cast("long")
     while True:
-        told = both.join(labels.toDF("other", "root"), "other").select("name", "root")
-        least = told.union(labels).groupBy("name").agg(F.min("root").alias("least"))
-        jump = labels.toDF("least", "further")
-        new = (
-            least.join(labels.withColumnRenamed("root", "old"), "name").join(jump, "least", "left")
-            .select("name", F.least("least", F.coalesce("further", "least")).alias("root"), "old")
+        told = both.join(labels.toDF("other", "root"), "other").select("name", "root", none.alias("old"))
+        least = (
+            told.union(labels.select("name", "root", F.col("root").alias("old")))
+            .groupBy("name").agg(F.min("root").alias("least"), F.max("old").alias("old"))
+        )
+        jumped = least.join(labels.toDF("least", "further"), "least", "left")
+        new = written(
+            jumped.select("name", F.least("least", F.coalesce("further", "least")).alias("root"), "old"),
+            "near-labels",
         )
-        new = written(new, "near-labels")
         labels = new.select("name", "root")
         if new.filter("root < old").isEmpty():
             return labels
 
 
+def classes(docs: DataFrame, reps: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """name, root of every document that is linked with another."""
+    shared = written(shared_meetings(reps), "near-meetings")
+    text = written(texts_of(docs, reps, shared), "near-texts")
+    roots = edges = None
+    turn = 0
+    while True:
+        pairs = candidates(shared, roots, turn, similar)
+        found = written(links(pairs, text, similar), "near-links")
+        if found.isEmpty():
+            return components(found) if roots is None else roots
+        edges = found if edges is None else edges.union(found)
+        roots = components(edges)
+        turn += 1
+
+
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, class_id, class_size, kept, place of every row of ``docs`` (doc_id, text).
 
