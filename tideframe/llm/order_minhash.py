@@ -8,7 +8,7 @@ chance of agreement follows edit similarity and not only common content.
 
 Documents that agree in two (and in three) neighbouring sketches meet.  In each
 meeting all are compared with two of them, the hubs, which gives twice as many
-pairs as members.  A link stands when the two sequences align in at least ``SIMILAR``
+pairs as members; in the first turn each keeps the least of its hubs.  A link stands when the two sequences align in at least ``SIMILAR``
 of their shingles; linked documents form a class.  Meetings whose members are
 not yet one class choose other hubs and compare again, until a round finds no
 link.  Copies of a word sequence are one document throughout.
@@ -169,7 +169,9 @@ def texts_of(docs: DataFrame, reps: DataFrame, shared: DataFrame) -> DataFrame:
 def candidates(shared: DataFrame, roots: DataFrame | None, turn: int, similar: float) -> DataFrame:
     """name, hub: whom to compare in this turn, once each.
 
-    Only meetings of several classes compare.  Each has HUBS hubs: the members
+    In the first turn a document is compared with one hub only, the least name
+    of those it meets; most classes come together around it.  After that, only
+    meetings of several classes compare.  Each has HUBS hubs: the members
     least after an exclusive or with numbers that change every turn.  Pairs
     whose lengths rule out ``similar`` are left out.
     """
@@ -185,11 +187,12 @@ def candidates(shared: DataFrame, roots: DataFrame | None, turn: int, similar: f
         .agg(F.array(*least).alias("hubs"), F.min("root").alias("a"), F.max("root").alias("b"))
         .filter("a <> b").select("key", F.inline("hubs")).drop("x").distinct()
     )
-    return (
-        members.join(hubs, "key")
-        .filter((F.col("root") != F.col("hub_root")) & (F.least("n", "hub_n") >= similar * F.greatest("n", "hub_n")))
-        .select("name", "hub").distinct()
+    pairs = members.join(hubs, "key").filter(
+        (F.col("root") != F.col("hub_root")) & (F.least("n", "hub_n") >= similar * F.greatest("n", "hub_n"))
     )
+    if roots is None:
+        return pairs.groupBy("name").agg(F.min("hub").alias("hub"))
+    return pairs.select("name", "hub").distinct()
 
 
 def links(pairs: DataFrame, texts_by_name: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -249,8 +252,8 @@ def classes(docs: DataFrame, reps: DataFrame, similar: float = SIMILAR) -> DataF
     while True:
         pairs = candidates(shared, roots, turn, similar)
         found = written(links(pairs, text, similar), "near-links")
-        if found.isEmpty():
-            return components(found) if roots is None else roots
+        if turn and found.isEmpty():
+            return roots
         edges = found if edges is None else edges.union(found)
         roots = components(edges)
         turn += 1
