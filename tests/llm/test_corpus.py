@@ -144,6 +144,30 @@ def test_chains_behind_hubs(spark):
     check(rows, got)
 
 
+def test_pairs_within_a_family_of_strangers(spark):
+    """Strangers at 0.74 all meet; the pairs at 0.83 among them are found, whoever is hub."""
+    passage = words(70, 104)
+    own = [words(1000 + k, 18).split() for k in range(600)]
+    rows = [(k, " ".join([passage, *w])) for k, w in enumerate(own)]
+    rows += [(1000 + k, " ".join([passage, *own[k][:7], words(3000 + k, 11)])) for k in range(0, 600, 20)]
+    s = {d: shingles(t) for d, t in rows}
+    assert 0.7 < N.similarity(s[0], s[1], 0.5) < 0.79 and N.similarity(s[0], s[1000]) > 0.82
+    got = {r.doc_id: (r.class_id, r.class_size) for r in N.near_duplicates(docs(spark, rows)).collect()}
+    assert got == {d: (d % 1000, 2 if d % 20 == 0 else 1) for d, _ in rows}
+
+
+def test_prefixes_of_similar_pairs_meet():
+    r = np.random.default_rng(3)
+    for _ in range(300):
+        n, cut = int(r.integers(1, 80)), r.random() * 0.25
+        a = r.permutation(1000)[:n]
+        b = np.concatenate([a[r.random(n) > cut], r.permutation(np.arange(1000, 2000))[:int(r.integers(0, 1 + n // 6))]])
+        both = len(np.intersect1d(a, b))
+        if both and both / (len(a) + len(b) - both) >= N.SIMILAR:
+            x, y = sorted((a, b), key=len)
+            assert set(np.sort(x)[:N.prefix_lengths(len(x), N.SIMILAR)[0]]) & set(np.sort(y)[:N.prefix_lengths(len(y), N.SIMILAR)[1]])
+
+
 def test_dropping_near_duplicates(spark, corpus):
     d = clashing(docs(spark, corpus))
     kept = N.drop_near_duplicates(d)

@@ -11,12 +11,15 @@ meeting all are compared with two of them, the hubs, which gives twice as many
 pairs as members; in the first turn each keeps the least of its hubs.  A link stands when the two sequences align in at least ``SIMILAR``
 of their shingles; linked documents form a class.  Meetings whose members are
 not yet one class choose other hubs and compare again, until a round finds no
-link.  Copies of a word sequence are one document throughout.
+link.  Then every pair of different classes that still meets is compared, but
+for those whose rarest shingles rule out ``SIMILAR`` (an exact prefix filter).
+Copies of a word sequence are one document throughout.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -35,11 +38,14 @@ SIMILAR = 0.8
 DEPTHS = (2, 3)
 #: Members of a meeting with whom the others are compared in a turn.
 HUBS = 2
+#: Counters of shingles (a power of two); they only order shingles by how rare they are.
+COUNTERS = 1 << 18
 
 _RANDOM = np.random.Generator(np.random.PCG64(31))
 _FACTORS = _RANDOM.integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _RANDOM.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _CELLS = 2_000_000  # hash values held at once
+_ROWS = 100_000  # rows of an output batch
 
 ROW = "doc_id long, place binary, name long, n long, sketch array<long>"
 
@@ -139,15 +145,18 @@ def sketched(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, ROW)
 
 
-def meetings(reps: DataFrame) -> DataFrame:
-    """key, name, n: every meeting a document goes to."""
-    s = F.col("sketch")
+def meeting_keys(sketch: str = "sketch", depths: tuple[int, ...] = DEPTHS) -> Column:
+    s = F.col(sketch)
 
     def key(depth: int, k: int) -> Column:
         return F.xxhash64(F.lit(depth * SKETCHES + k), *(s[(k + i) % SKETCHES] for i in range(depth)))
 
-    keys = F.array(*(key(d, k) for d in DEPTHS for k in range(SKETCHES)))
-    return reps.select(F.explode(keys).alias("key"), "name", "n")
+    return F.array(*(key(d, k) for d in depths for k in range(SKETCHES)))
+
+
+def meetings(reps: DataFrame) -> DataFrame:
+    """key, name, n: every meeting a document goes to."""
+    return reps.select(F.explode(meeting_keys()).alias("key"), "name", "n")
 
 
 def shared_meetings(reps: DataFrame) -> DataFrame:
@@ -216,6 +225,106 @@ def links(pairs: DataFrame, texts_by_name: DataFrame, similar: float = SIMILAR)
     return both.select("name", "hub", "text", "hub_text").mapInArrow(run, "name long, hub long")
 
 
+def unsettled(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """name, root of the members of meetings that hubs cannot settle: of several
+    classes and more than two members.  Of two, one was the other's hub."""
+    members = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+    several = (
+        members.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("a"), F.max("root").alias("b"))
+        .filter("members > 2 and a <> b").select("key")
+    )
+    return members.join(several, "key").select("name", "root").distinct()
+
+
+def shingle_counts(text: DataFrame) -> np.ndarray:
+    """About how often the shingles occur; several share a counter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, dtype=np.int64)
+        for b in batches:
+            for raw in texts(b.column("text")):
+                np.add.at(counts, (labelled_shingles(word_hashes(raw)) & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["counter", "times"])
+
+    sums = text.select("text").mapInArrow(run, "counter long, times long").groupBy("counter").agg(F.sum("times").alias("times"))
+    found = sums.toArrow()
+    counts = np.zeros(COUNTERS, dtype=np.int64)
+    counts[found["counter"].to_numpy()] = found["times"].to_numpy()
+    return counts
+
+
+def prefix_lengths(n: int, similar: float) -> tuple[int, int]:
+    """How many of its rarest shingles a document needs as the shorter and as
+    the longer of a pair: two that are similar have one of these in common.
+
+    They share at least s of the longer's shingles, and 2s/(1 + s) of the shorter's.
+    """
+    shorter, longer = (n - math.ceil(share * n - 1e-6) + 1 for share in (2 * similar / (1 + similar), similar))
+    return shorter, longer
+
+
+def rarest_shingles(text: DataFrame, counts: np.ndarray, similar: float) -> DataFrame:
+    """shingle, name, root, n, at (its rank in the document), short (whether it counts for the shorter of a pair)."""
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        each = [len(r[0]) for r in rows]
+        names, roots, n = (np.repeat(np.array([r[k] for r in rows], dtype=np.int64), each) for k in (1, 2, 3))
+        at = np.concatenate([np.arange(k) for k in each])
+        short = at < np.repeat([r[4] for r in rows], each)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([r[0] for r in rows]).view(np.int64)), *map(pa.array, (names, roots, n, at, short))],
+            ["shingle", "name", "root", "n", "at", "short"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, held = [], 0
+            for raw, name, root in zip(texts(b.column("text")), b.column("name").to_pylist(), b.column("root").to_pylist()):
+                s = labelled_shingles(word_hashes(raw))
+                shorter, longer = prefix_lengths(len(s), similar)
+                order = np.lexsort((s, counts[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]))
+                rows.append((s[order[:longer]], name, root, len(s), shorter))
+                held += longer
+                if held >= _ROWS:
+                    yield batch(rows)
+                    rows, held = [], 0
+            if rows:
+                yield batch(rows)
+
+    return text.select("text", "name", "root").mapInArrow(
+        run, "shingle long, name long, root long, n long, at long, short boolean")
+
+
+def remaining(shared: DataFrame, roots: DataFrame, reps: DataFrame, texts_by_name: DataFrame, similar: float) -> DataFrame:
+    """name, hub: every pair of different classes that meets and can be similar.
+
+    Shingles are ranked from rare to common, alike in all documents.  A pair
+    is left out when no shingle of its prefixes is common, or when too few
+    follow it; neither happens to a similar pair.
+    """
+    text = written(texts_by_name.join(unsettled(shared, roots), "name"), "near-unsettled")
+    rare = written(rarest_shingles(text, shingle_counts(text), similar), "near-rarest")
+    several = (
+        rare.groupBy("shingle").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+        .filter("a <> b").select("shingle")
+    )
+    rare = written(rare.join(several, "shingle"), "near-rare-shared")
+    longer = rare.drop("short").toDF("shingle", "hub", "hub_root", "hub_n", "hub_at")
+    follow = F.least(F.col("n") - F.col("at"), F.col("hub_n") - F.col("hub_at"))
+    pairs = rare.filter("short").join(longer, "shingle").filter(
+        (F.col("root") != F.col("hub_root")) & (F.col("n") <= F.col("hub_n"))
+        & (F.col("n") >= similar * F.col("hub_n"))
+        & (follow * (1 + similar) + 1e-6 >= similar * (F.col("n") + F.col("hub_n")))
+    )
+    pairs = pairs.select(F.least("name", "hub").alias("name"), F.greatest("name", "hub").alias("hub")).distinct()
+    keys = reps.select("name", meeting_keys(depths=DEPTHS[:1]).alias("keys"))
+    return (
+        pairs.join(keys, "name").join(keys.toDF("hub", "hub_keys"), "hub")
+        .filter(F.arrays_overlap("keys", "hub_keys")).select("name", "hub")
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """name, root of every linked document: the least name it is connected with.
 
@@ -253,10 +362,12 @@ def classes(docs: DataFrame, reps: DataFrame, similar: float = SIMILAR) -> DataF
         pairs = candidates(shared, roots, turn, similar)
         found = written(links(pairs, text, similar), "near-links")
         if turn and found.isEmpty():
-            return roots
+            break
         edges = found if edges is None else edges.union(found)
         roots = components(edges)
         turn += 1
+    found = written(links(remaining(shared, roots, reps, text, similar), text, similar), "near-links")
+    return roots if found.isEmpty() else components(edges.union(found))
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
