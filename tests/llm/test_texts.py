@@ -61,6 +61,26 @@ def test_extract(page, text):
     assert H.extract(HEAD + page if page.startswith("<") and page != "<" else page, None) == text
 
 
+LONG = "a long passage, with commas, " * 60
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><h1>T</h1><div class=lead><p>Lead</p></div><div class=content><p>{LONG}</p></div></article>", f"T\n\nLead\n\n{LONG.strip()}"),
+    (f"<article><h1>T</h1><p>First</p><section><p>{LONG}</p></section><section><p>Last</p></section></article>",
+     f"T\n\nFirst\n\n{LONG.strip()}\n\nLast"),
+    (f"<main><h1>T</h1><div><p>{LONG}</p></div></main>", f"T\n\n{LONG.strip()}"),
+    (f"<main><p>Not this</p><article><h1>T</h1><section><p>{LONG}</p></section></article></main>", f"T\n\n{LONG.strip()}"),
+    (f"<div class='post no-sidebar'><h1>T</h1><p>{LONG}</p></div>", f"T\n\n{LONG.strip()}"),
+    (f"<div class='site right-sidebar'><article><p>{LONG}</p></article><div class=sidebar>About us</div></div>", LONG.strip()),
+    (f"<article><p>{LONG}</p><div class=related>More of it</div></article>", LONG.strip()),
+    (f"<div class=related><a href=x>{LONG}</a></div><article><p>Short</p></article>", "Short"),
+])
+def test_whole_articles(spark, page, text):
+    assert H.extract(page, None) == text
+    rows = [(i, f"http://a.example/{i}", page) for i in range(3)]
+    assert {r.text for r in H.main_text(spark.createDataFrame(rows, PAGES)).collect()} == {text}
+
+
 def test_host_consensus(spark):
     """A page whose advert is the longest text is read with its siblings' path."""
     body = "<div class='story-{0}'><p>{1}</p></div><div class='x{0}'><p>{2}</p></div>"

@@ -52,6 +52,13 @@ JUNK_WORDS = frozenset(
     " signup login share sharing social related recommended widget widgets toolbar pagination pager"
     " skip hidden".split()
 )
+#: Of these, such as also name the layout or state of what holds the article.
+STATE_WORDS = frozenset(
+    "ad ads banner promo sidebar menu nav navbar navigation masthead footer reply notice alert modal"
+    " overlay share sharing social related recommended widget widgets toolbar skip hidden".split()
+)
+#: So begins the name of a state, as in no-sidebar.
+STATES = frozenset("no has with without hide is".split())
 JUNK_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: A path holds so many steps, the innermost.
 STEPS = 12
@@ -69,6 +76,8 @@ class Element:
     parts: list = field(default_factory=list)
     children: list = field(default_factory=list)
     bonus: int = 0
+    #: Named by a word that is junk unless most of the page's text is inside.
+    doubtful: bool = False
 
     @property
     def path(self) -> str:
@@ -81,13 +90,18 @@ def _attributes(text: str) -> dict[str, str]:
 
 def _element(tag: str, attributes: str, parent: Element) -> Element:
     a = _attributes(attributes) if attributes.strip(" /") else {}
-    words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{a.get('class', '')} {a.get('id', '')}").lower())
+    tokens = [
+        re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", t).lower())
+        for t in f"{a.get('class', '')} {a.get('id', '')}".split()
+    ]
+    words = [w for t in tokens for w in t]
+    junk_words = JUNK_WORDS.intersection(w for t in tokens if t and not (len(t) > 1 and t[0] in STATES) for w in t)
     names = "".join(f".{re.sub(r'[0-9]+', '#', c.lower())}" for c in sorted(a.get("class", "").split()))
     style = a.get("style", "").replace(" ", "").lower()
     body = tag in ("body", "html", "article", "main")
     junk = (
         tag in JUNK_TAGS
-        or not body and bool(JUNK_WORDS.intersection(words))
+        or not body and not junk_words <= STATE_WORDS
         or a.get("role", "").lower() in JUNK_ROLES
         or "hidden" in a or a.get("aria-hidden", "") == "true"
         or "display:none" in style or "visibility:hidden" in style
@@ -97,7 +111,7 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
     else:
         steps = (*(() if tag in ("html", "body") else parent.steps[1 - STEPS:]), tag + names)
     bonus = GOOD_TAGS.get(tag, 0) + 15 * bool(GOOD_WORDS.intersection(words))
-    return Element(tag, steps, junk or parent.junk, bonus=bonus,
+    return Element(tag, steps, junk or parent.junk, bonus=bonus, doubtful=not body and bool(junk_words),
                    page_header=tag == "header" or a.get("role") == "banner")
 
 
@@ -157,9 +171,29 @@ def parse(page: str) -> Element:
             stack[-1].children.append(e)
             stack.append(e)
     text(page[at:])
+    _settle(root)
     return root
 
 
+def _settle(root: Element) -> None:
+    """Doubtful elements are junk, but for containers of most of the page's text that is not mostly linked."""
+    order = list(_walk(root))
+    if not any(e.doubtful for e in order):
+        return
+    sums: dict[int, tuple[int, int]] = {}
+    for e in reversed(order):
+        chars = sum(len(p.strip()) for p in e.parts if isinstance(p, str))
+        inner = [sums[id(c)] for c in e.children]
+        chars += sum(c for c, _ in inner)
+        sums[id(e)] = chars, chars if e.tag == "a" else sum(n for _, n in inner)
+    for e in order:
+        if e.doubtful and not e.junk:
+            chars, linked = sums[id(e)]
+            e.junk = e.tag not in CONTAINERS or 2 * chars <= sums[id(root)][0] or 2 * linked >= chars
+        for c in e.children:
+            c.junk = c.junk or e.junk
+
+
 def _pieces(e: Element, top: bool = True) -> Iterator[str | None]:
     """Text, and None at the borders of blocks."""
     todo = [(e, iter(e.parts))]
@@ -227,15 +261,23 @@ def _own_text(e: Element) -> tuple[int, int, int]:
 
 
 def best_container(root: Element) -> tuple[Element | None, int]:
-    """The container whose own text is most like an article, and its score."""
+    """The container whose own text is most like an article, and its score.
+
+    Within an article, or else a main part, it is the innermost of these.
+    """
     best, most = None, 0
-    for e in _walk(root):
+    todo: list[tuple[Element, Element | None]] = [(root, None)]
+    while todo:
+        e, whole = todo.pop()
+        if e.tag == "article" or e.tag == "main" and (whole is None or whole.tag == "main"):
+            whole = e
+        todo += [(c, whole) for c in reversed(e.children)]
         if e.tag in CONTAINERS and not e.junk and not e.page_header:
             chars, commas, linked = _own_text(e)
             if chars:
                 score = int((1 + min(chars, 5000) / 25 + min(commas, 200) + e.bonus) * (1 - linked / chars))
                 if score > most:
-                    best, most = e, score
+                    best, most = whole or e, score
     return best, most
 
 
