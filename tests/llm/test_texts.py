@@ -134,6 +134,17 @@ def test_layouts(record, turns):
     assert C.turns(record) == turns
 
 
+@pytest.mark.parametrize("record, turns", [
+    ({"system": "s", "messages": [{"role": "user", "content": "q"}]}, [("system", "s"), ("user", "q")]),
+    ({"system": "s", "messages": [{"role": "user", "content": [{"type": "text", "text": "q"}]}]}, [("system", "s"), ("user", "q")]),
+    ({"messages": [{"role": "user", "content": [{"type": "text", "text": "q"}]}, {"role": "assistant", "content": "a"}], "system": "s"},
+     [("system", "s"), ("user", "q"), ("assistant", "a")]),
+    ({"messages": [{"role": "user", "content": [{"text": "q"}]}, {"role": "assistant", "content": None}]}, [("user", "q"), ("assistant", "")]),
+])
+def test_messages_with_system_and_mixed_content(record, turns):
+    assert C.turns(record) == turns
+
+
 def test_fingerprints_are_of_one_mapping_each():
     assert len(C.BY_FINGERPRINT) == sum(2 ** len(m.optional) for m in C.MAPPINGS)
 

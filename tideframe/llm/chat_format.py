@@ -43,9 +43,12 @@ class Mapping:
 MAPPINGS = (
     Mapping("turn", ("role", "text"), (("", "role", "text"),)),
     Mapping("turn_content", ("role", "content"), (("", "role", "content"),)),
-    Mapping("messages", ("messages[].role", "messages[].content"), (("messages", "role", "content"),)),
+    Mapping("messages", ("messages[].role", "messages[].content"),
+            (("", "=system", "system"), ("messages", "role", "content")), ("system",)),
     Mapping("message_parts", ("messages[].role", "messages[].content[].text"),
-            (("messages", "role", "content"),), ("messages[].content[].type",)),
+            (("", "=system", "system"), ("messages", "role", "content")), ("messages[].content[].type", "system")),
+    Mapping("messages_mixed", ("messages[].role", "messages[].content", "messages[].content[].text"),
+            (("", "=system", "system"), ("messages", "role", "content")), ("messages[].content[].type", "system")),
     Mapping("from_value", ("conversations[].from", "conversations[].value"),
             (("", "=system", "system"), ("conversations", "from", "value")), ("system",)),
     Mapping("instruction", ("instruction", "output"),
