@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,3 +99,15 @@ def session(spark: SparkSession) -> SparkSession:
 def texts(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; NULL is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def pieces(raw: bytes, limit: int) -> Iterator[bytes]:
+    """A text cut behind blanks into parts of about ``limit`` bytes; a longer word stays whole."""
+    blanks, at = (b" ", b"\t", b"\n", b"\r"), 0
+    while len(raw) - at > limit:
+        cut = max(raw.rfind(c, at, at + limit) for c in blanks)
+        if cut < 0:
+            cut = min((c for c in (raw.find(x, at + limit) for x in blanks) if c >= 0), default=len(raw) - 1)
+        yield raw[at:cut + 1]
+        at = cut + 1
+    yield raw[at:]

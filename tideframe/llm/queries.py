@@ -13,10 +13,13 @@ from tideframe.llm.cotraining import quality
 from tideframe.llm.decontaminate import find_leaks
 from tideframe.llm.exact_dedup import exact_dedup
 from tideframe.llm.html_text import main_text
+from tideframe.llm.importance_resample import importance_resample
 from tideframe.llm.language_id import language_id
 from tideframe.llm.line_templates import drop_template_lines
 from tideframe.llm.order_minhash import near_duplicates
 from tideframe.llm.poisson_mix import poisson_mix
+from tideframe.llm.spelling_variants import spelling_variants
+from tideframe.llm.token_counts import token_counts
 from tideframe.llm.token_files import default_tokenizer, read_tokens, write_tokens
 from tideframe.session import tune, work_folder
 
@@ -88,6 +91,18 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(session(spark), folder, "documents")).drop("place")
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(session(spark), folder, "documents"))
+
+
+def op12_importance_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return importance_resample(table(session(spark), folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(session(spark), folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,6 +113,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_cotraining, op2_token_files, op3_decontaminate, op4_poisson_mix, op5_exact_dedup,
-        op6_main_text, op7_chat_format, op8_language_id, op9_line_templates, op10_order_minhash, pipeline,
+        op6_main_text, op7_chat_format, op8_language_id, op9_line_templates, op10_order_minhash,
+        op11_token_counts, op12_importance_resample, op13_spelling_variants, pipeline,
     )
 }
