@@ -36,9 +36,10 @@ from tideframe.schemas import INPUTS, QUALITY_CLASSES
 from tideframe.session import tune, work_folder
 from tideframe.sources import roles as R
 from tideframe.sources.tables import csv_table, parquet_table
+from tideframe.streaming import late as SL
 from tideframe.streaming import sessions as SS
 from tideframe.streaming import sources as SO
-from tideframe.streaming.sinks import parquet_batches
+from tideframe.streaming.sinks import parquet_batches, parquet_ledger, read_parquet_ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -532,16 +533,26 @@ def hits_per_session_id(spark: SparkSession, folder: str) -> DataFrame:
     return W.hits_per_session_id(W.with_session_id(R.web_events(spark, folder)))
 
 
+def _hits(raw: DataFrame) -> DataFrame:
+    """A stream of the events table as hits with a watermark; ``event_id`` goes along."""
+    return SO.with_watermark(
+        raw.select(
+            F.col("user_id").alias("ip"),
+            F.col("event_type").alias("host"),
+            F.col("ts").alias("window_timestamp"),
+            "event_id",
+        )
+    )
+
+
+def _event_stream(own: SparkSession, folder: str) -> DataFrame:
+    return SO.file_stream(own, folder, INPUTS["events"], glob="events.parquet")
+
+
 def _event_sessions(spark: SparkSession, folder: str) -> tuple[SparkSession, DataFrame, str]:
     """A session for streams, the stream of sessions, and a new folder for its output."""
     own = SS.streaming_session(spark)
-    raw = SO.file_stream(own, folder, INPUTS["events"], glob="events.parquet")
-    events = raw.select(
-        F.col("user_id").alias("ip"),
-        F.col("event_type").alias("host"),
-        F.col("ts").alias("window_timestamp"),
-    )
-    return own, SS.session_windows(SO.with_watermark(events)), work_folder(spark, "stream-sessions")
+    return own, SS.session_windows(_hits(_event_stream(own, folder))), work_folder(spark, "stream-sessions")
 
 
 @register
@@ -561,6 +572,57 @@ def stream_session_hits(spark: SparkSession, folder: str) -> DataFrame:
     return flat(own.read.schema(sessions.schema).parquet(f"{out}/sessions"))
 
 
+@register
+def stream_session_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed sessions from the sink and the open ones from the state store: all of them."""
+    own, sessions, out = _event_sessions(spark, folder)
+    SS.run(SS.start_to_files(sessions, f"{out}/sessions", f"{out}/checkpoint", once=True))
+    closed = own.read.schema(sessions.schema).parquet(f"{out}/sessions")
+    return flat(closed.unionByName(SS.open_sessions(own, f"{out}/checkpoint")))
+
+
+@register
+def stream_session_redelivered(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event is delivered twice, as an at-least-once topic may; sessions count it once."""
+    own, _, out = _event_sessions(spark, folder)
+    twice = _event_stream(own, folder).unionByName(_event_stream(own, folder))
+    sessions = SS.session_windows(SO.drop_redelivered(_hits(twice), ["event_id"]))
+    SS.run(SS.start_to_files(sessions, f"{out}/sessions", f"{out}/checkpoint", once=True))
+    return flat(own.read.schema(sessions.schema).parquet(f"{out}/sessions"))
+
+
+@register
+def stream_session_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches behind a ledger; each is handed over twice, and counts once."""
+    own, sessions, out = _event_sessions(spark, folder)
+    write = parquet_ledger(f"{out}/sink", "events")
+
+    def replayed(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            write(batch, batch_id)
+
+    SS.run(SS.start_to_batches(sessions, replayed, f"{out}/checkpoint", once=True))
+    rows = read_parquet_ledger(own, f"{out}/sink", sessions.schema)
+    return flat(rows.select(*sessions.columns))
+
+
+@register
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Errors arrive after everything else, and after a restart: most are late.
+
+    Closed sessions, open ones and late rows, which account for every event.
+    """
+    own, out = SS.streaming_session(spark), work_folder(spark, "stream-late")
+    events = own.read.schema(INPUTS["events"]).parquet(f"{folder}/events.parquet")
+    error = F.col("event_type") == "error"
+    for arriving in (events.filter(~error), events.filter(error)):
+        arriving.write.mode("append").parquet(f"{out}/in")
+        found = SL.sessions_and_late(_hits(SO.file_stream(own, f"{out}/in", INPUTS["events"])))
+        SS.run(SS.start_to_files(found, f"{out}/out", f"{out}/checkpoint", once=True))
+    rows = own.read.schema(found.schema).parquet(f"{out}/out")
+    return flat(rows.unionByName(SL.open_spans(own, f"{out}/checkpoint")))
+
+
 @register
 def web_traffic_messages(spark: SparkSession, folder: str) -> DataFrame:
     """JSON messages made of the events and parsed as the topic's would be."""

@@ -51,6 +51,42 @@ def session_windows(
     )
 
 
+#: The stateful operator that keeps open windows, as a checkpoint names it.
+WINDOW_STATE = "sessionWindowStateStoreSaveExec"
+
+
+def committed(spark: SparkSession, checkpoint: str) -> tuple[int, int]:
+    """The last micro-batch with stored windows, and the number of their operator."""
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    found = operators.filter(F.col("operatorName") == WINDOW_STATE).first()
+    if found is None:
+        raise ValueError(f"no session windows in the checkpoint {checkpoint}")
+    return found.maxBatchId, found.operatorId
+
+
+def open_sessions(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """Sessions the stream has not closed yet, in the columns of ``session_windows``.
+
+    They are read from the state store, as micro-batch ``batch`` left it (the
+    last by default).  A batch either closes a session or keeps it, so the rows
+    written by batches up to ``batch`` and these have none in common, and
+    together they are the sessions of all events so far.
+    """
+    last, operator = committed(spark, checkpoint)
+    state = (
+        spark.read.format("statestore")
+        .option("operatorId", operator)
+        .option("batchId", last if batch is None else batch)
+        .load(checkpoint)
+    )
+    hits = state.schema["value"].dataType.names[-1]  # the count follows window and keys
+    window = F.col("value.session_window")
+    return state.select(
+        window["start"].alias("session_start"), window["end"].alias("session_end"),
+        *[F.col(f"key.{k}") for k in KEYS], F.col(f"value.{hits}").alias("num_hits"),
+    )
+
+
 def start_to_files(
     sessions: DataFrame, path: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:

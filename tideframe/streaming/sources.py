@@ -97,3 +97,15 @@ def with_watermark(
 ) -> DataFrame:
     """Event time bounded by a delay; a zone-less time is read as UTC."""
     return events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+
+
+def drop_redelivered(events: DataFrame, keys: list[str]) -> DataFrame:
+    """Watermarked events without those an at-least-once topic delivered again.
+
+    A redelivered event has the ``keys`` and the time of the first one.  A key is
+    kept as state until the watermark has passed its time and the lateness; a
+    copy that comes later still is behind the watermark and dropped with all
+    late rows.  So the state is bounded by time, and no copy gets through.
+    NULLs in ``keys`` count as values.
+    """
+    return events.dropDuplicatesWithinWatermark(keys)
