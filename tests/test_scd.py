@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan, rows
 from tideframe.operators import scd as S
 
 SNAP = "actorid string, quality_class string, is_active boolean, current_year int"
@@ -148,3 +148,62 @@ def test_steps_equal_backfill_and_intervals_are_disjoint(spark, cells):
     assert rows(state) == got
     covered = [(k, y) for k, _, _, s, e in got for y in range(s, e + 1)]
     assert sorted(covered) == sorted(cells)
+
+
+# --- corrected snapshots of the past ---------------------------------------------
+
+GRID = st.dictionaries(
+    st.tuples(st.sampled_from("abc"), st.integers(2000, 2005)),
+    st.tuples(st.sampled_from(["star", "bad", None]), st.sampled_from([True, None])), max_size=18,
+)
+
+
+def grid_rows(grid):
+    return [(k, q, a, y) for (k, y), (q, a) in grid.items()]
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(GRID, GRID)
+def test_splice_is_the_backfill_of_the_corrected_snapshots(spark, stored, true):
+    """For every year: the year's rows replaced whole, and only for the keys that have some."""
+    history = S.scd2_backfill(snap(spark, *grid_rows(stored)))
+    for t in (2000, 2002, 2005):
+        new = {k: v for k, v in true.items() if k[1] == t}
+        keys = {k for k, _ in new}
+        for partial in (False, True):
+            rest = {k: v for k, v in stored.items() if k[1] != t or (partial and k[0] not in keys)}
+            want = rows(S.scd2_backfill(snap(spark, *grid_rows(rest | new))))
+            once = S.scd2_splice(history, snap(spark, *grid_rows(true)), t, partial=partial)
+            assert rows(once) == want, (t, partial)
+    assert rows(S.scd2_splice(once, snap(spark, *grid_rows(true)), 2005, partial=True)) == want  # again
+
+
+def test_splice_splits_replaces_and_rejoins(spark):
+    history = hist(
+        spark, ("k1", "star", True, 1990, 1999), ("k2", "bad", True, 1990, 1994), ("k2", "star", True, 1995, 1995),
+        ("k2", "bad", True, 1996, 1999), ("k3", "good", True, 1980, 1985), ("k4", "bad", True, 1995, 1995),
+    )
+    true = snap(spark, ("k1", "bad", True, 1995), ("k2", "bad", True, 1995), ("k5", None, None, 1995),
+                ("k1", "not of the year", True, 1996))
+    assert rows(S.scd2_splice(S.stamp(history, 1999), true, 1995)) == [
+        ("k1", "bad", True, 1995, 1995, 1999), ("k1", "star", True, 1990, 1994, 1999),
+        ("k1", "star", True, 1996, 1999, 1999), ("k2", "bad", True, 1990, 1999, 1999),
+        ("k3", "good", True, 1980, 1985, 1999), ("k5", None, None, 1995, 1995, 1999),
+    ]
+
+
+@pytest.mark.parametrize("partial", [False, True])
+def test_splice_shuffles_once(spark, tmp_path, partial):
+    hist(spark, ("k1", "star", True, 1990, 1999)).write.parquet(str(tmp_path / "h"))
+    snap(spark, ("k1", "bad", True, 1995)).write.parquet(str(tmp_path / "s"))
+    history, true = (spark.read.parquet(str(tmp_path / x)) for x in "hs")
+    p = plan(S.scd2_splice(history, true, 1995, partial=partial))
+    assert p.count("Exchange hashpartitioning") == 1
+
+
+def test_registered_step_reads_little(spark):
+    """The history and the snapshots are tables, and the year is known."""
+    import __spark_entry__ as entry
+
+    p = plan(entry.queries()["scd2_incremental"](spark, "/root/testdata/sf0.001"))
+    assert p.count("FileScan parquet") <= 10 and p.count("Exchange hashpartitioning") <= 3

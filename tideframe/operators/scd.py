@@ -172,6 +172,76 @@ def scd2_expand_changed(
     )
 
 
+def scd2_splice(
+    history: DataFrame,
+    corrected: DataFrame,
+    t: int | Column,
+    key: str = KEY,
+    attributes: list[str] = ATTRIBUTES,
+    period: str = "current_year",
+    carry: tuple[str, ...] = (),
+    partial: bool = False,
+) -> DataFrame:
+    """``history`` with the snapshot of a past period ``t`` replaced.
+
+    Intervals that hold ``t`` are split around it, the corrected rows take its
+    place, and neighbours that now agree are joined again: what the backfill
+    gives over the corrected snapshots.  Keys absent from the corrected
+    snapshot lose the period; with ``partial`` only the keys that it holds are
+    changed.
+
+    Intervals that neither hold nor touch ``t`` pass through without a shuffle.
+    The others, at most three per key, and the corrected rows meet in one
+    shuffle by key, which the windows and the grouping share.  ``history`` is as
+    of one period, not before ``t``, or carries one stamp, which stays.  Doing
+    it again changes nothing.
+    """
+    at, values = F.lit(t), [*carry, *attributes]
+    columns = [key, *values, "start_date", "end_date"]
+    stamped = [STAMP] if STAMP in history.columns else []
+    history = history.select(*columns, *stamped)
+    near = (F.col("start_date") <= at + 1) & (F.col("end_date") >= at - 1)
+    far = history.filter(~near)
+    touching = history.filter(near).withColumn("is_new", F.lit(False))
+    new = corrected.filter(F.col(period) == at).select(
+        key, *values, F.col(period).alias("start_date"), F.col(period).alias("end_date"),
+        *[F.lit(None).cast(history.schema[STAMP].dataType).alias(STAMP) for _ in stamped], F.lit(True).alias("is_new"),
+    )
+    of_key = Window.partitionBy(key)
+    both = touching.unionByName(new)
+    replaced = ~F.col("is_new")
+    if partial:
+        both = both.withColumn("is_changed", F.max("is_new").over(of_key))
+        replaced = replaced & F.col("is_changed")
+    whole = F.struct("start_date", "end_date")
+    around = F.filter(
+        F.array(
+            F.struct(F.col("start_date"), F.least("end_date", at - 1).alias("end_date")),
+            F.struct(F.greatest("start_date", at + 1).alias("start_date"), F.col("end_date")),
+        ),
+        lambda x: x["start_date"] <= x["end_date"],
+    )
+    parts = both.select(
+        key, *values, *stamped, F.inline(F.when(replaced, around).otherwise(F.array(whole))))
+    w = of_key.orderBy("start_date")
+    now = F.struct(*attributes)
+    continues = F.lag(now).over(w).eqNullSafe(now) & (F.lag("end_date").over(w) == F.col("start_date") - 1)
+    joined = (
+        parts.withColumn("starts", F.when(continues, 0).otherwise(1))
+        .withColumn("streak", F.sum("starts").over(w))
+        .groupBy(key, "streak", *attributes)
+        .agg(
+            *[F.max(c).alias(c) for c in [*carry, *stamped]],
+            F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"),
+        )
+        .select(*columns, *stamped)
+    )
+    if stamped:  # an interval of corrected rows alone has no stamp yet
+        one = history.agg(F.max(STAMP).alias("s")).scalar()
+        joined = joined.withColumn(STAMP, F.coalesce(STAMP, one))
+    return far.unionByName(joined)
+
+
 def scd2_group_summary(
     snapshots: DataFrame,
     key: str = KEY,

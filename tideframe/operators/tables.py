@@ -104,13 +104,18 @@ def upsert_partitions(
 
     A plan must not overwrite what it reads, so the merged rows are first
     written to ``staging``, a new folder on shared storage, and then replace
-    the partitions dynamically.
+    the partitions dynamically.  ``new`` is computed once, one row per key,
+    into the same folder.
     """
+    merged, once = f"{staging}/merged", f"{staging}/new"
+    dedupe_rows(new, keys, []).write.parquet(once)
+    new = spark.read.schema(new.schema).parquet(once)
     target = spark.read.schema(new.schema).parquet(path)
     # dynamic partition pruning keeps the scan to the touched folders
-    touched = target.join(new.select(partition).distinct(), partition, "left_semi").select(*new.columns)
-    write_snapshot(keyed_upsert(touched, new, keys), staging, partition)
-    write_snapshot(spark.read.schema(new.schema).parquet(staging), path, partition)
+    touched = target.join(new.select(partition).distinct(), partition, "left_semi")
+    kept = touched.join(new.select(*keys), keys, "left_anti").select(*new.columns)
+    write_snapshot(kept.unionByName(new), merged, partition)
+    write_snapshot(spark.read.schema(new.schema).parquet(merged), path, partition)
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from datetime import date, timedelta
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,12 +124,24 @@ def device_datelist(spark: SparkSession, folder: str) -> DataFrame:
     return flat(D.datelist_backfill(events, "device_id", "device_activity_datelist"))
 
 
+def _state(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as the state table it stands for: written, and read by the step."""
+    path = _own_folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _arrival_day(events: DataFrame) -> date:
+    """The day of a step: a scheduled job knows it, here one small job finds it."""
+    return events.sparkSession.range(1).select(R.last_arrival(events)).first()[0]
+
+
 def _device_step(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Date lists of the day before the step's and of its day."""
     events = R.order_events(spark, folder)
-    day = R.last_arrival(events)
+    day = _arrival_day(events)
     name = "device_activity_datelist"
-    before = D.datelist_snapshot(events, "device_id", name, F.date_sub(day, 1))
+    before = _state(D.datelist_snapshot(events, "device_id", name, day - timedelta(days=1)), "device-state")
     return before, D.datelist_step(before, events, "device_id", name, day)
 
 
@@ -152,8 +165,8 @@ def host_month_array(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def host_month_upsert(spark: SparkSession, folder: str) -> DataFrame:
     events = R.order_events(spark, folder)
-    day = R.last_arrival(events)
-    state = H.host_month_array(events, F.date_sub(day, 1))
+    day = _arrival_day(events)
+    state = _state(H.host_month_array(events, day - timedelta(days=1)), "host-months")
     new = H.host_month_step(state, events, day)
     return flat(B.keyed_upsert(state, new, H.KEY))
 
@@ -197,21 +210,21 @@ def snapshot_overwrite(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def overwrite_insert(spark: SparkSession, folder: str) -> DataFrame:
-    """A catalog table that held the first year, overwritten with the last."""
+    """A catalog table of all years but the last, overwritten with all rows."""
     rows, last = _classes(spark, folder), _last_year(spark, folder)
     name = _own_name(spark, "classes")
-    first = rows.filter(F.col("current_year") == rows.agg(F.min("current_year").alias("y")).scalar())
-    first.write.mode("overwrite").option("path", _own_folder(spark, "classes")).saveAsTable(name)
-    B.overwrite_table(rows.filter(F.col("current_year") == last), name)
+    earlier = rows.filter(F.col("current_year") < last)
+    earlier.write.mode("overwrite").option("path", _own_folder(spark, "classes")).saveAsTable(name)
+    B.overwrite_table(rows, name)
     return spark.table(name)
 
 
 @register
 def insert_missing(spark: SparkSession, folder: str) -> DataFrame:
-    """Classes an actor had the year before, and those of the last year that are new."""
+    """Classes of all years but the last, and those of the last that an actor never had before."""
     rows, last = _classes(spark, folder), _last_year(spark, folder)
     out = _own_folder(spark, "insert-missing")
-    _start(rows.filter(F.col("current_year") == last - 1), out)
+    _start(rows.filter(F.col("current_year") < last), out)
     new = rows.filter(F.col("current_year") == last)
     for _ in range(2):  # the second time there is nothing left to insert
         B.insert_missing(spark, out, new.unionByName(new), ["actorid", "quality_class"], "current_year")
@@ -220,14 +233,17 @@ def insert_missing(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def upsert_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    """Old rows up to the year before; that year and the last one upserted."""
+    """Old rows of all years but the last; upserted are the actors' years whose class changed."""
     rows, last = _classes(spark, folder), _last_year(spark, folder)
     out = _own_folder(spark, "upserted")
     old = rows.filter(F.col("current_year") < last).withColumn("quality_class", F.lit("old"))
     _start(old, out)
-    new = rows.filter((F.col("current_year") >= last - 1) & (F.col("actorid") % 2 == 0))
+    before = rows.select(
+        "actorid", (F.col("current_year") + 1).alias("current_year"), F.col("quality_class").alias("was"))
+    changed = rows.join(before, ["actorid", "current_year"]).filter(~F.col("quality_class").eqNullSafe(F.col("was")))
     B.upsert_partitions(
-        spark, out, new, ["actorid", "current_year"], "current_year", work_folder(spark, "upsert-staging")
+        spark, out, changed.select(*rows.columns), ["actorid", "current_year"], "current_year",
+        work_folder(spark, "upsert-staging"),
     )
     return _stored(rows, out)
 
@@ -250,17 +266,24 @@ def scd2_backfill(spark: SparkSession, folder: str) -> DataFrame:
     return S.stamp(S.scd2_backfill(snapshots, carry=NAMED), _last_year(spark, folder))
 
 
+def _year(spark: SparkSession, folder: str) -> int:
+    """The year of a step: a scheduled job knows it, here one small job finds it."""
+    return spark.range(1).select(_last_year(spark, folder)).first()[0]
+
+
 def _history_before(
     spark: SparkSession, folder: str, carry: tuple[str, ...] = ()
-) -> tuple[DataFrame, DataFrame, Column]:
-    """A table of two stamped histories, all snapshots, and the step's year."""
-    last = _last_year(spark, folder)
-    snapshots = _attributes(spark, folder, R.actor_names(spark, folder) if carry else None)
+) -> tuple[DataFrame, DataFrame, int]:
+    """A stored table of two stamped histories, the stored snapshots, and the step's year."""
+    last = _year(spark, folder)
+    names = R.actor_names(spark, folder) if carry else None
+    purpose = "named" if carry else "plain"
+    snapshots = _state(_attributes(spark, folder, names), f"snapshots-{purpose}")
     before, older = (
         S.stamp(S.scd2_backfill(snapshots.filter(F.col("current_year") < y), carry=carry), y - 1)
         for y in (last, last - 1)
     )
-    return before.unionByName(older), snapshots, last
+    return _state(before.unionByName(older), f"history-{purpose}"), snapshots, last
 
 
 @register
@@ -275,6 +298,21 @@ def scd2_expand_changed(spark: SparkSession, folder: str) -> DataFrame:
     return S.scd2_expand_changed(history, snapshots, last)
 
 
+@register
+def scd2_splice(spark: SparkSession, folder: str) -> DataFrame:
+    """A history whose snapshot three years ago was wrong, put right by the true one.
+
+    Then, idle actors were missing and the others had other classes.
+    """
+    snapshots = _attributes(spark, folder, R.actor_names(spark, folder))
+    last = _year(spark, folder)
+    then, rated = F.col("current_year") == last - 3, F.col("quality_class")
+    wrong = snapshots.filter(~then | F.col("is_active")).withColumn(
+        "quality_class", F.when(then, F.when(rated == "bad", "star").otherwise("bad")).otherwise(rated))
+    history = _state(S.stamp(S.scd2_backfill(wrong, carry=NAMED), last), "history-wrong")
+    return S.scd2_splice(history, snapshots, last - 3, carry=NAMED)
+
+
 @register
 def scd2_group_summary(spark: SparkSession, folder: str) -> DataFrame:
     return S.scd2_group_summary(_attributes(spark, folder))
@@ -385,9 +423,9 @@ def growth_yearly_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def growth_step(spark: SparkSession, folder: str) -> DataFrame:
-    day = R.last_arrival(R.order_events(spark, folder))
+    day = _arrival_day(R.order_events(spark, folder))
     days = _order_days(spark, folder, "device_id")
-    before = G.growth_snapshot(days, F.date_sub(day, 1))
+    before = _state(G.growth_snapshot(days, day - timedelta(days=1)), "growth-state")
     return flat(G.growth_step(before, days, day))
 
 
