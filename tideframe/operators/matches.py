@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.functions.joins import broadcast_if_small
+from tideframe.functions.joins import broadcast_if_small, heavy_keys, salted_join
 from tideframe.operators.tables import write_bucketed
 
 # Fixed value.
@@ -29,15 +29,14 @@ def match_join(
     A medal joins the details of its own player, so a match does not multiply
     players with medals.
     """
-    return (
-        medals.join(details, PLAYER_KEY)
-        .join(matches, "match_id")
-        .join(broadcast_if_small(maps), "mapid")
-        .select(
-            "match_id", "is_team_game", "playlist_id", "completion_date",
-            "player_gamertag", "player_total_kills", "player_total_deaths",
-            "medal_type", "mapid", F.col("name").alias("map_name"),
-        )
+    return _described(medals.join(details, PLAYER_KEY).join(matches, "match_id"), maps)
+
+
+def _described(awarded: DataFrame, maps: DataFrame) -> DataFrame:
+    return awarded.join(broadcast_if_small(maps), "mapid").select(
+        "match_id", "is_team_game", "playlist_id", "completion_date",
+        "player_gamertag", "player_total_kills", "player_total_deaths",
+        "medal_type", "mapid", F.col("name").alias("map_name"),
     )
 
 
@@ -63,28 +62,72 @@ def bucketed_match_join(
     matches may outgrow that, use match_join, whose shuffles AQE splits.
     The tables are overwritten by every call with the same ``prefix``.
     """
+    stored = _bucketed(spark, matches, details, medals, folder, prefix, buckets, partition_by)
+    return match_join(*stored, maps)
+
+
+def _bucketed(
+    spark: SparkSession, matches: DataFrame, details: DataFrame, medals: DataFrame,
+    folder: str, prefix: str, buckets: int | None, partition_by: str | None,
+) -> list[DataFrame]:
+    """The three tables written in buckets of match_id and read back."""
     buckets = buckets or shuffle_partitions(spark)
-    for name, df, part in [
-        ("matches", matches, partition_by),
-        ("match_details", details, None),
-        ("medals_matches_players", medals, None),
-    ]:
-        write_bucketed(
-            df, f"{prefix}_{name}_bucketed", f"{folder}/{name}_bucketed",
-            "match_id", buckets, part,
-        )
     # Settings of this join only: no automatic broadcast, and buckets of
     # match_id also serve the join on (match_id, player_gamertag).
     own = spark.newSession()
     own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    stored = {
-        name: own.table(f"{prefix}_{name}_bucketed")
-        for name in ("matches", "match_details", "medals_matches_players")
-    }
-    return match_join(
-        stored["matches"], stored["match_details"], stored["medals_matches_players"], maps
-    )
+    stored = []
+    for name, df, part in [
+        ("matches", matches, partition_by),
+        ("match_details", details, None),
+        ("medals_matches_players", medals, None),
+    ]:
+        table = f"{prefix}_{name}_bucketed"
+        write_bucketed(df, table, f"{folder}/{name}_bucketed", "match_id", buckets, part)
+        stored.append(own.table(table))
+    return stored
+
+
+#: Share of the rows from which a match counts as heavy: a hundredth.
+HEAVY = 0.01
+
+
+def heavy_match_join(
+    spark: SparkSession,
+    matches: DataFrame,
+    details: DataFrame,
+    medals: DataFrame,
+    maps: DataFrame,
+    folder: str,
+    prefix: str,
+    buckets: int | None = None,
+    partition_by: str | None = None,
+    share: float = HEAVY,
+) -> DataFrame:
+    """``bucketed_match_join`` for tables in which single matches outgrow a bucket.
+
+    Matches with at least ``share`` of the medals or of the details are stored
+    beside the buckets and joined through salts, each spread over as many parts
+    as there are buckets.  They are at most 2 / share, found by a sketch.  All
+    other matches stay in buckets and are joined without a shuffle.
+    """
+    heavy = sorted({*heavy_keys(medals, "match_id", share), *heavy_keys(details, "match_id", share)})
+    is_heavy = F.col("match_id").isin(heavy)
+    rest = [df.filter(~is_heavy) for df in (matches, details, medals)]
+    stored = _bucketed(spark, *rest, folder, prefix, buckets, partition_by)
+    joined = match_join(*stored, maps)
+    if not heavy:
+        return joined
+    own = stored[0].sparkSession
+    apart = []
+    for name, df in (("matches", matches), ("match_details", details), ("medals_matches_players", medals)):
+        path = f"{folder}/{name}_heavy"
+        df.filter(is_heavy).write.mode("overwrite").parquet(path)
+        apart.append(own.read.schema(df.schema).parquet(path))
+    few, players, awarded = apart
+    pairs = salted_join(awarded, players, PLAYER_KEY, buckets or shuffle_partitions(spark))
+    return joined.unionByName(_described(pairs.join(broadcast_if_small(few), "match_id"), maps))
 
 
 def played(

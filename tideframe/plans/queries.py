@@ -488,6 +488,34 @@ def bucketed_match_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _hot_match(spark: SparkSession, folder: str) -> tuple[DataFrame, ...]:
+    """The match roles with the first third of the orders as one match."""
+    matches, details, medals, maps = _match_roles(spark, folder)
+    third = matches.agg(F.floor(F.max("match_id") / 3).cast("long").alias("m")).scalar()
+    hot = F.greatest("match_id", third)
+    one = F.min(F.struct("completion_date", "is_team_game", "playlist_id", "mapid")).alias("one")
+    sums = [F.sum(c).cast("int").alias(c) for c in ("player_total_kills", "player_total_deaths")]
+    return (
+        matches.groupBy(hot.alias("match_id")).agg(one).select("match_id", "one.*"),
+        details.groupBy(hot.alias("match_id"), "player_gamertag").agg(*sums),
+        medals.withColumn("match_id", hot),
+        maps,
+    )
+
+
+@register
+def heavy_match_join(spark: SparkSession, folder: str) -> DataFrame:
+    """One match with a third of all rows: it goes through salts, the rest through buckets."""
+    matches, details, medals, maps = _hot_match(spark, folder)
+    return flat(
+        M.heavy_match_join(
+            spark, _yearly(matches), details, medals, maps,
+            _own_folder(spark, "heavy-matches"), _own_name(spark, "h"),
+            partition_by="completion_year",
+        )
+    )
+
+
 @register
 def joined_matches_sink(spark: SparkSession, folder: str) -> DataFrame:
     joined = _yearly(M.match_join(*_match_roles(spark, folder)))
