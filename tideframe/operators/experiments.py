@@ -113,3 +113,66 @@ def engagement(events: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("events"), F.count(F.lit(1)).alias("active_users"))
         .withColumn("events_per_user", F.col("events") / F.col("active_users"))
     )
+
+
+# 97.5 % of the normal distribution; 99.9 % of chi-square with two
+# degrees of freedom, those of three cells.
+NORMAL_975 = 1.959963984540054
+CHI2_999 = 13.815510557964274
+
+#: The sums from which a ratio's interval follows; they add up over parts.
+MOMENTS = ["users", "x", "y", "xx", "yy", "xy"]
+
+
+def ratio_moments(events: DataFrame, top: str, bottom: str) -> DataFrame:
+    """(cell, users, x, y, xx, yy, xy): sums over users of their counts of two event types.
+
+    Users are the unit that was assigned, so events of one user are added up
+    before anything is squared.  The sums are whole numbers: parts of the data
+    whose users differ may be added in any order.
+    """
+    per_user = events.groupBy("cell", "user_id").agg(
+        F.count_if(F.col("event_type") == top).alias("x"), F.count_if(F.col("event_type") == bottom).alias("y"))
+    x, y = F.col("x"), F.col("y")
+    return per_user.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("users"), F.sum(x).alias("x"), F.sum(y).alias("y"),
+        F.sum(x * x).alias("xx"), F.sum(y * y).alias("yy"), F.sum(x * y).alias("xy"))
+
+
+def add_moments(parts: DataFrame) -> DataFrame:
+    """Moments of parts with different users as those of the whole."""
+    return parts.groupBy("cell").agg(*[F.sum(m).alias(m) for m in MOMENTS])
+
+
+def ratio_intervals(moments: DataFrame) -> DataFrame:
+    """(cell, users, ratio, low, high): x / y with its 95 % interval by the delta method.
+
+    The variance of a ratio of sums over users; NULL for a cell without ``y``
+    or with one user.
+    """
+    n, x, y = (F.col(c).cast("double") for c in ("users", "x", "y"))
+    xx, yy, xy = (F.col(c).cast("double") for c in ("xx", "yy", "xy"))
+    ratio = x / F.nullif(y, F.lit(0.0))
+    # sums of squared deviations of x - ratio * y, whose mean is 0
+    spread = (xx - 2 * ratio * xy + ratio * ratio * yy) / F.nullif(n - 1, F.lit(0.0))
+    error = F.sqrt(F.when(spread < 0, 0.0).otherwise(spread) * n) / y
+    return moments.select(
+        "cell", "users", ratio.alias("ratio"),
+        (ratio - NORMAL_975 * error).alias("low"), (ratio + NORMAL_975 * error).alias("high"))
+
+
+def sample_ratio(moments: DataFrame, shares: dict[str, float] | None = None) -> DataFrame:
+    """(users, chi2, is_off): whether the cells' sizes fit the shares they were given.
+
+    Three equal cells by default.  A cell that nobody is in counts with 0 users.
+    ``is_off`` at a chance of one in a thousand, for three cells.
+    """
+    shares = shares or dict.fromkeys(CELLS, 1 / len(CELLS))
+    sizes = [F.coalesce(F.sum(F.when(F.col("cell") == c, F.col("users"))), F.lit(0)).alias(f"n_{c}") for c in shares]
+    one = moments.agg(*sizes)
+    total = sum((F.col(f"n_{c}") for c in shares), F.lit(0))
+    terms = [(F.col(f"n_{c}") - total * p) * (F.col(f"n_{c}") - total * p) / F.nullif(total * p, F.lit(0.0))
+             for c, p in shares.items()]
+    chi2 = sum(terms[1:], terms[0])
+    return one.select(
+        total.cast("bigint").alias("users"), chi2.alias("chi2"), (chi2 > CHI2_999).alias("is_off"))

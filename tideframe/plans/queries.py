@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.functions import expressions as X
+from tideframe.operators import bitmaps as BM
 from tideframe.operators import checks as C
 from tideframe.operators import cumulative as A
 from tideframe.operators import datelist as D
+from tideframe.operators import distinct as DC
 from tideframe.operators import experiments as E
 from tideframe.operators import growth as G
 from tideframe.operators import matches as M
@@ -36,6 +38,7 @@ from tideframe.plans.present import films_text, flat
 from tideframe.schemas import INPUTS, QUALITY_CLASSES
 from tideframe.session import tune, work_folder
 from tideframe.sources import roles as R
+from tideframe.sources.drift import schema_drift
 from tideframe.sources.tables import csv_table, parquet_table
 from tideframe.streaming import late as SL
 from tideframe.streaming import sessions as SS
@@ -373,6 +376,23 @@ def grouping_sets_points(spark: SparkSession, folder: str) -> DataFrame:
     return U.grouping_sets_points(R.game_lines(spark, folder), R.players(spark, folder))
 
 
+@register
+def grouping_sets_games(spark: SparkSession, folder: str) -> DataFrame:
+    return DC.games_per_level(R.game_lines(spark, folder), R.players(spark, folder))
+
+
+@register
+def grouping_sets_games_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Estimates from sketches, told by whether they lie within four standard errors."""
+    lines, players = R.game_lines(spark, folder), R.players(spark, folder)
+    exact = DC.games_per_level(lines, players)
+    keys = ["aggregation_level", *DC.KEYS]
+    estimated = DC.estimated_games_per_level(DC.game_sketches(lines), players)
+    off = F.abs(F.col("estimate") - F.col("games"))
+    return exact.join(estimated.withColumnRenamed("games", "estimate"), keys).select(
+        *keys, (off <= F.greatest(F.lit(1.0), 4 * 1.04 / 2 ** (DC.LG_K / 2) * F.col("games"))).alias("is_near"))
+
+
 @register
 def top_player_team(spark: SparkSession, folder: str) -> DataFrame:
     return U.top_player(R.game_lines(spark, folder), "team_id", R.players(spark, folder))
@@ -733,6 +753,26 @@ def experiment_conversion(spark: SparkSession, folder: str) -> DataFrame:
     return E.conversion(_cells(spark, folder), "purchase")
 
 
+@register
+def active_user_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with orders on a day, in a week and in four weeks, over seven years."""
+    orders = R.order_events(spark, folder).select(
+        F.col("ip").alias("user_id"), F.to_date("event_time").alias("day"))
+    return flat(BM.active_users(BM.daily_bitmaps(orders)))
+
+
+@register
+def experiment_ctr_interval(spark: SparkSession, folder: str) -> DataFrame:
+    rows = E.ratio_intervals(E.ratio_moments(_cells(spark, folder), "click", "view"))
+    return rows.select("cell", "users", *[F.round(c, 9).alias(c) for c in ("ratio", "low", "high")])
+
+
+@register
+def experiment_sample_ratio(spark: SparkSession, folder: str) -> DataFrame:
+    rows = E.sample_ratio(E.ratio_moments(_cells(spark, folder), "click", "view"))
+    return rows.withColumn("chi2", F.round("chi2", 9))
+
+
 @register
 def profit_by_unit(spark: SparkSession, folder: str) -> DataFrame:
     return flat(E.profit_by_unit(R.order_profit(spark, folder)))
@@ -818,3 +858,28 @@ def check_domain(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def check_spikes(spark: SparkSession, folder: str) -> DataFrame:
     return flat(C.spikes(R.web_events(spark, folder), "event_time", "host"))
+
+
+@register
+def check_robust_spikes(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders per priority and day against the median of their weekday."""
+    return flat(C.robust_spikes(R.order_events(spark, folder), "event_time", "host"))
+
+
+@register
+def check_schema_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by status in one folder; two of the writers changed the schema on their own."""
+    orders = parquet_table(spark, folder, "orders")
+    out = _own_folder(spark, "drifting")
+    status = F.col("o_orderstatus")
+    price = F.struct(F.col("o_totalprice").alias("amount"), F.lit("EUR").alias("currency"))
+    writers = {
+        "F": orders,
+        "O": orders.withColumn("o_custkey", F.col("o_custkey").cast("decimal(20,0)")).drop("o_orderpriority"),
+        "P": orders.withColumn("o_totalprice", price),
+    }
+    for name, rows in writers.items():
+        rows.filter(status == name).write.mode("overwrite").parquet(f"{out}/writer={name}")
+    writer = F.regexp_extract("file", "writer=([^/]+)", 1).alias("writer")
+    found = schema_drift(spark, out, INPUTS["orders"])
+    return found.select(writer, "column_name", "declared", "found", "status").distinct()
