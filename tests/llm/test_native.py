@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from collections import Counter
 
+import hashlib
+import random
+from math import ceil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +15,7 @@ import verify
 from tests.conftest import plan
 from tests.llm.fixtures import DOCS, clashing, docs, odd_rows
 from tideframe.llm.exact_dedup import exact_dedup
+from tideframe.llm import line_templates as L
 from tideframe.llm.line_templates import drop_template_lines
 from tideframe.llm.oracle import ORACLE
 from tideframe.llm.poisson_mix import poisson_cdf, poisson_mix
@@ -139,3 +144,67 @@ def test_templates_of_odd_rows(spark):
     assert sum(got.values()) == len(rows)
     assert got[8, BOILER, 0] == got[9, "", 1] == 1 and got[None, "", 1] == 2
     assert got[1, "", 0] == 1 and got[4, "same text here", 0] == 2
+
+
+def test_families_of_one_leaf_are_told_apart(spark):
+    """Three families with fields of letters, one of them more frequent, in the same leaf."""
+    names = ["ann", "bob", "cid", "dan", "eve"]
+    lines = ["Posted by the admin on page one today"] * 6
+    lines += [f"Posted by the user {x} in forum today" for x in names]
+    lines += [f"Posted by the {x} team of this site" for x in ("green", "red", "blue")]
+    lines += ["Posted by the way nobody ever reads this"]
+    got = {r.doc_id: r.n_dropped for r in drop_template_lines(docs(spark, list(enumerate(lines)))).collect()}
+    assert [got[i] for i in range(len(lines))] == [0] + [1] * 5 + [0] + [1] * 4 + [0] + [1] * 2 + [0]
+
+
+def parents_of(lines, depth=3, similar=0.8):
+    """Brute force of more_frequent: {mask: parent's mask}."""
+    def cuts(n):
+        parts = n - ceil(similar * n) + 1
+        return [(depth + b * (n - depth) // parts, depth + (b + 1) * (n - depth) // parts) for b in range(parts)]
+
+    def name(m):
+        return lines[m], hashlib.md5(m.encode()).digest()
+
+    out = {}
+    for m in lines:
+        t, found = m.split(), []
+        for a, b in cuts(len(t)):
+            same = [x for x in lines if len(x.split()) == len(t) and x.split()[:depth] == t[:depth]
+                    and x.split()[a:b] == t[a:b]]
+            found.append(max(same, key=name))
+        found = [x for x in found if name(x) > name(m)
+                 and sum(p == q for p, q in zip(x.split(), t)) >= ceil(similar * len(t))]
+        if found:
+            out[m] = max(found, key=name)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_parents_equal_brute_force(spark, seed):
+    r = random.Random(seed)
+    lines = {" ".join(["a", "b", r.choice("cd"), *(r.choice("xyz") for _ in range(n - 3))]): r.randrange(1, 9)
+             for n in (5, 6, 9, 10, 15) for _ in range(25)}
+    rows = [(" ".join(m.split()[:3]) + str(len(m.split())), hashlib.md5(m.encode()).digest(), n, m) for m, n in lines.items()]
+    df = spark.createDataFrame(rows, "leaf string, line binary, n_docs long, mask string")
+    df = df.withColumn("leaf", F.xxhash64("leaf"))
+    masks = {hashlib.md5(m.encode()).digest(): m for m in lines}
+    parents = L.more_frequent(df)
+    got = {masks[bytes(x.line)]: masks[bytes(x.parent)] for x in parents.collect()}
+    assert got == parents_of(lines) and got
+    roots = {masks[bytes(x.line)]: masks[bytes(x.template)] for x in L.templates(parents).collect()}
+    for m, root in roots.items():
+        while m in got:
+            m = got[m]
+        assert m == root
+
+
+def test_a_document_of_many_recurring_lines(spark):
+    lines = [f"this is the recurring line {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]} of many x{i // 100}" for i in range(1500)]
+    got = {r.doc_id: r for r in drop_template_lines(docs(spark, [(1, "\n".join(lines)), (2, "\n".join(lines))])).collect()}
+    assert got[1].n_dropped == 0 and got[2].n_dropped == len(lines) and got[2].text == ""
+
+
+def test_lines_must_be_longer_than_the_tree_is_deep(spark):
+    with pytest.raises(ValueError):
+        drop_template_lines(docs(spark, [(1, "a")]), min_tokens=3)

@@ -43,7 +43,7 @@ FROM copied
 """
 
 LINES = f"""
-WITH split AS (
+WITH RECURSIVE split AS (
   SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), lines AS (
   SELECT r, doc_id, i, lines[i] AS line,
@@ -54,14 +54,31 @@ WITH split AS (
 ), masks AS (
   SELECT mask, any_value(t) AS t, count(DISTINCT r) AS n_docs, min(doc_id) AS low, max(doc_id) AS high
   FROM tokens WHERE len(t) >= {L.MIN_TOKENS} GROUP BY mask
-), best AS (
-  SELECT len(t) AS n, t[1:{L.DEPTH}] AS lead, arg_max(t, {{'n': n_docs, 'm': mask}}) AS b,
-         arg_max(mask, {{'n': n_docs, 'm': mask}}) AS best
-  FROM masks GROUP BY ALL
+), named AS (
+  SELECT *, len(t) AS n, t[1:{L.DEPTH}] AS lead, {{'n': n_docs, 'm': md5(mask)}} AS rank,
+         len(t) - ceil({L.SIMILAR} * len(t))::INTEGER + 1 AS parts
+  FROM masks
+), blocks AS (
+  SELECT mask, n, lead, rank, b,
+         t[{L.DEPTH} + b * (n - {L.DEPTH}) // parts + 1 : {L.DEPTH} + (b + 1) * (n - {L.DEPTH}) // parts] AS block
+  FROM (SELECT *, unnest(range(0, parts)) AS b FROM named)
+), tops AS (
+  SELECT n, lead, b, block, arg_max(mask, rank) AS top FROM blocks GROUP BY ALL
+), met AS (
+  SELECT DISTINCT mask, top FROM blocks JOIN tops USING (n, lead, b, block)
+), parents AS (
+  SELECT met.mask, arg_max(top, its.rank) AS parent
+  FROM met JOIN named own ON own.mask = met.mask JOIN named its ON its.mask = top
+  WHERE its.rank > own.rank
+    AND len(list_filter(list_zip(own.t, its.t), lambda p: p[1] = p[2])) >= ceil({L.SIMILAR} * own.n)
+  GROUP BY met.mask
+), chain AS (
+  SELECT mask, mask AS last FROM named
+  UNION ALL
+  SELECT chain.mask, parent FROM chain JOIN parents ON parents.mask = last
 ), placed AS (
-  SELECT m.*, CASE WHEN len(list_filter(list_zip(t, b), lambda p: p[1] = p[2])) >= {L.SIMILAR} * n
-                   THEN best ELSE mask END AS template
-  FROM masks m JOIN best ON len(t) = n AND t[1:{L.DEPTH}] = lead
+  SELECT m.*, last AS template
+  FROM named m JOIN chain USING (mask) WHERE last NOT IN (SELECT mask FROM parents)
 ), several AS (
   SELECT template, min(low) AS first_doc FROM placed GROUP BY template HAVING min(low) <> max(high)
 ), gone AS (
