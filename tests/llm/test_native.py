@@ -187,7 +187,7 @@ def test_parents_equal_brute_force(spark, seed):
              for n in (5, 6, 9, 10, 15) for _ in range(25)}
     rows = [(" ".join(m.split()[:3]) + str(len(m.split())), hashlib.md5(m.encode()).digest(), n, m) for m, n in lines.items()]
     df = spark.createDataFrame(rows, "leaf string, line binary, n_docs long, mask string")
-    df = df.withColumn("leaf", F.xxhash64("leaf"))
+    df = df.withColumn("leaf", F.xxhash64("leaf")).withColumn("tokens", F.split("mask", " "))
     masks = {hashlib.md5(m.encode()).digest(): m for m in lines}
     parents = L.more_frequent(df)
     got = {masks[bytes(x.line)]: masks[bytes(x.parent)] for x in parents.collect()}
