@@ -6,13 +6,13 @@ labelled shingles of least hash are taken and hashed in text order: documents
 agree in such a sketch when they share these shingles and their order, so the
 chance of agreement follows edit similarity and not only common content.
 
-Documents that agree in two (and in three) neighbouring sketches meet.  In each
-meeting all are compared with two of them, the hubs, which gives twice as many
-pairs as members; in the first turn each keeps the least of its hubs.  A link stands when the two sequences align in at least ``SIMILAR``
-of their shingles; linked documents form a class.  Meetings whose members are
-not yet one class choose other hubs and compare again, until a round finds no
-link.  Then every pair of different classes that still meets is compared, but
-for those whose rarest shingles rule out ``SIMILAR`` (an exact prefix filter).
+Documents that agree in two neighbouring sketches meet.  A meeting of several
+classes has a hub, another one in each of ``TURNS`` turns, and a document is
+compared with one of the hubs it meets, so a turn makes one pair per document
+at most.  A link stands when the two sequences align in at least ``SIMILAR`` of
+their shingles; linked documents form a class.  Whatever still meets a document
+of another class after the turns is compared with all that an exact prefix
+filter over true shingle counts leaves; the turns save work and decide nothing.
 Copies of a word sequence are one document throughout.
 """
 
@@ -25,9 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideframe.functions.joins import broadcast_if_small
 from tideframe.llm.common import mix, texts, word_hashes, written
 
 SHINGLE = 5
@@ -35,11 +36,11 @@ SKETCHES = 32
 PICK = 3
 SIMILAR = 0.8
 #: Neighbouring sketches that name a meeting.
-DEPTHS = (2, 3)
-#: Members of a meeting with whom the others are compared in a turn.
-HUBS = 2
-#: Counters of shingles (a power of two); they only order shingles by how rare they are.
-COUNTERS = 1 << 18
+DEPTH = 2
+#: Turns of hubs before the exact rest.
+TURNS = 3
+#: Lengths of documents are grouped by powers of this.
+LENGTHS = 1.05
 
 _RANDOM = np.random.Generator(np.random.PCG64(31))
 _FACTORS = _RANDOM.integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -145,13 +146,10 @@ def sketched(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, ROW)
 
 
-def meeting_keys(sketch: str = "sketch", depths: tuple[int, ...] = DEPTHS) -> Column:
+def meeting_keys(sketch: str = "sketch") -> Column:
     s = F.col(sketch)
-
-    def key(depth: int, k: int) -> Column:
-        return F.xxhash64(F.lit(depth * SKETCHES + k), *(s[(k + i) % SKETCHES] for i in range(depth)))
-
-    return F.array(*(key(d, k) for d in depths for k in range(SKETCHES)))
+    return F.array(*(
+        F.xxhash64(F.lit(DEPTH * SKETCHES + k), *(s[(k + i) % SKETCHES] for i in range(DEPTH))) for k in range(SKETCHES)))
 
 
 def meetings(reps: DataFrame) -> DataFrame:
@@ -175,41 +173,44 @@ def texts_of(docs: DataFrame, reps: DataFrame, shared: DataFrame) -> DataFrame:
     )
 
 
+def with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return shared.withColumn("root", F.col("name"))
+    return shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+
+
 def candidates(shared: DataFrame, roots: DataFrame | None, turn: int, similar: float) -> DataFrame:
-    """name, hub: whom to compare in this turn, once each.
+    """name, hub: whom to compare in this turn, one row per document at most.
 
-    In the first turn a document is compared with one hub only, the least name
-    of those it meets; most classes come together around it.  After that, only
-    meetings of several classes compare.  Each has HUBS hubs: the members
-    least after an exclusive or with numbers that change every turn.  Pairs
-    whose lengths rule out ``similar`` are left out.
+    Only meetings of several classes have a hub: the member that is least
+    after an exclusive or with a number that changes every turn.  A document
+    takes the least of its hubs in the same sense.  Pairs whose lengths rule
+    out ``similar`` are left out.
     """
-    if roots is None:
-        members = shared.withColumn("root", F.col("name"))
-    else:
-        members = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
-    masks = mix(np.arange(HUBS, dtype=np.uint64) + np.uint64(HUBS * turn + 1)).view(np.int64).tolist()
-    least = [F.min(F.struct(F.col("name").bitwiseXOR(F.lit(m)).alias("x"), F.col("name").alias("hub"),
-                            F.col("root").alias("hub_root"), F.col("n").alias("hub_n"))) for m in masks]
+    members = with_roots(shared, roots)
+    mask = F.lit(int(mix(np.array([turn + 1], dtype=np.uint64)).view(np.int64)[0]))
+    least = F.struct(F.col("name").bitwiseXOR(mask).alias("x"), F.col("name").alias("hub"),
+                     F.col("root").alias("hub_root"), F.col("n").alias("hub_n"))
     hubs = (
-        members.groupBy("key")
-        .agg(F.array(*least).alias("hubs"), F.min("root").alias("a"), F.max("root").alias("b"))
-        .filter("a <> b").select("key", F.inline("hubs")).drop("x").distinct()
+        members.groupBy("key").agg(F.min(least).alias("h"), F.min("root").alias("a"), F.max("root").alias("b"))
+        .filter("a <> b").select("key", "h.*")
     )
     pairs = members.join(hubs, "key").filter(
         (F.col("root") != F.col("hub_root")) & (F.least("n", "hub_n") >= similar * F.greatest("n", "hub_n"))
     )
-    if roots is None:
-        return pairs.groupBy("name").agg(F.min("hub").alias("hub"))
-    return pairs.select("name", "hub").distinct()
+    return pairs.groupBy("name").agg(F.min(F.struct("x", "hub")).alias("h")).select("name", "h.hub")
 
 
 def links(pairs: DataFrame, texts_by_name: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """name, hub of the pairs whose alignment holds."""
-    both = (
-        pairs.join(texts_by_name.hint("merge"), "name")
-        .join(texts_by_name.toDF("hub", "hub_text").hint("merge"), "hub")
-    )
+    """name, hub of the pairs whose alignment holds.
+
+    Only texts of documents in ``pairs`` are shuffled; the rest is left out by a
+    join that needs no shuffle when the names are measured to be few.
+    """
+    pairs = written(pairs, "near-pairs")
+    names = broadcast_if_small(pairs.select("name").union(pairs.select("hub")).distinct())
+    own = texts_by_name.join(names, "name", "left_semi")
+    both = pairs.join(own, "name").join(own.toDF("hub", "hub_text").hint("merge"), "hub")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hub_shingles = None, np.zeros(0, dtype=np.uint64)
@@ -225,104 +226,103 @@ def links(pairs: DataFrame, texts_by_name: DataFrame, similar: float = SIMILAR)
     return both.select("name", "hub", "text", "hub_text").mapInArrow(run, "name long, hub long")
 
 
-def unsettled(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """name, root of the members of meetings that hubs cannot settle: of several
-    classes and more than two members.  Of two, one was the other's hub."""
-    members = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+def unsettled(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """name, root of the members of meetings of several classes."""
+    members = with_roots(shared, roots)
     several = (
-        members.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("a"), F.max("root").alias("b"))
-        .filter("members > 2 and a <> b").select("key")
+        members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+        .filter("a <> b").select("key")
     )
     return members.join(several, "key").select("name", "root").distinct()
 
 
-def shingle_counts(text: DataFrame) -> np.ndarray:
-    """About how often the shingles occur; several share a counter."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, dtype=np.int64)
-        for b in batches:
-            for raw in texts(b.column("text")):
-                np.add.at(counts, (labelled_shingles(word_hashes(raw)) & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["counter", "times"])
-
-    sums = text.select("text").mapInArrow(run, "counter long, times long").groupBy("counter").agg(F.sum("times").alias("times"))
-    found = sums.toArrow()
-    counts = np.zeros(COUNTERS, dtype=np.int64)
-    counts[found["counter"].to_numpy()] = found["times"].to_numpy()
-    return counts
-
-
-def prefix_lengths(n: int, similar: float) -> tuple[int, int]:
-    """How many of its rarest shingles a document needs as the shorter and as
-    the longer of a pair: two that are similar have one of these in common.
+def prefix_lengths(n, similar: float, ceil=math.ceil) -> tuple:
+    """How many of its rarest shingles a document of n (a number, or a column
+    with ``F.ceil``) needs as the shorter and as the longer of a pair: two that
+    are similar have one of these in common.
 
     They share at least s of the longer's shingles, and 2s/(1 + s) of the shorter's.
     """
-    shorter, longer = (n - math.ceil(share * n - 1e-6) + 1 for share in (2 * similar / (1 + similar), similar))
+    shorter, longer = (n - ceil(n * share - 1e-6) + 1 for share in (2 * similar / (1 + similar), similar))
     return shorter, longer
 
 
-def rarest_shingles(text: DataFrame, counts: np.ndarray, similar: float) -> DataFrame:
-    """shingle, name, root, n, at (its rank in the document), short (whether it counts for the shorter of a pair)."""
+def shingles_of(text: DataFrame) -> DataFrame:
+    """shingle, name, root, n: every labelled shingle of every text."""
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         each = [len(r[0]) for r in rows]
-        names, roots, n = (np.repeat(np.array([r[k] for r in rows], dtype=np.int64), each) for k in (1, 2, 3))
-        at = np.concatenate([np.arange(k) for k in each])
-        short = at < np.repeat([r[4] for r in rows], each)
+        names, roots = (np.repeat(np.array([r[k] for r in rows], dtype=np.int64), each) for k in (1, 2))
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([r[0] for r in rows]).view(np.int64)), *map(pa.array, (names, roots, n, at, short))],
-            ["shingle", "name", "root", "n", "at", "short"])
+            [pa.array(np.concatenate([r[0] for r in rows]).view(np.int64)), pa.array(names), pa.array(roots),
+             pa.array(np.repeat(np.array(each, dtype=np.int64), each))],
+            ["shingle", "name", "root", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, held = [], 0
             for raw, name, root in zip(texts(b.column("text")), b.column("name").to_pylist(), b.column("root").to_pylist()):
-                s = labelled_shingles(word_hashes(raw))
-                shorter, longer = prefix_lengths(len(s), similar)
-                order = np.lexsort((s, counts[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]))
-                rows.append((s[order[:longer]], name, root, len(s), shorter))
-                held += longer
+                rows.append((labelled_shingles(word_hashes(raw)), name, root))
+                held += len(rows[-1][0])
                 if held >= _ROWS:
                     yield batch(rows)
                     rows, held = [], 0
             if rows:
                 yield batch(rows)
 
-    return text.select("text", "name", "root").mapInArrow(
-        run, "shingle long, name long, root long, n long, at long, short boolean")
+    return text.select("text", "name", "root").mapInArrow(run, "shingle long, name long, root long, n long")
 
 
-def remaining(shared: DataFrame, roots: DataFrame, reps: DataFrame, texts_by_name: DataFrame, similar: float) -> DataFrame:
-    """name, hub: every pair of different classes that meets and can be similar.
+def rarest_shingles(shingles: DataFrame, similar: float) -> DataFrame:
+    """shingle, name, root, n, at, short: the prefixes of the documents.
 
-    Shingles are ranked from rare to common, alike in all documents.  A pair
-    is left out when no shingle of its prefixes is common, or when too few
-    follow it; neither happens to a similar pair.
+    A document's shingles are ranked alike everywhere: those of a single class
+    first, as nobody else has them, then from rare to common by their true
+    counts.  ``at`` is the rank from 0; ``short`` tells whether it counts for
+    the shorter of a pair.
     """
-    text = written(texts_by_name.join(unsettled(shared, roots), "name"), "near-unsettled")
-    rare = written(rarest_shingles(text, shingle_counts(text), similar), "near-rarest")
-    several = (
-        rare.groupBy("shingle").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-        .filter("a <> b").select("shingle")
+    counts = (
+        shingles.groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("times"), F.min("root").alias("a"), F.max("root").alias("b"))
+        .filter("a <> b").select("shingle", "times")
     )
-    rare = written(rare.join(several, "shingle"), "near-rare-shared")
-    longer = rare.drop("short").toDF("shingle", "hub", "hub_root", "hub_n", "hub_at")
-    follow = F.least(F.col("n") - F.col("at"), F.col("hub_n") - F.col("hub_at"))
-    pairs = rare.filter("short").join(longer, "shingle").filter(
-        (F.col("root") != F.col("hub_root")) & (F.col("n") <= F.col("hub_n"))
-        & (F.col("n") >= similar * F.col("hub_n"))
-        & (follow * (1 + similar) + 1e-6 >= similar * (F.col("n") + F.col("hub_n")))
-    )
-    pairs = pairs.select(F.least("name", "hub").alias("name"), F.greatest("name", "hub").alias("hub")).distinct()
-    keys = reps.select("name", meeting_keys(depths=DEPTHS[:1]).alias("keys"))
+    whole = Window.partitionBy("name")
+    alone = F.col("n") - F.count(F.lit(1)).over(whole)
+    shorter, longer = prefix_lengths(F.col("n"), similar, F.ceil)
     return (
-        pairs.join(keys, "name").join(keys.toDF("hub", "hub_keys"), "hub")
-        .filter(F.arrays_overlap("keys", "hub_keys")).select("name", "hub")
+        shingles.join(counts, "shingle")
+        .withColumn("at", alone + F.row_number().over(whole.orderBy("times", "shingle")) - 1)
+        .filter(F.col("at") < longer)
+        .select("shingle", "name", "root", "n", "at", (F.col("at") < shorter).alias("short"))
+    )
+
+
+def remaining(text: DataFrame, similar: float) -> DataFrame:
+    """name, hub: every pair of different classes of ``text`` (text, name, root) that can be similar.
+
+    A pair is left out when no shingle of its prefixes is common, or when too
+    few follow it; neither happens to a similar pair.  Both sides meet by
+    shingle and group of lengths, so a longer document only goes where the
+    rank of the shingle allows a partner.
+    """
+    rare = written(rarest_shingles(written(shingles_of(text), "near-shingles"), similar), "near-rarest")
+
+    def group(n: Column) -> Column:
+        return F.floor(F.log(n.cast("double")) / F.log(F.lit(LENGTHS)))
+
+    m = F.col("hub_n")
+    low = F.ceil(m * similar - 1e-6)
+    high = F.least(m, F.floor(((m - F.col("hub_at")) * (1 + similar) + 1e-6) / similar - m))
+    longer = (
+        rare.drop("short").toDF("shingle", "hub", "hub_root", "hub_n", "hub_at").filter(high >= low)
+        .withColumn("lengths", F.explode(F.sequence(group(low), group(high))))
     )
+    follow = F.least(F.col("n") - F.col("at"), m - F.col("hub_at"))
+    pairs = rare.filter("short").withColumn("lengths", group(F.col("n"))).join(longer, ["shingle", "lengths"]).filter(
+        (F.col("root") != F.col("hub_root")) & (F.col("n") <= m) & (F.col("n") + 1e-6 >= similar * m)
+        & (follow * (1 + similar) + 1e-6 >= similar * (F.col("n") + m))
+    )
+    return pairs.select(F.least("name", "hub").alias("name"), F.greatest("name", "hub").alias("hub")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -357,16 +357,12 @@ def classes(docs: DataFrame, reps: DataFrame, similar: float = SIMILAR) -> DataF
     shared = written(shared_meetings(reps), "near-meetings")
     text = written(texts_of(docs, reps, shared), "near-texts")
     roots = edges = None
-    turn = 0
-    while True:
-        pairs = candidates(shared, roots, turn, similar)
-        found = written(links(pairs, text, similar), "near-links")
-        if turn and found.isEmpty():
-            break
+    for turn in range(TURNS):
+        found = written(links(candidates(shared, roots, turn, similar), text, similar), "near-links")
         edges = found if edges is None else edges.union(found)
         roots = components(edges)
-        turn += 1
-    found = written(links(remaining(shared, roots, reps, text, similar), text, similar), "near-links")
+    rest = written(text.join(unsettled(shared, roots), "name"), "near-unsettled")
+    found = written(links(remaining(rest, similar), text, similar), "near-links")
     return roots if found.isEmpty() else components(edges.union(found))
 
 
@@ -409,19 +405,18 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     return found.unionByName(alone)
 
 
-def drop_near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """``docs`` with one row of each class, and all rows without words."""
-    stays = (
-        near_duplicates(docs, similar).filter("kept")
-        .groupBy("place").agg(F.count(F.lit(1)).alias("_near_rows"))
-    )
-    own = docs.withColumn("_near_place", place(docs))
-    kept = own.join(stays.withColumnRenamed("place", "_near_place"), "_near_place")
-    nth = F.row_number().over(_by_place())
-    return kept.withColumn("_near_nth", nth).filter("_near_nth <= _near_rows").select(*docs.columns)
+#: A character of a word, see ``word_hashes``.
+_WORDED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 
-def _by_place():
-    from pyspark.sql import Window
+def drop_near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """``docs`` with one row of each class, and all rows without words.
 
-    return Window.partitionBy("_near_place").orderBy(F.lit(0))
+    Of rows that are equal in doc_id and text one stays, whichever their other
+    columns.  The columns are those of ``docs``, whatever their names.
+    """
+    worded = F.coalesce(docs["text"], F.lit("")).rlike(_WORDED)
+    stays = near_duplicates(docs, similar).filter("kept").select("place").distinct()
+    rows = docs.filter(worded).select(place(docs).alias("place"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    one = rows.join(stays, "place", "left_semi").groupBy("place").agg(F.any_value("row").alias("row"))
+    return one.select("row.*").unionByName(docs.filter(~worded))
