@@ -6,10 +6,10 @@ labelled shingles of least hash are taken and hashed in text order: documents
 agree in such a sketch when they share these shingles and their order, so the
 chance of agreement follows edit similarity and not only common content.
 
-Documents that agree in two neighbouring sketches meet.  A meeting of several
-classes has a hub, another one in each of ``TURNS`` turns, and a document is
-compared with one of the hubs it meets, so a turn makes one pair per document
-at most.  A link stands when the two sequences align in at least ``SIMILAR`` of
+Documents that agree in two (and in three) neighbouring sketches meet.  A
+meeting of several classes has two hubs, others in each of ``TURNS`` turns.  In
+the first turn a document is compared with one of the hubs it meets, then with
+all of them: at most twice as many pairs as there are members.  A link stands when the two sequences align in at least ``SIMILAR`` of
 their shingles; linked documents form a class.  Whatever still meets a document
 of another class after the turns is compared with all that an exact prefix
 filter over true shingle counts leaves; the turns save work and decide nothing.
@@ -36,9 +36,11 @@ SKETCHES = 32
 PICK = 3
 SIMILAR = 0.8
 #: Neighbouring sketches that name a meeting.
-DEPTH = 2
-#: Turns of hubs before the exact rest.
-TURNS = 3
+DEPTHS = (2, 3)
+#: Members of a meeting with whom the others are compared in a turn.
+HUBS = 2
+#: Turns of hubs before the exact rest; two at least, so that meetings of two are settled.
+TURNS = 2
 #: Lengths of documents are grouped by powers of this.
 LENGTHS = 1.05
 
@@ -148,8 +150,11 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 def meeting_keys(sketch: str = "sketch") -> Column:
     s = F.col(sketch)
-    return F.array(*(
-        F.xxhash64(F.lit(DEPTH * SKETCHES + k), *(s[(k + i) % SKETCHES] for i in range(DEPTH))) for k in range(SKETCHES)))
+
+    def key(depth: int, k: int) -> Column:
+        return F.xxhash64(F.lit(depth * SKETCHES + k), *(s[(k + i) % SKETCHES] for i in range(depth)))
+
+    return F.array(*(key(d, k) for d in DEPTHS for k in range(SKETCHES)))
 
 
 def meetings(reps: DataFrame) -> DataFrame:
@@ -180,25 +185,29 @@ def with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def candidates(shared: DataFrame, roots: DataFrame | None, turn: int, similar: float) -> DataFrame:
-    """name, hub: whom to compare in this turn, one row per document at most.
+    """name, hub: whom to compare in this turn.
 
-    Only meetings of several classes have a hub: the member that is least
-    after an exclusive or with a number that changes every turn.  A document
-    takes the least of its hubs in the same sense.  Pairs whose lengths rule
-    out ``similar`` are left out.
+    Only meetings of several classes compare.  Each has HUBS hubs: the members
+    least after an exclusive or with numbers that change every turn.  In the
+    first turn, when every document is a class, each takes the least of its
+    hubs, then all hubs of other classes.  Pairs whose lengths rule out
+    ``similar`` are left out.
     """
     members = with_roots(shared, roots)
-    mask = F.lit(int(mix(np.array([turn + 1], dtype=np.uint64)).view(np.int64)[0]))
-    least = F.struct(F.col("name").bitwiseXOR(mask).alias("x"), F.col("name").alias("hub"),
-                     F.col("root").alias("hub_root"), F.col("n").alias("hub_n"))
+    masks = mix(np.arange(HUBS, dtype=np.uint64) + np.uint64(HUBS * turn + 1)).view(np.int64).tolist()
+    least = [F.min(F.struct(F.col("name").bitwiseXOR(F.lit(m)).alias("x"), F.col("name").alias("hub"),
+                            F.col("root").alias("hub_root"), F.col("n").alias("hub_n"))) for m in masks]
     hubs = (
-        members.groupBy("key").agg(F.min(least).alias("h"), F.min("root").alias("a"), F.max("root").alias("b"))
-        .filter("a <> b").select("key", "h.*")
+        members.groupBy("key")
+        .agg(F.array(*least).alias("hubs"), F.min("root").alias("a"), F.max("root").alias("b"))
+        .filter("a <> b").select("key", F.inline("hubs")).drop("x").distinct()
     )
     pairs = members.join(hubs, "key").filter(
         (F.col("root") != F.col("hub_root")) & (F.least("n", "hub_n") >= similar * F.greatest("n", "hub_n"))
     )
-    return pairs.groupBy("name").agg(F.min(F.struct("x", "hub")).alias("h")).select("name", "h.hub")
+    if roots is None:
+        return pairs.groupBy("name").agg(F.min("hub").alias("hub"))
+    return pairs.select("name", "hub").distinct()
 
 
 def links(pairs: DataFrame, texts_by_name: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -226,12 +235,14 @@ def links(pairs: DataFrame, texts_by_name: DataFrame, similar: float = SIMILAR)
     return both.select("name", "hub", "text", "hub_text").mapInArrow(run, "name long, hub long")
 
 
-def unsettled(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """name, root of the members of meetings of several classes."""
+def unsettled(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """name, root of the members of meetings that hubs cannot settle: of several
+    classes and more than two members.  Of two, one was the other's hub."""
     members = with_roots(shared, roots)
     several = (
-        members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-        .filter("a <> b").select("key")
+        members.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("a"), F.max("root").alias("b"))
+        .filter("members > 2 and a <> b").select("key")
     )
     return members.join(several, "key").select("name", "root").distinct()
 
