@@ -44,9 +44,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix; what is read back from them, with the ids."""
+    """Token files of the mix in the random order it was written in; what is read back from them, with the ids."""
     out = work_folder(session(spark), "pipeline-tokens")
-    write_tokens(docs, out, default_tokenizer())
+    write_tokens(docs, out, default_tokenizer(), as_they_come=True)
     return read_tokens(spark, out, with_ids=True)
 
 

@@ -91,6 +91,16 @@ def test_files_of_odd_rows(spark, tokenizer):
     assert {r.position: r.token for r in found} == {p: whole[p] for p in places if 0 <= p < len(whole)}
 
 
+def test_a_shuffled_corpus_keeps_its_order(spark):
+    """Copies stay as far apart as they were, and nothing is shuffled for it."""
+    rows = [(i * 7 % 30, words(i * 7 % 30, 20)) for i in range(300)]
+    mixed = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = work_folder(spark, "tokens")
+    write_tokens(mixed, out, PATH, segment_tokens=1000, as_they_come=True)
+    got = sorted(read_tokens(spark, out).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [d for d, _ in rows]
+
+
 def test_no_documents(spark):
     out = work_folder(spark, "tokens")
     write_tokens(spark.createDataFrame([], DOCS), out, PATH)

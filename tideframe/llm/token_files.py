@@ -203,19 +203,21 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str, end: int, limit: int
 
 
 def write_tokens(
-    docs: DataFrame, out: str, tokenizer: str, end: int = END, segment_tokens: int = SEGMENT_TOKENS
+    docs: DataFrame, out: str, tokenizer: str, end: int = END, segment_tokens: int = SEGMENT_TOKENS,
+    as_they_come: bool = False,
 ) -> None:
     """Writes the ids of all texts, each with ``end`` after it, in ascending doc_id order.
 
+    ``as_they_come`` writes the rows in the order of their partitions instead,
+    without a shuffle: for a corpus that was shuffled on purpose.
+
     NULL text is empty: its only id is ``end``.  NULL doc_ids come first; rows
     that repeat a doc_id are each written, ordered by a hash of their text.
     Other columns are not read.  An empty table writes a table of no segments.
     """
-    ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
-    )
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if not as_they_come:
+        ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     ordered.mapInArrow(
         lambda batches: _segments(batches, tokenizer, end, segment_tokens), SEGMENTS
     ).write.parquet(out)
