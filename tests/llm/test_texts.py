@@ -145,6 +145,34 @@ def test_messages_with_system_and_mixed_content(record, turns):
     assert C.turns(record) == turns
 
 
+@pytest.mark.parametrize("record, turns", [
+    ({"prompt": "p", "prompt_id": "1", "messages": [{"role": "human", "content": "q"}]}, [("user", "q")]),
+    ({"instruction": "do", "output": "y", "text": "all of it"}, [("user", "do"), ("assistant", "y")]),
+    ({"question": "q", "answer": "a", "system": "s"}, [("system", "s"), ("user", "q"), ("assistant", "a")]),
+    ({"question": "q", "answer": "a", "context": "c"}, [("user", "c\n\nq"), ("assistant", "a")]),
+    ({"prompt": "p", "completion": "c", "system": "s"}, [("system", "s"), ("user", "p"), ("assistant", "c")]),
+    ({"conversations": [{"from": "human", "value": "q"}], "text": "t"}, [("user", "q")]),
+    ({"conversations": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}, [("user", "q"), ("assistant", "a")]),
+    ({"messages": [{"role": "user", "content": "q"}, None, 3, "x"], "answer": "a"}, [("user", "q")]),
+    ({"prompt": "p", "response": "r", "history": 5}, [("user", "p"), ("assistant", "r")]),
+    ({"prompt": "p", "response": "r", "history": ["no pair"]}, [("user", "p"), ("assistant", "r")]),
+    ({"role": "human", "text": "as given"}, [("human", "as given")]),
+    ({"prompt": "alone"}, None),
+])
+def test_records_with_more_or_other_fields(record, turns):
+    assert C.turns(record) == turns
+
+
+def test_what_no_mapping_names_is_kept(spark):
+    """The record itself stays at hand unless its fingerprint names a mapping."""
+    records = [{"question": "q", "answer": "a"}, {"question": "q", "answer": "a", "text": "t"}, {"prompt": "alone"}, {"messages": []}]
+    rows = [(i, 0, json.dumps(r)) for i, r in enumerate(records)] + [(9, 0, None)]
+    got = C.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, record string")).collect()
+    assert {(r.conv_id, r.nth): (r.mapped, r.raw) for r in got} == {
+        (0, 0): (True, None), (0, 1): (True, None), (1, 0): (True, rows[1][2]), (1, 1): (True, None),
+        (2, 0): (False, rows[2][2]), (3, 0): (False, rows[3][2]), (9, 0): (False, None)}
+
+
 def test_fingerprints_are_of_one_mapping_each():
     assert len(C.BY_FINGERPRINT) == sum(2 ** len(m.optional) for m in C.MAPPINGS)
 

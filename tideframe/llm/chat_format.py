@@ -3,7 +3,9 @@
 A record is JSON of one of many layouts: one turn, a list of messages, an
 instruction with an answer, pairs of questions and answers.  The sorted paths
 of its known fields are hashed, and the hash picks a mapping that says, as
-data, which fields become turns of which role.  Turns are written with a
+data, which fields become turns of which role.  A record with more known
+fields than any mapping names is read by the most specific mapping whose
+required fields it has.  Turns are written with a
 template whose control strings cannot be faked: inside texts they are escaped,
 reversibly.  The output names the part of each turn that a model learns from.
 """
@@ -38,10 +40,12 @@ class Mapping:
     required: tuple[str, ...]
     turns: tuple[tuple[str, str, str], ...]
     optional: tuple[str, ...] = ()
+    #: Roles as they stand, also those that have a common name.
+    as_given: bool = False
 
 
 MAPPINGS = (
-    Mapping("turn", ("role", "text"), (("", "role", "text"),)),
+    Mapping("turn", ("role", "text"), (("", "role", "text"),), as_given=True),
     Mapping("turn_content", ("role", "content"), (("", "role", "content"),)),
     Mapping("messages", ("messages[].role", "messages[].content"),
             (("", "=system", "system"), ("messages", "role", "content")), ("system",)),
@@ -49,16 +53,20 @@ MAPPINGS = (
             (("", "=system", "system"), ("messages", "role", "content")), ("messages[].content[].type", "system")),
     Mapping("messages_mixed", ("messages[].role", "messages[].content", "messages[].content[].text"),
             (("", "=system", "system"), ("messages", "role", "content")), ("messages[].content[].type", "system")),
+    Mapping("conversations", ("conversations[].role", "conversations[].content"),
+            (("", "=system", "system"), ("conversations", "role", "content")), ("system",)),
     Mapping("from_value", ("conversations[].from", "conversations[].value"),
             (("", "=system", "system"), ("conversations", "from", "value")), ("system",)),
     Mapping("instruction", ("instruction", "output"),
             (("", "=system", "system"), ("", "=user", "instruction+input"), ("", "=assistant", "output")),
             ("input", "system")),
-    Mapping("prompt_completion", ("prompt", "completion"), (("", "=user", "prompt"), ("", "=assistant", "completion"))),
+    Mapping("prompt_completion", ("prompt", "completion"),
+            (("", "=system", "system"), ("", "=user", "prompt"), ("", "=assistant", "completion")), ("system",)),
     Mapping("prompt_response", ("prompt", "response"),
             (("", "=system", "system"), ("history", "=user", "0"), ("history", "=assistant", "1"),
              ("", "=user", "prompt"), ("", "=assistant", "response")), ("system", "history[][]")),
-    Mapping("question_answer", ("question", "answer"), (("", "=user", "question"), ("", "=assistant", "answer"))),
+    Mapping("question_answer", ("question", "answer"),
+            (("", "=system", "system"), ("", "=user", "context+question"), ("", "=assistant", "answer")), ("system", "context")),
 )
 KNOWN = frozenset(p for m in MAPPINGS for p in m.required + m.optional)
 
@@ -92,22 +100,43 @@ def _text(value: object) -> str:
     return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
+def mapping_of(record: object) -> tuple[Mapping | None, bool]:
+    """The mapping of a record, and whether its fingerprint names it exactly.
+
+    Without an exact one it is the mapping of most required paths, of equals
+    that which leaves fewer known paths unread, then the earlier in the list.
+    """
+    if not isinstance(record, dict):
+        return None, False
+    found = paths(record) & KNOWN
+    if exact := BY_FINGERPRINT.get(fingerprint(found)):
+        return exact, True
+    fit = [m for m in MAPPINGS if found.issuperset(m.required)]
+    return min(fit, key=lambda m: (-len(m.required), len(found.difference(m.required, m.optional))), default=None), False
+
+
 def turns(record: object) -> list[tuple[str, str]] | None:
     """Role and text of each turn; None when no mapping fits."""
-    mapping = BY_FINGERPRINT.get(fingerprint(paths(record)))
-    if mapping is None or not isinstance(record, dict):
-        return None
+    mapping, _ = mapping_of(record)
+    return None if mapping is None else mapped_turns(record, mapping)
+
+
+def mapped_turns(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
     out, lists = [], {}
     for many, role, text in mapping.turns:
-        for k, item in enumerate([record] if not many else record.get(many) or []):
-            get = item.get if isinstance(item, dict) else lambda i, x=item: x[int(i)] if int(i) < len(x) else None
-            fields = [f for f in text.split("+") if not isinstance(item, dict) or f in item]
+        items = record.get(many) if many else [record]
+        for k, item in enumerate(items if isinstance(items, list) else []):
+            if isinstance(item, list):
+                item = dict(zip(map(str, range(len(item))), item))
+            if not isinstance(item, dict):
+                continue
+            fields = [f for f in text.split("+") if f in item]
             if not fields:
                 continue
-            body = "\n\n".join(t for t in (_text(get(f)) for f in fields) if t or len(fields) == 1)
-            name = role[1:] if role[0] == "=" else _text(get(role))
+            body = "\n\n".join(t for t in (_text(item[f]) for f in fields) if t or len(fields) == 1)
+            name = role[1:] if role[0] == "=" else _text(item.get(role))
             where = lists.setdefault(many, len(out)) if many else len(out)
-            out.append((where, k, len(out), ROLES.get(name, name), body))
+            out.append((where, k, len(out), name if mapping.as_given else ROLES.get(name, name), body))
     return [(role, body) for *_, role, body in sorted(out)]
 
 
@@ -141,38 +170,45 @@ def format_chats(records: DataFrame) -> DataFrame:
     """Formats records (conv_id, turn, record): one row per turn.
 
     conv_id, turn, nth (within the record), piece, learn_from, learn_to (code
-    points of ``piece`` that are learnt from; NULL if none), mapped.  A record
-    that is NULL, no JSON or of no known layout gives one row with mapped =
-    false and an empty piece, so nothing vanishes.  An unknown role is kept as
-    it is, a NULL role is empty.  Other columns are not read.
+    points of ``piece`` that are learnt from; NULL if none), mapped, raw.  A
+    record that is NULL, no JSON or of no known layout gives one row with
+    mapped = false and an empty piece.  ``raw`` is the record itself, in its
+    first row, where the fingerprint names no mapping exactly, so fields that
+    were not read stay at hand; NULL elsewhere.  An unknown role is kept as it
+    is, a NULL role is empty.  Other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, nth, pieces, begin, stop, mapped = [], [], [], [], [], []
+            at, nth, pieces, begin, stop, mapped, raw = [], [], [], [], [], [], []
             for i, r in enumerate(b.column("record").to_pylist()):
+                found, exact = None, False
                 try:
-                    found = turns(json.loads(r)) if r is not None else None
+                    record = json.loads(r) if r is not None else None
+                    mapping, exact = mapping_of(record)
+                    found = mapped_turns(record, mapping) if mapping else None
                 except (ValueError, RecursionError):
-                    found = None
+                    pass
                 for k, (role, text) in enumerate(found or [("", "")]):
                     p, x, y = piece(role, text) if found else ("", None, None)
-                    learn = found is not None and role == LEARN
+                    learn = bool(found) and role == LEARN
                     at.append(i)
                     nth.append(k)
                     pieces.append(p)
                     begin.append(x if learn else None)
                     stop.append(y if learn else None)
                     mapped.append(bool(found))
+                    raw.append(None if k or exact and found else r)
             rows = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column("conv_id").take(rows), b.column("turn").take(rows), pa.array(nth, pa.int32()),
                  pa.array(pieces, pa.string()), pa.array(begin, pa.int32()), pa.array(stop, pa.int32()),
-                 pa.array(mapped, pa.bool_())],
-                ["conv_id", "turn", "nth", "piece", "learn_from", "learn_to", "mapped"])
+                 pa.array(mapped, pa.bool_()), pa.array(raw, pa.string())],
+                ["conv_id", "turn", "nth", "piece", "learn_from", "learn_to", "mapped", "raw"])
 
     rows = records.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "record")
-    return rows.mapInArrow(run, "conv_id long, turn long, nth int, piece string, learn_from int, learn_to int, mapped boolean")
+    return rows.mapInArrow(run, "conv_id long, turn long, nth int, piece string, learn_from int, learn_to int,"
+                                " mapped boolean, raw string")
 
 
 @dataclass
