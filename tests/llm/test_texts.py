@@ -7,6 +7,7 @@ import html
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -74,6 +75,20 @@ LONG = "a long passage, with commas, " * 60
     (f"<div class='site right-sidebar'><article><p>{LONG}</p></article><div class=sidebar>About us</div></div>", LONG.strip()),
     (f"<article><p>{LONG}</p><div class=related>More of it</div></article>", LONG.strip()),
     (f"<div class=related><a href=x>{LONG}</a></div><article><p>Short</p></article>", "Short"),
+    (f"<body><form action=x><div class=nav>Home</div><div class=text><p>{LONG}</p></div></form></body>", LONG.strip()),
+    (f"<body><div class=text><p>{LONG}</p></div><form><p>Your name</p><label>Name</label></form></body>", LONG.strip()),
+    (f"<div class='post comment-open'><p>{LONG}</p></div>", LONG.strip()),
+    (f"<section class='story subscribe-wall'><p>{LONG}</p></section><div class=comments><p>No</p></div>", LONG.strip()),
+    (f"<div class='recipe cookie'><h1>T</h1><p>{LONG}</p></div><div><p>A note</p></div>", f"T\n\n{LONG.strip()}"),
+    (f"<div class=comments><p>{LONG}</p></div><div class=text><p>Short text</p></div>", "Short text"),
+    (f"<div class=page><h1>T</h1><section class=a><p>{LONG}</p></section><section class=b><p>{LONG}</p></section></div>",
+     f"T\n\n{LONG.strip()}\n\n{LONG.strip()}"),
+    (f"<div class=page><h1>T</h1><div class=a><p>{LONG}</p></div><div class=b><p>Last</p></div></div>", f"T\n\n{LONG.strip()}\n\nLast"),
+    (f"<div id=w><header><h1>Site</h1></header><div class=c><p>{LONG}</p></div><div class=d><a href=x>More</a></div></div>", LONG.strip()),
+    (f"<div id=w><h1><a href=/>Site</a></h1><div class=c><p>{LONG}</p></div></div>", LONG.strip()),
+    (f"<div class=legal><p>{LONG * 4}</p></div><div class=c><p>{LONG * 50}</p></div>", (LONG * 50).strip()),
+    ("<div>" * 20 + f"<div class=q><p>{LONG}</p></div>" + "</div>" * 20, LONG.strip()),
+    ("<div>" * 13 + f"<div><p>{LONG}</p></div>" + "</div>" * 13 + "<section>" + "<div>" * 13 + "<p>No</p>" + "</div>" * 13 + "</section>", LONG.strip()),
 ])
 def test_whole_articles(spark, page, text):
     assert H.extract(page, None) == text
@@ -99,6 +114,26 @@ def test_odd_pages(spark):
     assert H.main_text(spark.createDataFrame([], PAGES)).count() == 0
 
 
+@pytest.mark.parametrize("unit", [
+    "<a x ", "<i></u>", "<i><div></div>", "<a x='", "<a \"'>", "<!--", "</script ", "<li><ul><i>", "<li></li>", "<header>", "<div><h1>",
+    "<p><b>", "<table><td>", "<![CDATA[", "<title>", "<a href=\"x>", "<form><p>", "<div class=reply>x",
+])
+def test_time_grows_with_length(unit):
+    """Broken markup of 200 KB; a quadratic reader needs minutes."""
+    page = unit * (200_000 // len(unit))
+    for p in (page, "<script></script>" + page + ">"):
+        begun = time.process_time()
+        H.extract(p, None)
+        assert time.process_time() - begun < 10
+
+
+def test_deep_stacks_take_linear_time():
+    page = "<ul><li><ul>" + "<i>" * 50_000 + "<li></li></b></u>" * 50_000
+    begun = time.process_time()
+    H.extract(page, None)
+    assert time.process_time() - begun < 20
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<b>", "</i>", "<article>", "<li", "'", '"', ">", "<!--", "&amp", "t ", "</body>"]), max_size=40))
 def test_any_markup(parts):

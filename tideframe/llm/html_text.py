@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,6 +27,12 @@ MARKUP = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>",
     re.S,
 )
+#: The same without quotes: for what follows a tag whose quote never ends.
+UNQUOTED = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>",
+    re.S,
+)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,9 +49,7 @@ ENDS_BEFORE = {
 }
 SCOPE = frozenset("ul ol dl table body html article main section div nav aside footer header form".split())
 CONTAINERS = frozenset("article main section div body".split())
-JUNK_TAGS = frozenset(
-    "nav footer aside form button select input dialog menu head".split()
-)
+JUNK_TAGS = frozenset("nav footer aside button select input dialog menu head".split())
 JUNK_WORDS = frozenset(
     "ad ads adv advert adverts advertisement adsense sponsor sponsored banner promo promotion sidebar"
     " menu nav navbar navigation breadcrumb breadcrumbs masthead footer comment comments disqus reply"
@@ -60,8 +65,10 @@ STATE_WORDS = frozenset(
 #: So begins the name of a state, as in no-sidebar.
 STATES = frozenset("no has with without hide is".split())
 JUNK_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-#: A path holds so many steps, the innermost.
+#: A path names so many steps, the innermost; the outer ones are one hash.
 STEPS = 12
+#: Shares of text: what is beside a container and belongs to it, and what of that may be linked.
+BESIDE, LINKED = 0.2, 0.3
 GOOD_TAGS = {"article": 60, "main": 40}
 GOOD_WORDS = frozenset("article content entry main post story body text".split())
 
@@ -76,8 +83,13 @@ class Element:
     parts: list = field(default_factory=list)
     children: list = field(default_factory=list)
     bonus: int = 0
-    #: Named by a word that is junk unless most of the page's text is inside.
+    #: A form, or named by a word that is junk unless most of the page's text is inside.
     doubtful: bool = False
+    #: Doubtful, and junk also then, unless a first heading is inside.
+    untitled_junk: bool = False
+    #: Holds a first heading; a first or second one.
+    h1: bool = False
+    title: bool = False
 
     @property
     def path(self) -> str:
@@ -96,12 +108,12 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
     ]
     words = [w for t in tokens for w in t]
     junk_words = JUNK_WORDS.intersection(w for t in tokens if t and not (len(t) > 1 and t[0] in STATES) for w in t)
+    good = any(GOOD_WORDS.intersection(t) and not JUNK_WORDS.intersection(t) for t in tokens)
     names = "".join(f".{re.sub(r'[0-9]+', '#', c.lower())}" for c in sorted(a.get("class", "").split()))
     style = a.get("style", "").replace(" ", "").lower()
     body = tag in ("body", "html", "article", "main")
     junk = (
         tag in JUNK_TAGS
-        or not body and not junk_words <= STATE_WORDS
         or a.get("role", "").lower() in JUNK_ROLES
         or "hidden" in a or a.get("aria-hidden", "") == "true"
         or "display:none" in style or "visibility:hidden" in style
@@ -109,68 +121,123 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
     if tag in INLINE:
         steps = parent.steps
     else:
-        steps = (*(() if tag in ("html", "body") else parent.steps[1 - STEPS:]), tag + names)
+        steps = (*(() if tag in ("html", "body") else parent.steps), tag + names)
+        if len(steps) > STEPS:
+            steps = (f"{zlib.crc32('>'.join(steps[:2]).encode()):08x}", *steps[2:])
     bonus = GOOD_TAGS.get(tag, 0) + 15 * bool(GOOD_WORDS.intersection(words))
-    return Element(tag, steps, junk or parent.junk, bonus=bonus, doubtful=not body and bool(junk_words),
-                   page_header=tag == "header" or a.get("role") == "banner")
+    return Element(tag, steps, junk or parent.junk, bonus=bonus, doubtful=tag == "form" or not body and bool(junk_words),
+                   untitled_junk=not good and not junk_words <= STATE_WORDS, page_header=tag == "header" or a.get("role") == "banner")
+
+
+class _Open:
+    """The open elements, and where on the stack each kind of them stands."""
+
+    def __init__(self, root: Element):
+        self.stack = [root]
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of this tag; 0 if none."""
+        places = self.at.get(tag)
+        return places[-1] if places else 0
+
+    def push(self, e: Element) -> None:
+        k = len(self.stack)
+        self.stack.append(e)
+        self.at.setdefault(e.tag, []).append(k)
+        if e.tag not in INLINE:
+            self.blocks.append(k)
+        if e.tag in SCOPE:
+            self.scopes.append(k)
+
+    def cut(self, k: int) -> None:
+        """Ends the elements from place k on."""
+        while len(self.stack) > k:
+            tag = self.stack.pop().tag
+            self.at[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+            if tag in SCOPE:
+                self.scopes.pop()
+
+    def close(self, tags: set[str]) -> None:
+        """Ends the innermost element of these tags, but none around the scope."""
+        k = max(map(self.last, tags))
+        if k and (not self.scopes or k >= self.scopes[-1]):
+            self.cut(k)
+
+    def end(self, tag: str) -> None:
+        """An end tag: an inline one ends no block, others end no scope but their own."""
+        k = self.last(tag)
+        around = self.blocks if tag in INLINE else [] if tag in SCOPE else self.scopes
+        if k and not (around and around[-1] > k):
+            self.cut(k)
+
+    def titled(self, tag: str) -> None:
+        for e in reversed(self.stack):
+            if e.title and (e.h1 or tag != "h1"):
+                break
+            e.title, e.h1 = True, e.h1 or tag == "h1"
 
 
 def parse(page: str) -> Element:
-    """The tree of a page, however badly its tags are closed."""
+    """The tree of a page, however badly its tags are closed; in time that grows with its length."""
     root = Element("")
-    stack, at = [root], 0
-
-    def close(tags: set[str] | frozenset[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                del stack[k:]
-                return
-            if stack[k].tag in SCOPE:
-                return
+    now, at, markup = _Open(root), 0, MARKUP
+    #: Behind the last > there are no whole tags to look for.
+    whole = page.rfind(">") + 1
 
     def text(t: str) -> None:
         if t:
-            stack[-1].parts.append(html.unescape(t) if "&" in t else t)
+            now.stack[-1].parts.append(html.unescape(t) if "&" in t else t)
 
     while True:
-        m = MARKUP.search(page, at)
+        m = markup.search(page, at, whole)
         if m is None:
             break
         text(page[at:m.start()])
         at = m.end()
-        tag = m[2] or m[5]
+        if markup is MARKUP:
+            tag, closing, attributes = m[2] or m[5], m[1] or m[4], m[3] or m[6] or ""
+            markup = UNQUOTED if m[5] else MARKUP
+        else:
+            tag, closing, attributes = m[2], m[1], m[3]
         if tag is None:
+            for begin, end in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+                if m[0].startswith(begin):
+                    at = at if m[0].endswith(end) else len(page)
+                    break
             continue
-        tag, closing = tag.lower(), bool(m[1] or m[4])
+        tag = tag.lower()
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    if tag in INLINE and any(e.tag not in INLINE for e in stack[k:]):
-                        break
-                    del stack[k:]
-                    break
-                if tag not in SCOPE and stack[k].tag in SCOPE:
-                    break
+            now.end(tag)
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at, whole)
             at = end.end() if end else len(page)
             continue
         if tag not in INLINE and tag not in VOID:
-            close({"p"})
+            now.close({"p"})
         if tag in ENDS_BEFORE:
-            close(ENDS_BEFORE[tag])
+            now.close(ENDS_BEFORE[tag])
         if tag == "br":
-            stack[-1].parts.append(" ")
+            now.stack[-1].parts.append(" ")
         elif tag == "hr":
-            close({"p"})
-            stack[-1].parts.append(None)
+            now.close({"p"})
+            now.stack[-1].parts.append(None)
         elif tag not in VOID:
-            e = _element(tag, m[3] or m[6] or "", stack[-1])
-            stack[-1].parts.append(e)
-            stack[-1].children.append(e)
-            stack.append(e)
-    text(page[at:])
+            e = _element(tag, attributes, now.stack[-1])
+            now.stack[-1].parts.append(e)
+            now.stack[-1].children.append(e)
+            now.push(e)
+            if tag in ("h1", "h2"):
+                now.titled(tag)
+    tail = page[at:]
+    if found := re.search("<[!?]", tail):
+        tail = tail[:found.start()]
+    text(tail)
     _settle(root)
     return root
 
@@ -189,7 +256,9 @@ def _settle(root: Element) -> None:
     for e in order:
         if e.doubtful and not e.junk:
             chars, linked = sums[id(e)]
-            e.junk = e.tag not in CONTAINERS or 2 * chars <= sums[id(root)][0] or 2 * linked >= chars
+            e.junk = (e.tag not in CONTAINERS and e.tag != "form" or 2 * chars <= sums[id(root)][0]
+                      or 2 * linked >= chars or e.untitled_junk and not e.h1
+                      or e.tag == "form" and not e.h1 and not any(c.tag in CONTAINERS or c.tag == "p" for c in _walk(e)))
         for c in e.children:
             c.junk = c.junk or e.junk
 
@@ -201,7 +270,7 @@ def _pieces(e: Element, top: bool = True) -> Iterator[str | None]:
         now, parts = todo[-1]
         for p in parts:
             if isinstance(p, Element):
-                if p.junk and not e.junk or p.page_header and not _has_title(p):
+                if p.junk and not e.junk or p.page_header and not p.title:
                     yield None
                     continue
                 if p.tag not in INLINE:
@@ -215,10 +284,6 @@ def _pieces(e: Element, top: bool = True) -> Iterator[str | None]:
                 yield None
 
 
-def _has_title(e: Element) -> bool:
-    return any(c.tag in ("h1", "h2") for c in _walk(e))
-
-
 def blocks(e: Element) -> list[str]:
     """The text blocks of an element without what is not its content."""
     out, now = [], []
@@ -260,25 +325,73 @@ def _own_text(e: Element) -> tuple[int, int, int]:
     return chars, commas, linked
 
 
+def _beside(parent: Element, inner: Element) -> tuple[int, int, bool]:
+    """Of what an element holds besides one of its children: characters, linked characters,
+    and whether there is a first heading that is neither a link nor in a header."""
+    chars = linked = 0
+    heading = False
+    todo = [(parent, False, False)]
+    while todo:
+        now, link, head = todo.pop()
+        if now.tag == "h1" and not head and not link:
+            own, _, links = _own_text(now)
+            heading = heading or own > links
+        for p in now.parts:
+            if isinstance(p, Element):
+                if p is not inner and not p.junk:
+                    todo.append((p, link or p.tag == "a", head or p.page_header))
+            elif p is not None:
+                chars += len(p.strip())
+                linked += len(p.strip()) if link else 0
+    return chars, linked, heading
+
+
+def _whole(e: Element, parents: dict[int, Element], chars: int) -> Element:
+    """The container that holds the rest of an article of which ``e`` is a part.
+
+    That is the parent, when beside ``e`` are the first heading that ``e``
+    lacks, or a good part of unlinked text in elements of the same tag; and so
+    on outwards, but never the body.
+    """
+    best = now = e
+    while (up := parents.get(id(now))) is not None and up.tag not in ("", "html", "body") and not up.junk:
+        more, linked, heading = _beside(up, now)
+        alike = any(c is not now and c.tag == now.tag and not c.junk for c in up.children)
+        chars += more
+        if up.tag in CONTAINERS and (
+            heading and not best.h1 or alike and more >= BESIDE * chars and linked <= LINKED * more
+        ):
+            best = up
+        elif more:
+            break
+        now = up
+    return best
+
+
 def best_container(root: Element) -> tuple[Element | None, int]:
     """The container whose own text is most like an article, and its score.
 
     Within an article, or else a main part, it is the innermost of these.
+    Elsewhere it is what holds all of the article, see ``_whole``.
     """
-    best, most = None, 0
+    best = part = None
+    most = size = 0
+    parents: dict[int, Element] = {}
     todo: list[tuple[Element, Element | None]] = [(root, None)]
     while todo:
         e, whole = todo.pop()
         if e.tag == "article" or e.tag == "main" and (whole is None or whole.tag == "main"):
             whole = e
-        todo += [(c, whole) for c in reversed(e.children)]
+        for c in reversed(e.children):
+            parents[id(c)] = e
+            todo.append((c, whole))
         if e.tag in CONTAINERS and not e.junk and not e.page_header:
             chars, commas, linked = _own_text(e)
             if chars:
-                score = int((1 + min(chars, 5000) / 25 + min(commas, 200) + e.bonus) * (1 - linked / chars))
+                score = int((1 + chars / 25 + commas + e.bonus) * (1 - linked / chars))
                 if score > most:
-                    best, most = whole or e, score
-    return best, most
+                    best, part, most, size = whole, e, score, chars
+    return (best or part and _whole(part, parents, size)), most
 
 
 def host(url: Column) -> Column:
