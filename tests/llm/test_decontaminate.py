@@ -43,7 +43,10 @@ def automaton(items, window):
 @given(st.lists(st.text("ab c", max_size=14), max_size=5), st.text("aBb c.", max_size=40), st.integers(1, 4))
 def test_like_brute_force(items, text, window):
     items = list(enumerate(items))
-    m = D.match(automaton(items, window), text.encode())
+    m = D.match([automaton(items, window)], text.encode())
+    shards = [automaton([i], window) for i in items]
+    other = D.match(shards, text.encode())
+    assert (other.n_words, other.spans, other.items) == (m.n_words, m.spans, m.items)
     n, hit, found = brute(text, items, window)
     assert (m.n_words, sum(b - a for a, b in m.spans), sorted(m.items)) == (n, hit, found)
 
@@ -81,8 +84,11 @@ def test_tables(spark, monkeypatch, mixture, sizes):
     seen = sorted(((r.doc_id is None, r.doc_id), r.n_words, sum(s.to_word - s.from_word for s in r.spans), r["items"]) for r in got)
     assert seen == sorted(((d is None, d), *brute(t, items, 10)) for d, t, *_ in rows)
     assert all(r.longest >= 10 for r in got if r.spans and max(s.to_word - s.from_word for s in r.spans) >= 10)
-    clean = D.remove_leaks(docs(spark, rows), table)
-    assert clean.columns == docs(spark, rows).columns
+    plan = D.find_leaks(docs(spark, rows), table)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("MapInArrow") == 1  # for any number of shards
+    odd = clashing(docs(spark, rows))
+    clean = D.remove_leaks(odd, table)
+    assert clean.columns == odd.columns
     left = {(r.doc_id, r.text): r for r in clean.collect()}
     for d, t, *_ in rows:
         n, hit, _ = brute(t, items, 10)

@@ -7,7 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideframe.session import tune, work_folder
 
@@ -43,6 +44,23 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened by underscores until no column of ``df`` is called so, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """Its columns by name, whatever characters are in these."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of 64-bit hashes (splitmix64's published constants)."""
     x = x ^ (x >> np.uint64(30))

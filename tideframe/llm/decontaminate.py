@@ -6,22 +6,27 @@ at each word the length of the longest run ending there is known.  Runs of
 ``window`` words or more, and whole items that are shorter, are contamination.
 
 Items are cut into overlapping pieces and dealt to shards of bounded size.
-One automaton is built, broadcast and streamed per shard, so nothing that is
-sent around grows with the benchmark.
+One automaton is built per shard and broadcast in a compact form, arrays of
+about 80 bytes a word; one pass over the documents asks all of them.  So a
+worker holds the whole benchmark, some 8 MB per shard, and the plan is the same
+for any number of shards.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideframe.llm.common import LOWER, WORD, hash_spans, mix, texts, word_spans, written
+from tideframe.llm.common import LOWER, WORD, columns_of, free_names, hash_spans, mix, texts, word_spans, written
 
 #: Consecutive item words that count as a leak.
 WINDOW = 10
@@ -47,7 +52,7 @@ class SuffixAutomaton:
             last = 0
             for c in ids:
                 last = self._extend(last, c)
-        self.in_window: dict[int, set[str]] = {}
+        in_window: dict[int, set[str]] = {}
         short: dict[int, list[tuple[int, str]]] = {}
         self.shortest = window
         for item, ids, whole in pieces:
@@ -55,7 +60,7 @@ class SuffixAutomaton:
             for i, c in enumerate(ids):
                 v = self.next[v][c]
                 if i + 1 >= window:
-                    self.in_window.setdefault(self._of_length(v, window), set()).add(item)
+                    in_window.setdefault(self._of_length(v, window), set()).add(item)
             if whole and 0 < len(ids) < window:
                 short.setdefault(self._of_length(v, len(ids)), []).append((len(ids), item))
                 self.shortest = min(self.shortest, len(ids))
@@ -72,6 +77,31 @@ class SuffixAutomaton:
         h = hash_spans(start.astype(np.int64), start + size, joined)
         self.words = np.sort(h)
         self.pairs = np.unique(_pair(h[[a for a, _ in pairs]], h[[b for _, b in pairs]]))
+        self._compact(in_window)
+
+    def _compact(self, in_window: dict[int, set[str]]) -> None:
+        """Steps as sorted keys (state, word) with their targets; equal sets of items once."""
+        steps = sorted((v << 32 | c, to) for v, follow in enumerate(self.next) for c, to in follow.items())
+        self.step_keys = array("q", (k for k, _ in steps))
+        self.step_to = array("i", (to for _, to in steps))
+        self.link, self.length = array("i", self.link), array("i", self.length)
+        sets: dict[tuple[str, ...], int] = {}
+        found = sorted((v, sets.setdefault(tuple(sorted(items)), len(sets))) for v, items in in_window.items())
+        self.window_states = array("i", (v for v, _ in found))
+        self.window_sets = array("i", (k for _, k in found))
+        self.item_sets = list(sets)
+        del self.next
+
+    def _step(self, v: int, c: int) -> int:
+        """The state after word ``c``; -1 if no item goes on like this."""
+        key = v << 32 | c
+        k = bisect_left(self.step_keys, key)
+        return self.step_to[k] if k < len(self.step_keys) and self.step_keys[k] == key else -1
+
+    def window_items(self, v: int) -> tuple[str, ...]:
+        """Items with the window that ends in state ``v``, reached by at least a window of words."""
+        state = self._of_length(v, self.window)
+        return self.item_sets[self.window_sets[bisect_left(self.window_states, state)]]
 
     def _of_length(self, v: int, n: int) -> int:
         """The state of the last n words of a run that ends in v."""
@@ -115,14 +145,13 @@ class SuffixAutomaton:
         v = n = 0
         for w in words:
             c = self.vocabulary.get(w)
-            while v and c not in self.next[v]:
-                v = self.link[v]
-                n = self.length[v]
-            if c in self.next[v]:
-                v = self.next[v][c]
-                n += 1
+            if c is None:
+                v = n = 0
             else:
-                n = 0
+                while (to := self._step(v, c)) < 0 and v:
+                    v = self.link[v]
+                    n = self.length[v]
+                v, n = (to, n + 1) if to >= 0 else (0, 0)
             yield v, n
 
 
@@ -155,24 +184,32 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def match(automaton: SuffixAutomaton, raw: bytes) -> Match:
-    """All hits of one text.
+def match(automata: Sequence[SuffixAutomaton], raw: bytes) -> Match:
+    """All hits of one text in any of the shards; its words are found and hashed once."""
+    start, end, b = word_spans(raw)
+    found = Match(len(start))
+    if not automata or len(start) < min(a.shortest for a in automata):
+        return found
+    h, folded = hash_spans(start, end, b), b.tobytes()
+    pair = _pair(h[:-1], h[1:])
+    spans = [s for a in automata for s in _hits(a, h, pair, folded, start, end, found)]
+    found.spans = _merged(spans)
+    return found
+
+
+def _hits(
+    automaton: SuffixAutomaton, h: np.ndarray, pair: np.ndarray, folded: bytes,
+    start: np.ndarray, end: np.ndarray, found: Match,
+) -> list[tuple[int, int]]:
+    """Hit words by one shard; adds its items and longest run to ``found``.
 
     Only stretches whose neighbouring words are all neighbours in some item
     can hold a hit; the automaton streams over these.
     """
-    start, end, b = word_spans(raw)
-    found = Match(len(start))
-    if len(start) < automaton.shortest:
-        return found
-    h = hash_spans(start, end, b)
-    if automaton.shortest > 1:
-        inside = _known(automaton.pairs, _pair(h[:-1], h[1:]))
-    else:
-        inside = _known(automaton.words, h)
+    inside = _known(automaton.pairs, pair) if automaton.shortest > 1 else _known(automaton.words, h)
     extra = int(automaton.shortest > 1)
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    folded, spans = b.tobytes(), []
+    spans = []
     for i, j in zip(edge[::2].tolist(), edge[1::2].tolist()):
         if j - i + extra < automaton.shortest:
             continue
@@ -181,13 +218,12 @@ def match(automaton: SuffixAutomaton, raw: bytes) -> Match:
             found.longest = max(found.longest, n)
             if n >= automaton.window:
                 spans.append((k + 1 - automaton.window, k + 1))
-                found.items |= automaton.in_window[automaton._of_length(v, automaton.window)]
+                found.items.update(automaton.window_items(v))
             for size, item in automaton.short.get(v, ()):
                 if size <= n:
                     spans.append((k + 1 - size, k + 1))
                     found.items.add(item)
-    found.spans = _merged(spans)
-    return found
+    return spans
 
 
 def item_pieces(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, int]:
@@ -234,30 +270,28 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
     all found.  Rows that repeat are each answered; other columns are not
     read.  With no items nothing is hit; an empty table stays empty.
     """
-    spark = docs.sparkSession
-    found = docs.select("doc_id", "text").select(
-        "doc_id", "text", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("longest"),
-        F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"),
-    )
-    for automaton in automata(items, window):
-        shared = spark.sparkContext.broadcast(automaton)
-        found = found.mapInArrow(lambda batches, a=shared: _found(batches, a.value), found.schema)
-    return found.drop("text")
+    shared = _shared(docs, items, window)
+    schema = T.StructType([
+        docs.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("longest", T.LongType()),
+        T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType()))])
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: _found(batches, [a.value for a in shared]), schema)
+
 
+def _shared(docs: DataFrame, items: DataFrame, window: int) -> list[Broadcast[SuffixAutomaton]]:
+    """The shards' automata, built one after the other and broadcast."""
+    return [docs.sparkSession.sparkContext.broadcast(a) for a in automata(items, window)]
 
-def _found(batches: Iterator[pa.RecordBatch], automaton: SuffixAutomaton) -> Iterator[pa.RecordBatch]:
+
+def _found(batches: Iterator[pa.RecordBatch], shards: list[SuffixAutomaton]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [match(automaton, t) for t in texts(batch.column("text"))]
-        before = batch.select(["longest", "spans", "items"]).to_pylist()
-        spans = [_merged(m.spans + [(s["from_word"], s["to_word"]) for s in b["spans"]])
-                 for m, b in zip(rows, before)]
-        columns = {
-            "n_words": [m.n_words for m in rows],
-            "longest": [max(m.longest, b["longest"]) for m, b in zip(rows, before)],
-            "spans": [[{"from_word": x, "to_word": y} for x, y in s] for s in spans],
-            "items": [sorted(m.items.union(b["items"])) for m, b in zip(rows, before)],
-        }
-        yield _replaced(batch, columns)
+        rows = [match(shards, t) for t in texts(batch.column("text"))]
+        spans = [[{"from_word": x, "to_word": y} for x, y in m.spans] for m in rows]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([m.n_words for m in rows], pa.int64()),
+             pa.array([m.longest for m in rows], pa.int64()),
+             pa.array(spans, pa.list_(pa.struct([("from_word", pa.int64()), ("to_word", pa.int64())]))),
+             pa.array([sorted(m.items) for m in rows], pa.list_(pa.string()))],
+            ["doc_id", "n_words", "longest", "spans", "items"])
 
 
 def remove_leaks(
@@ -270,75 +304,47 @@ def remove_leaks(
     there is a column n_chars it is set for changed texts.  Untouched rows are
     returned as they are, NULLs and repeated rows included.
     """
-    spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(a) for a in automata(items, window)]
-    schema = T.StructType([
-        *docs.schema.fields,
-        T.StructField("_leak_words", T.LongType()), T.StructField("_leak_hits", T.LongType()),
-        T.StructField("_leak_spans", SPANS), T.StructField("_leak_cut", T.BooleanType()),
-    ])
-    cut = docs.withColumns({
-        "_leak_words": F.lit(None).cast("long"), "_leak_hits": F.lit(0).cast("long"),
-        "_leak_spans": F.array().cast(SPANS), "_leak_cut": F.lit(False)})
-    while True:
-        cut = cut.withColumn("_leak_cut", F.lit(False))
-        for a in shared[:-1]:
-            cut = cut.mapInArrow(lambda batches, a=a: _scan(batches, a.value), schema)
-        alone = len(shared) == 1
-        cut = cut.mapInArrow(lambda batches, a=shared[-1]: _cut(batches, a.value, alone), schema)
-        if alone:  # its cuts are final
-            break
-        cut = written(cut, "decontaminated")
-        if cut.filter("_leak_cut").isEmpty():
-            break
-    cut = cut.filter(F.col("_leak_hits") <= max_coverage * F.col("_leak_words"))
+    shared = _shared(docs, items, window)
+    words, hits = free_names(docs, "_leak_words", "_leak_hits")
+    schema = T.StructType([*docs.schema.fields, T.StructField(words, T.LongType()), T.StructField(hits, T.LongType())])
+    cut = docs.mapInArrow(lambda batches: _cut(batches, [a.value for a in shared], [words, hits]), schema)
+    cut = cut.filter(F.col(hits) <= max_coverage * F.col(words))
     if "n_chars" in docs.columns:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
-        cut = cut.withColumn("n_chars", F.when(F.col("_leak_hits") > 0, changed).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
-
-
-def _replaced(batch: pa.RecordBatch, values: dict[str, list]) -> pa.RecordBatch:
-    for name, x in values.items():
-        at = batch.schema.get_field_index(name)
-        f = batch.schema.field(at)
-        batch = batch.set_column(at, f, pa.array(x, f.type))
-    return batch
-
-
-def _spans_of(batch: pa.RecordBatch) -> list[list[tuple[int, int]]]:
-    column = batch.column(batch.schema.get_field_index("_leak_spans")).to_pylist()
-    return [[(s["from_word"], s["to_word"]) for s in x] for x in column]
-
-
-def _scan(batches: Iterator[pa.RecordBatch], automaton: SuffixAutomaton) -> Iterator[pa.RecordBatch]:
-    """Adds this shard's hits."""
-    for batch in batches:
-        raws = texts(batch.column(batch.schema.get_field_index("text")))
-        spans = [_merged(match(automaton, raw).spans + old) for raw, old in zip(raws, _spans_of(batch))]
-        yield _replaced(batch, {"_leak_spans": [[{"from_word": a, "to_word": b} for a, b in s] for s in spans]})
-
-
-def _cut(batches: Iterator[pa.RecordBatch], automaton: SuffixAutomaton, again: bool) -> Iterator[pa.RecordBatch]:
-    """Cuts all hits; ``again``: until this automaton finds none."""
+        cut = cut.withColumn("n_chars", F.when(F.col(hits) > 0, changed).otherwise(F.col("n_chars")))
+    return cut.select(*columns_of(docs))
+
+
+def without_hits(shards: list[SuffixAutomaton], raw: bytes) -> tuple[bytes, int, int]:
+    """A text without its hit spans, its words before, and how many were cut."""
+    found = match(shards, raw)
+    hits, n_words = 0, found.n_words
+    while found.spans:
+        hits += sum(b - a for a, b in found.spans)
+        start, end, _ = word_spans(raw)
+        kept, last = [], 0
+        for a, b in found.spans:
+            kept.append(raw[last:start[a]].rstrip(b" "))
+            last = end[b - 1]
+        raw = b"\n".join([*kept, raw[last:].lstrip(b" ")])
+        found = match(shards, raw)
+    return raw, n_words, hits
+
+
+def _cut(
+    batches: Iterator[pa.RecordBatch], shards: list[SuffixAutomaton], names: list[str]
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        old, words, hits, done = (
-            batch.column(batch.schema.get_field_index(n)) for n in ("text", "_leak_words", "_leak_hits", "_leak_cut"))
-        words, hits, done, new = words.to_pylist(), hits.to_pylist(), done.to_pylist(), old.to_pylist()
-        for i, (raw, others) in enumerate(zip(texts(old), _spans_of(batch))):
-            m = match(automaton, raw)
-            words[i] = m.n_words if words[i] is None else words[i]
-            spans = _merged(m.spans + others)
-            while spans:
-                hits[i] += sum(b - a for a, b in spans)
-                start, end, _ = word_spans(raw)
-                kept, last = [], 0
-                for a, b in spans:
-                    kept.append(raw[last:start[a]].rstrip(b" "))
-                    last = end[b - 1]
-                raw = b"\n".join([*kept, raw[last:].lstrip(b" ")])
-                done[i], new[i] = True, raw.decode()
-                spans = match(automaton, raw).spans if again else []
-        yield _replaced(batch, {
-            "text": new, "_leak_words": words, "_leak_hits": hits, "_leak_cut": done,
-            "_leak_spans": [[]] * batch.num_rows})
+        at = batch.schema.get_field_index("text")
+        text = batch.column(at).to_pylist()
+        words, hits = [], []
+        for i, raw in enumerate(texts(batch.column(at))):
+            raw, n, cut = without_hits(shards, raw)
+            words.append(n)
+            hits.append(cut)
+            if cut:
+                text[i] = raw.decode()
+        field = batch.schema.field(at)
+        batch = batch.set_column(at, field, pa.array(text, field.type))
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(words, pa.int64()), pa.array(hits, pa.int64())], [*batch.schema.names, *names])
