@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideframe.llm.common import mix, texts, word_spans, hash_spans, written
+from tideframe.functions.joins import broadcast_if_small
+from tideframe.llm.common import columns_of, free_names, hash_spans, mix, texts, word_spans, written
 
 #: Labelled documents to learn from, about; every fifth only calibrates.
 SAMPLE = 20_000
@@ -181,7 +182,8 @@ class Quality:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text features, metadata features and quality of about ``sample`` labelled documents."""
+    """Text features, metadata features and quality of about ``sample`` labelled documents;
+    of rows that share a doc_id one is read, so no more than that many are collected."""
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.avg("quality").alias("quality"))
     known = written(known, "quality-labels")
@@ -196,12 +198,14 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[
         for b in batches:
             x, m = batch_features(b)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in m.astype(np.uint8)], pa.binary()),
-                 b.column("_good")], ["x", "m", "good"])
-
-    rows = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))
-    got = rows.join(F.broadcast(own), "doc_id").select("text", "source", "lang", "n_chars", "_good").mapInArrow(
-        read, "x binary, m binary, good boolean").collect()
+                [b.column("doc_id"), pa.array([r.tobytes() for r in x], pa.binary()),
+                 pa.array([r.tobytes() for r in m.astype(np.uint8)], pa.binary()), b.column("_good")], ["doc_id", "x", "m", "good"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source", "lang",
+                       F.col("n_chars").cast("long").alias("n_chars"))
+    seen = rows.join(broadcast_if_small(own), "doc_id").select("doc_id", "text", "source", "lang", "n_chars", "_good").mapInArrow(
+        read, "doc_id long, x binary, m binary, good boolean")
+    got = seen.groupBy("doc_id").agg(F.max(F.struct("x", "m", "good")).alias("row")).select("row.*").collect()
     got.sort(key=lambda r: (zlib.crc32(r.x), r.x, r.m, r.good))
     x = np.array([np.frombuffer(r.x, dtype=np.float32) for r in got]).reshape(len(got), TEXT_FEATURES)
     m = np.array([np.frombuffer(r.m, dtype=np.uint8) for r in got]).reshape(len(got), META_FEATURES)
@@ -209,16 +213,27 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[
 
 
 def corpus_features(docs: DataFrame) -> DataFrame:
-    """x, m: both views of every document, in half precision and as places."""
+    """doc_id, blank, x, m: both views of every row, the second as places; written once, read by
+    every round and, in ``quality``, by the scoring."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, m = batch_features(b)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()),
-                 pa.array([np.packbits(r.astype(bool)).tobytes() for r in m], pa.binary())], ["x", "m"])
+                [b.column("doc_id"), pa.array([not t.strip() for t in texts(b.column("text"))], pa.bool_()),
+                 pa.array([r.tobytes() for r in x], pa.binary()),
+                 pa.array([np.packbits(r.astype(bool)).tobytes() for r in m], pa.binary())], ["doc_id", "blank", "x", "m"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source", "lang",
+                       F.col("n_chars").cast("long").alias("n_chars"))
+    return written(rows.mapInArrow(run, "doc_id long, blank boolean, x binary, m binary"), "quality-features")
 
-    rows = docs.select("text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))
-    return written(rows.mapInArrow(run, "x binary, m binary"), "quality-features")
+
+def views_of(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Both views from rows of ``corpus_features``."""
+    x = np.array([np.frombuffer(r, dtype=np.float32) for r in b.column("x").to_pylist()], dtype=np.float32)
+    m = np.array([np.unpackbits(np.frombuffer(r, dtype=np.uint8), count=META_FEATURES) for r in b.column("m").to_pylist()],
+                 dtype=np.float32)
+    return x.reshape(-1, TEXT_FEATURES), m.reshape(-1, META_FEATURES)
 
 
 def passed_on(features: DataFrame, text: View, meta: View) -> tuple[list[Sums], list[Sums]]:
@@ -230,16 +245,14 @@ def passed_on(features: DataFrame, text: View, meta: View) -> tuple[list[Sums],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for b in batches:
-            x = np.array([np.frombuffer(r, dtype=np.float16) for r in b.column("x").to_pylist()], dtype=np.float32).reshape(-1, d)
-            m = np.array([np.unpackbits(np.frombuffer(r, dtype=np.uint8), count=e) for r in b.column("m").to_pylist()],
-                         dtype=np.float32).reshape(-1, e)
+            x, m = views_of(b)
             by_meta, by_text = meta.sure(m), text.sure(x)
             parts = [z for views, sure in ((x, by_meta), (m, by_text)) for c in (0, 1)
                      for z in sums(views[sure == c])]
             total += np.concatenate([np.ravel(z) for z in parts])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(total)], ["at", "value"])
 
-    rows = features.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
+    rows = features.select("x", "m").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
     v = np.zeros(size)
     v[[r.at for r in rows]] = [r.value for r in rows]
 
@@ -252,8 +265,13 @@ def passed_on(features: DataFrame, text: View, meta: View) -> tuple[list[Sums],
     return [take(d), take(d)], [take(e), take(e)]
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> Quality | None:
-    """The classifier; None when the labels hold fewer than two documents of either class."""
+def train(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS, features: DataFrame | None = None
+) -> Quality | None:
+    """The classifier; None when the labels hold fewer than two documents of either class.
+
+    ``features`` are those of ``docs``, where the caller has them.
+    """
     x, m, y = labelled(docs, labels, sample)
     if min(y.sum(), len(y) - y.sum()) < 2:
         return None
@@ -264,7 +282,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     given_m = [sums(m[~held & (y == c)]) for c in (0, 1)]
     cx, cm, cy = x[held], m[held], y[held]
     text, meta = fit(given_x, None, cx, cy), fit(given_m, None, cm, cy)
-    features = corpus_features(docs)
+    if features is None:
+        features = corpus_features(docs)
     for _ in range(rounds):
         to_text, to_meta = passed_on(features, text, meta)
         text, meta = fit(given_x, to_text, cx, cy), fit(given_m, to_meta, cm, cy)
@@ -273,30 +292,42 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     return Quality(text, meta, logistic(z, cy, np.array([1.0, 1.0, -prior])))
 
 
-def with_quality(docs: DataFrame, model: Quality | None, keep: float = KEEP) -> DataFrame:
-    """``docs`` and ``_q_text``, ``_q_meta``, ``_q_score``, ``_q_kept``."""
+def with_verdict(docs: DataFrame, model: Quality | None, kept: str, keep: float = KEEP) -> DataFrame:
+    """``docs`` and a column ``kept``: whether a row is not rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = ["_q_text", "_q_meta", "_q_score", "_q_kept"]
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names[:3]),
-                           T.StructField(names[3], T.BooleanType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(kept, T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = b.num_rows
-            p = q = s = np.full(n, 0.5)
-            if shared.value is not None and n:
+            s = np.full(b.num_rows, 0.5)
+            if shared.value is not None and b.num_rows:
                 numbers = b.column("n_chars").cast(pa.int64())
                 view = pa.RecordBatch.from_arrays(
                     [b.column("text"), b.column("source"), b.column("lang"), numbers], ["text", "source", "lang", "n_chars"])
-                p, q, s = shared.value.scores(*batch_features(view))
+                _, _, s = shared.value.scores(*batch_features(view))
             blank = np.array([not t.strip() for t in texts(b.column("text"))], dtype=bool)
-            s = np.where(blank, 0.0, s)
-            more = [pa.array(p), pa.array(q), pa.array(s), pa.array(s >= keep)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.where(blank, 0.0, s) >= keep)], [*b.schema.names, kept])
 
     return docs.mapInArrow(run, schema)
 
 
+def scored(features: DataFrame, model: Quality | None, keep: float = KEEP) -> DataFrame:
+    """doc_id, p_text, p_meta, score, kept of every row of ``corpus_features``."""
+    shared = features.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = q = s = np.full(b.num_rows, 0.5)
+            if shared.value is not None and b.num_rows:
+                p, q, s = shared.value.scores(*views_of(b))
+            s = np.where(np.array(b.column("blank").to_pylist(), dtype=bool), 0.0, s)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(p), pa.array(q), pa.array(s), pa.array(s >= keep)],
+                ["doc_id", "p_text", "p_meta", "score", "kept"])
+
+    return features.mapInArrow(run, "doc_id long, p_text double, p_meta double, score double, kept boolean")
+
+
 def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, p_text, p_meta, score, kept of every row of ``docs``
     (doc_id, text, lang, source, n_chars), learnt from ``labels`` (doc_id, quality).
@@ -309,12 +340,16 @@ def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: in
     matter.  An empty table stays empty.
     """
     rows = docs.select("doc_id", "text", "source", "lang", "n_chars")
-    found = with_quality(rows, train(rows, labels, sample, rounds))
-    return found.select("doc_id", F.col("_q_text").alias("p_text"), F.col("_q_meta").alias("p_meta"),
-                        F.col("_q_score").alias("score"), F.col("_q_kept").alias("kept"))
+    features = corpus_features(rows)
+    return scored(features, train(rows, labels, sample, rounds, features))
 
 
 def drop_poor(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, unchanged."""
+    """The rows of ``docs`` that are not rejected, unchanged, with all columns whatever their names.
+
+    NULL, blank and repeated rows are judged as in ``quality``.  An empty
+    table stays empty.
+    """
     model = train(docs.select("doc_id", "text", "source", "lang", "n_chars"), labels, sample, rounds)
-    return with_quality(docs, model).filter("_q_kept").select(*docs.columns)
+    (kept,) = free_names(docs, "_kept")
+    return with_verdict(docs, model, kept).filter(F.col(kept)).select(*columns_of(docs))

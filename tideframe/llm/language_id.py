@@ -167,7 +167,8 @@ def fold(docs: DataFrame):
 
 
 def training_sample(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """Features and languages of about ``sample`` rows with a language and a fold other than 0."""
+    """Features and languages of about ``sample`` documents with a language and a fold other than 0;
+    of rows that share a doc_id one is read, so no more than that many are collected."""
     rows = docs.filter(F.col("lang").isNotNull() & (fold(docs) != 0)).select("doc_id", "lang", "text")
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not counts:
@@ -182,9 +183,11 @@ def training_sample(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray,
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             xs = [features(t or "").astype(np.float16).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(xs, pa.binary())], ["lang", "x"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), pa.array(xs, pa.binary())], ["doc_id", "lang", "x"])
 
-    got = rows.filter(keep).select("lang", "text").mapInArrow(read, "lang string, x binary").collect()
+    chosen = rows.filter(keep).select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    seen = chosen.mapInArrow(read, "doc_id long, lang string, x binary")
+    got = seen.groupBy("doc_id").agg(F.max(F.struct("x", "lang")).alias("row")).select("row.*").collect()
     got.sort(key=lambda r: (r.x, r.lang))
     x = np.stack([np.frombuffer(r.x, dtype=np.float16) for r in got]).astype(np.float32)
     mixed = np.random.Generator(np.random.PCG64(7)).permutation(len(got))
