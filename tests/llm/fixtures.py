@@ -34,5 +34,7 @@ def clashing(df):
     from pyspark.sql import functions as F
 
     names = ["kept", "score", "rate", "mix_copy", "mix_order", "root", "name", "key", "hub", "place", "n", "spans",
-             "items", "line", "leaf", "digest", "check", "salt", "path", "host", "x", "m", "part", "start", "held_out"]
+             "items", "line", "leaf", "digest", "check", "salt", "path", "host", "x", "m", "part", "start", "held_out",
+             "_kept", "_kept_", "_q_kept", "_leak_hits", "_leak_words", "_Leak_words_", "_mix_source", "_mix_draw", "_mix_cdf",
+             "mix_rate", "Mix_Copies", "_near_place", "raw", "blank"]
     return df.withColumns({n: F.lit("clash") for n in names})

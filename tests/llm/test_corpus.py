@@ -67,6 +67,14 @@ def test_quality_of_odd_rows(spark):
     assert kept.columns == d.columns and kept.count() == sum(bool(r[1] and r[1].strip()) for r in odd_rows())
     none = spark.createDataFrame([], DOCS)
     assert Q.quality(none, labels).count() == 0
+    assert Q.drop_poor(d, labels).columns == d.columns
+
+
+def test_rows_of_one_labelled_document_are_sampled_once(spark):
+    d = docs(spark, [(1, f"text number {i % 9}", "en", "s", 13) for i in range(500)] + [(2, "other", "en", "s", 5)])
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 0)], LABELS)
+    x, m, y = Q.labelled(d, labels)
+    assert len(x) == len(m) == 2 and sorted(y) == [0, 1]
 
 
 # --- near-duplicates
@@ -243,7 +251,11 @@ def test_stages(spark):
 def test_stages_stand_odd_rows(spark, k):
     d = clashing(docs(spark, odd_rows()))
     out = corpus_pipeline.STAGES[k][1](spark, d, FOLDER)
-    assert out.columns == d.columns and out.count() <= 1000
+    assert out.columns == d.columns
+    rows = out.collect()
+    assert len(rows) <= 1000
+    ours = set(DOCS.replace(",", "").split()[::2])
+    assert all(r[c] == "clash" for r in rows for c in d.columns if c not in ours)
     assert corpus_pipeline.STAGES[k][1](spark, d.limit(0), FOLDER).count() == 0
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideframe.functions.joins import broadcast_if_small
-from tideframe.llm.common import mix, texts, word_hashes, written
+from tideframe.llm.common import columns_of, mix, texts, word_hashes, written
 
 SHINGLE = 5
 SKETCHES = 32
@@ -428,6 +428,6 @@ def drop_near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame
     """
     worded = F.coalesce(docs["text"], F.lit("")).rlike(_WORDED)
     stays = near_duplicates(docs, similar).filter("kept").select("place").distinct()
-    rows = docs.filter(worded).select(place(docs).alias("place"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    rows = docs.filter(worded).select(place(docs).alias("place"), F.struct(*columns_of(docs)).alias("row"))
     one = rows.join(stays, "place", "left_semi").groupBy("place").agg(F.any_value("row").alias("row"))
     return one.select("row.*").unionByName(docs.filter(~worded))

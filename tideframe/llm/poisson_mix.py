@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideframe.functions.joins import broadcast_if_small
-from tideframe.llm.common import written
+from tideframe.llm.common import columns_of, free_names, written
 
 #: Weights follow the sources' sizes to this power, unless given.
 EXPONENT = 0.7
 SEED = "mix-1"
+#: The columns that a mix adds.
+ADDED = ("mix_rate", "mix_copies", "mix_copy", "mix_order")
 #: Hex digits of a hash that make a number: 52 bits, exact in a double.
 DIGITS = 13
 
@@ -99,30 +101,44 @@ def poisson_mix(
     Rates are one row per source.  They are broadcast when counted and
     measured to be small, otherwise joined by source, which AQE splits.
     """
-    spare = docs.drop("mix_rate", "mix_copies", "mix_copy", "mix_order")
+    return _replicated(docs.drop(*ADDED), ADDED, weights, exponent, epochs, seed)
+
+
+def _replicated(
+    docs: DataFrame,
+    added: tuple[str, ...] | list[str],
+    weights: dict[str | None, float] | None = None,
+    exponent: float = EXPONENT,
+    epochs: float = 1.0,
+    seed: str = SEED,
+) -> DataFrame:
+    """The mix, with its own columns named ``added``."""
+    rate, copies, copy, order = added
+    source, cdf, draw = free_names(docs, "_mix_source", "_mix_cdf", "_mix_draw")
     rates = broadcast_if_small(
         source_rates(docs.select("source", "text"), weights, exponent, epochs).select(
-            F.col("source").alias("_mix_source"), F.col("rate").alias("mix_rate"),
-            poisson_cdf(F.col("rate")).alias("_mix_cdf"),
+            F.col("source").alias(source), F.col("rate").alias(rate),
+            poisson_cdf(F.col("rate")).alias(cdf),
         )
     )
     key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
-    draw = unit(F.concat_ws("|", F.lit(seed), key))
-    copies = F.size(F.filter("_mix_cdf", lambda c: c <= F.col("_mix_draw")))
-    order = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), key, F.col("mix_copy").cast("string")))
+    place = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), key, F.col(copy).cast("string")))
     return (
-        spare.join(rates, F.col("source").eqNullSafe(F.col("_mix_source")))
-        .withColumn("_mix_draw", draw)
-        .withColumn("mix_copies", copies)
-        .filter("mix_copies > 0")
-        .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-        .withColumn("mix_order", order)
-        .drop("_mix_source", "_mix_cdf", "_mix_draw")
-        .repartition("mix_order")
-        .sortWithinPartitions("mix_order")
+        docs.join(rates, F.col("source").eqNullSafe(F.col(source)))
+        .withColumn(draw, unit(F.concat_ws("|", F.lit(seed), key)))
+        .withColumn(copies, F.size(F.filter(cdf, lambda c: c <= F.col(draw))))
+        .filter(F.col(copies) > 0)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+        .withColumn(order, place)
+        .drop(source, cdf, draw)
+        .repartition(order)
+        .sortWithinPartitions(order)
     )
 
 
 def mix_stage(docs: DataFrame) -> DataFrame:
-    """The mixed corpus with the columns of ``docs``."""
-    return poisson_mix(docs).select(*docs.columns)
+    """The mixed corpus with the columns of ``docs`` as they are, also those named like a mix's own.
+
+    NULLs, repeated rows and empty tables are treated as by ``poisson_mix``.
+    """
+    return _replicated(docs, free_names(docs, *ADDED)).select(*columns_of(docs))
