@@ -6,10 +6,10 @@ at each word the length of the longest run ending there is known.  Runs of
 ``window`` words or more, and whole items that are shorter, are contamination.
 
 Items are cut into overlapping pieces and dealt to shards of bounded size.
-One automaton is built per shard and broadcast in a compact form, arrays of
-about 80 bytes a word; one pass over the documents asks all of them.  So a
-worker holds the whole benchmark, some 8 MB per shard, and the plan is the same
-for any number of shards.
+One automaton is built per shard and broadcast in a compact form, about 50
+bytes a word pickled; one pass over the documents asks all of them.  So a
+worker holds the whole benchmark, and the plan is the same for any number of
+shards.
 """
 
 from __future__ import annotations
