@@ -1,0 +1,35 @@
+"""Partitions that grow with the input."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import functions as F
+
+from tests.conftest import plan
+from tideframe import session
+
+OWN = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes"]
+
+
+def test_shuffles_and_scans_are_cut_by_the_size_of_the_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "TASK_BYTES", 50_000)
+    try:
+        for n, name in ((30_000, "small"), (120_000, "large")):
+            rows = spark.range(n).select("id", F.xxhash64("id").alias("x"))
+            rows.coalesce(1).write.option("parquet.block.size", 100_000).parquet(str(tmp_path / name / "t.parquet"))
+            folder = str(tmp_path / name)
+            stored = session.stored_bytes(spark, folder)
+            assert stored > 8 * n
+            session.tune(spark, folder)
+            df = spark.read.parquet(f"{folder}/t.parquet")
+            wanted = -(-stored // 50_000)
+            assert wanted > 4 and re.search(rf"hashpartitioning\(x#\d+L?, {wanted}\)", plan(df.groupBy("x").count()))
+            assert df.rdd.getNumPartitions() >= stored // 100_000
+        folder = str(tmp_path / "none")
+        (tmp_path / "none").mkdir()
+        session.tune(spark, folder)  # never fewer than the session asks for
+        assert spark.conf.get(OWN[0]) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        for k in OWN:
+            spark.conf.unset(k)

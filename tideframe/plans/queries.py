@@ -4,7 +4,8 @@ Each takes (spark, folder) and reads its whole tables.  Steps (state of t from
 state of t-1) run for the last year of the data, or for the last day on which
 somebody new came, so that every state occurs.
 
-A query sets adaptive execution in its session (session.tune).  Queries that
+A query sets adaptive execution and the number of partitions, by the size of
+its folder, in its session (session.tune).  Queries that
 write use tables and folders named by the application, which the next run
 overwrites.
 """
@@ -61,7 +62,7 @@ def register(f: Query) -> Query:
 
     @wraps(f)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return f(tune(spark), folder)
+        return f(tune(spark, folder), folder)
 
     QUERIES[f.__name__] = run
     return f

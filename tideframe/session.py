@@ -6,6 +6,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Shuffled bytes that a task reads; its sorts and hash tables need up to about 50
+# times as much memory.  Of files, of which it reads some columns, it scans twice that.
+TASK_BYTES = 8 * 1024 * 1024
+
 # What the plans count on; runtime settings, see tune().
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
@@ -14,6 +18,9 @@ ADAPTIVE = {
     # Split a hot join key also where the grouping above the join would reuse
     # its partitioning; the extra shuffle is cheaper than one endless task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Up to this size small partitions become one: the default of 64 MB is
+    # gigabytes of memory in a task with several windows.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
 }
 
 DEFAULTS = {
@@ -50,10 +57,26 @@ def build_session(
     return b.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Turns on adaptive execution and skew splitting in a session made elsewhere."""
+def stored_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files below ``folder``, in any store Spark reads; no file is opened."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
+def tune(spark: SparkSession, folder: str | None = None) -> SparkSession:
+    """Turns on adaptive execution and skew splitting in a session made elsewhere.
+
+    With the folder of the inputs, shuffles and scans are also cut by its size,
+    so that what a task holds is the same for any size: shuffles into a partition
+    per TASK_BYTES, of which adaptive execution makes few where there is little.
+    """
     for k, v in ADAPTIVE.items():
         spark.conf.set(k, v)
+    if folder is not None:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(least, -(-stored_bytes(spark, folder) // TASK_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(2 * TASK_BYTES))
     return spark
 
 
