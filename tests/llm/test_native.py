@@ -199,6 +199,39 @@ def test_parents_equal_brute_force(spark, seed):
         assert m == root
 
 
+def all_parents_of(lines, depth=3, similar=0.8):
+    """Brute force of every_more_frequent: all pairs of lines."""
+    def name(m):
+        return lines[m], hashlib.md5(m.encode()).digest()
+
+    out = {}
+    for m in lines:
+        t = m.split()
+        found = [x for x in lines if name(x) > name(m) and len(x.split()) == len(t) and x.split()[:depth] == t[:depth]
+                 and sum(p == q for p, q in zip(x.split(), t)) >= ceil(similar * len(t))]
+        if found:
+            out[m] = max(found, key=name)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_every_more_frequent_line_equals_brute_force(spark, seed):
+    r = random.Random(seed)
+    lines = {" ".join(["a", "b", r.choice("cd"), *(r.choice("xyz") for _ in range(n - 3))]): r.randrange(1, 9)
+             for n in (5, 10, 10, 12, 15, 20) for _ in range(60)}
+    for m in list(lines)[::3]:  # lines that differ in a few places
+        t = m.split()
+        for i in r.sample(range(3, len(t)), 2):
+            t[i] = r.choice("xyz")
+        lines.setdefault(" ".join(t), r.randrange(1, 9))
+    rows = [(" ".join(m.split()[:3]) + str(len(m.split())), hashlib.md5(m.encode()).digest(), n, m) for m, n in lines.items()]
+    df = spark.createDataFrame(rows, "leaf string, line binary, n_docs long, mask string")
+    df = df.withColumn("leaf", F.xxhash64("leaf")).withColumn("tokens", F.split("mask", " "))
+    masks = {hashlib.md5(m.encode()).digest(): m for m in lines}
+    got = {masks[bytes(x.line)]: masks[bytes(x.parent)] for x in L.every_more_frequent(df).collect()}
+    assert got == all_parents_of(lines) and got != parents_of(lines)
+
+
 def test_a_document_of_many_recurring_lines(spark):
     lines = [f"this is the recurring line {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]} of many x{i // 100}" for i in range(1500)]
     got = {r.doc_id: r for r in drop_template_lines(docs(spark, [(1, "\n".join(lines)), (2, "\n".join(lines))])).collect()}
