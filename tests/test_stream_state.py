@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+from types import SimpleNamespace
+
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -139,6 +143,64 @@ def test_a_busy_key_is_merged_as_it_is_read(spark, tmp_path, monkeypatch):
     assert rows(out, "kind", "ip", "num_hits") == [("session", "a", 300)]
 
 
+class OneKey:
+    """The state and the timers of one key, as a processor calls them."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+def test_a_key_has_one_timer_for_all_its_sessions():
+    key, sessions = OneKey(), SL.SessionsAndLate(timedelta(seconds=10))
+    sessions.init(key)
+    second = 1_000_000
+
+    def read(watermark, *seconds):
+        rows = [Row(at=s * second, host="h") for s in seconds]
+        return list(sessions.handleInputRows(("a", "h"), iter(rows), SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark * 1000)))
+
+    def expire(watermark):
+        out = []
+        for t in sorted(t for t in key.timers if t < watermark * 1000):
+            key.timers.remove(t)
+            times = SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark * 1000)
+            out += sessions.handleExpiredTimer(("a", "h"), times, SimpleNamespace(getExpiryTimeInMs=lambda: t))
+        return [(r.start // second, r.stop // second, r.num_hits) for r in out]
+
+    assert read(0, *range(0, 1000, 100)) == []
+    assert key.timers == {10_000} and key.calls == 1
+    # a session that ends at the watermark stays open; the others are closed by one call
+    assert expire(510) == [(s, s + 10, 1) for s in range(0, 500, 100)]
+    assert key.timers == {510_000}
+    assert [r.at // second for r in read(510, 500, 505, 450)] == [500, 450]
+    assert key.timers == {515_000}  # the session of 500 lasts longer now
+    assert expire(2000) == [(500, 515, 2), *[(s, s + 10, 1) for s in range(600, 1000, 100)]]
+    assert key.timers == set() and key.value is None
+
+
 # --- the ledger ----------------------------------------------------------------------
 
 

@@ -37,7 +37,11 @@ def merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
 
 
 class SessionsAndLate(StatefulProcessor):
-    """State: the open sessions of a key.  Timers: their ends, in whole milliseconds, rounded up."""
+    """State: the open sessions of a key.  Timer: the earliest end, in whole milliseconds, rounded up.
+
+    A key has one timer however many sessions it has open, and a micro-batch
+    reads and writes its state once: each call costs a round trip to the JVM.
+    """
 
     #: Spans gathered before they are merged, which bounds what a key holds in memory.
     GATHERED = 10_000
@@ -50,7 +54,8 @@ class SessionsAndLate(StatefulProcessor):
         self.open = handle.getValueState("open", "spans array<struct<start:bigint,stop:bigint,hits:bigint>>")
 
     def _stored(self) -> list[tuple[int, int, int]]:
-        return [tuple(x) for x in self.open.get()[0]] if self.open.exists() else []
+        found = self.open.get()
+        return [tuple(x) for x in found[0]] if found else []
 
     @staticmethod
     def _due(end: int) -> int:
@@ -69,15 +74,17 @@ class SessionsAndLate(StatefulProcessor):
                 spans = merged(spans)
         spans = merged(spans)
         if spans != before:
-            due, old = ({self._due(s[1]) for s in x} for x in (spans, before))
-            for t in old - due:
-                self.handle.deleteTimer(t)
-            for t in due - old:
-                self.handle.registerTimer(t)
-            self.open.update(([tuple(s) for s in spans],))
+            # spans do not overlap, so the first to start is the first to end
+            due, old = (self._due(x[0][1]) if x else None for x in (spans, before))
+            if due != old:
+                if old is not None:
+                    self.handle.deleteTimer(old)
+                self.handle.registerTimer(due)
+            self.open.update((spans,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        # timers before the watermark are due: all sessions that end there are closed by one
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
         spans = self._stored()
         rest = [s for s in spans if self._due(s[1]) > now]
         for start, stop, hits in spans:
@@ -85,6 +92,7 @@ class SessionsAndLate(StatefulProcessor):
                 yield Row(kind=SESSION, start=start, stop=stop, ip=key[0], host=key[1], num_hits=hits, at=None)
         if rest:
             self.open.update((rest,))
+            self.handle.registerTimer(self._due(rest[0][1]))
         else:
             self.open.clear()
 
