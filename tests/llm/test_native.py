@@ -6,6 +6,7 @@ from collections import Counter
 
 import hashlib
 import random
+import re
 from math import ceil
 
 import pytest
@@ -232,6 +233,31 @@ def test_every_more_frequent_line_equals_brute_force(spark, seed):
     assert got == all_parents_of(lines) and got != parents_of(lines)
 
 
+def test_a_line_is_searched_by_one_pattern_unless_it_is_odd(spark):
+    """Each RLIKE reads all characters of a line; the query's time was mostly these."""
+    seen = plan(L.seen_lines(L.located(docs(spark, [(1, BOILER)]))))
+    assert seen.count("RLIKE") == 1 and seen.count("regexp_replace(") == 2
+
+
+def test_masks_of_odd_lines(spark):
+    def mask(line):
+        tokens = re.sub("[ \t\r\f]+", " ", line).strip(" ").split(" ")
+        return " ".join("<*>" if re.search("[0-9@]", t) else t for t in tokens)
+
+    r = random.Random(9)
+    parts = ["a", "b7", "@", "\u00e9\u00e8", "c", " ", " ", "  ", "\t", "\r", "\f", "\n", "\n", "\x0b", "\u00a0", "<*>"]
+    texts = ["", " ", "\n", " \n ", "\t\n\t", "a \n b  c\nd e", *("".join(r.choices(parts, k=30)) for _ in range(200)), None]
+    rows = docs(spark, list(enumerate(texts))).select("text", L.masks_of(F.col("text")).alias("masks")).collect()
+    assert len(rows) == len(texts)
+    for x in rows:
+        lines = (x.text or "").split("\n")
+        assert x.masks == [mask(line) for line in lines]
+    masks = F.array(*(F.lit(" ".join("abcdef"[:n])) for n in range(7)))
+    for least in range(1, 8):
+        (got,) = spark.range(1).select(L._long(masks, least).alias("x")).collect()
+        assert got.x == [m for m in (" ".join("abcdef"[:n]) for n in range(7)) if len(m.split(" ")) >= least]
+
+
 def test_a_document_of_many_recurring_lines(spark):
     lines = [f"this is the recurring line {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]} of many x{i // 100}" for i in range(1500)]
     got = {r.doc_id: r for r in drop_template_lines(docs(spark, [(1, "\n".join(lines)), (2, "\n".join(lines))])).collect()}

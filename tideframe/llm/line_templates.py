@@ -16,6 +16,9 @@ those other lines of the block that could be its template.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,21 +32,35 @@ DEPTH = 3
 SIMILAR = 0.8
 #: A variable field, and what only lines with such fields hold.
 FIELD, MARK = r"[^ 0-9@]*[0-9@][^ ]*", r"[0-9@]"
-BLANKS, ODD = r"[ \t\r\f]+", r"[\t\r\f]|  "
+BLANKS, ODD = r"[ \t\r\f]+", ("\t", "\r", "\f", "  ")  # the latter sought as bytes, without a pattern
 
 
 def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def even(line: Column) -> Column:
+    """The line with one space between its tokens and none at its ends."""
+    odd = reduce(or_, (F.contains(line, F.lit(x)) for x in ODD))
+    return F.trim(F.when(odd, F.regexp_replace(line, BLANKS, " ")).otherwise(line))
+
+
 def masked(line: Column) -> Column:
-    even = F.trim(F.when(F.rlike(line, F.lit(ODD)), F.regexp_replace(line, BLANKS, " ")).otherwise(line))
-    return F.when(F.rlike(even, F.lit(MARK)), F.regexp_replace(even, FIELD, "<*>")).otherwise(even)
+    """An even line with its variable fields as <*>."""
+    return F.when(F.rlike(line, F.lit(MARK)), F.regexp_replace(line, FIELD, "<*>")).otherwise(line)
+
+
+def masks_of(text: Column) -> Column:
+    """The masked lines, in the order of ``lines_of``.
+
+    What ``masked`` names more than once is worked out anew each time, so it gets lines made even before.
+    """
+    return F.transform(F.transform(lines_of(text), even), masked)
 
 
 def n_tokens(mask: Column) -> Column:
     """Tokens of a masked line."""
-    return F.length(mask) - F.length(F.replace(mask, F.lit(" "))) + 1
+    return F.octet_length(mask) - F.octet_length(F.replace(mask, F.lit(" "))) + 1
 
 
 def digest(mask: Column) -> Column:
@@ -51,7 +68,8 @@ def digest(mask: Column) -> Column:
 
 
 def _long(masks: Column, least: int) -> Column:
-    return F.filter(masks, lambda m: n_tokens(m) >= least)
+    """Those of at least so many tokens, so of one space less at least; no more of a line is read than these."""
+    return F.filter(masks, lambda m: F.substring_index(m, " ", least - 1) != m) if least > 1 else masks
 
 
 def located(docs: DataFrame) -> DataFrame:
@@ -61,7 +79,7 @@ def located(docs: DataFrame) -> DataFrame:
 
 def seen_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, depth: int = DEPTH) -> DataFrame:
     """doc_id, place, leaf, line: the different lines of each document, as digests."""
-    masks = _long(F.transform(lines_of(F.col("text")), masked), min_tokens)
+    masks = _long(masks_of(F.col("text")), min_tokens)
 
     def entry(m: Column) -> Column:
         leaf = F.xxhash64(n_tokens(m), F.substring_index(m, " ", depth))
@@ -96,9 +114,7 @@ def crowded_lines(docs: DataFrame, relevant: DataFrame) -> DataFrame:
     """
     crowded = relevant.filter("in_leaf > 1").select("leaf", "line", "n_docs", "place")
     wanted = crowded.groupBy("place").agg(F.collect_list("line").alias("wanted"))
-    masks = F.filter(
-        F.transform(lines_of(F.col("text")), masked), lambda m: F.array_contains("wanted", digest(m))
-    )
+    masks = F.filter(masks_of(F.col("text")), lambda m: F.array_contains("wanted", digest(m)))
     text = (
         docs.join(wanted, "place")
         .select(F.explode(F.array_distinct(masks)).alias("mask"))
@@ -277,9 +293,12 @@ def drop_template_lines(
     )
     lines = lines_of(F.col("text"))
     doc = F.coalesce("doc_id", F.lit(0))
+
+    def stays(mask: Column) -> Column:
+        return ~F.array_contains("gone", F.struct(doc.alias("doc"), digest(mask).alias("line")))
+
     left = F.when(F.col("gone").isNull(), lines).otherwise(
-        F.filter(lines, lambda x: ~F.array_contains(
-            "gone", F.struct(doc.alias("doc"), digest(masked(x)).alias("line"))))
+        F.array_compact(F.zip_with(lines, masks_of(F.col("text")), lambda x, m: F.when(stays(m), x)))
     )
     whole = docs.join(gone, "place", "left")
     return whole.select("doc_id", F.size(lines).alias("n_lines"), left.alias("left")).select(
