@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, datetime, timedelta
 from math import sqrt
 from statistics import median
@@ -68,6 +69,56 @@ def test_overall_count_is_not_one_task(lines, players):
     assert any("hashpartitioning" in x and "game_id" in x and "player_name" in x for x in p.splitlines())
 
 
+def test_odd_players_and_games(spark):
+    """Ids that come twice, with one name or two; names that read as no name; rows without player, team or game."""
+    i = F.col("id")
+    lines = spark.range(0, 3000, 1, 3).select(
+        F.when(i % 11 < 10, i % 11).alias("player_id"), F.when(i % 5 != 0, i % 3).alias("team_id"), (i % 2).alias("season"),
+        F.when((i % 7 != 0) & (i % 11 != 7), F.pmod(F.xxhash64("id"), F.lit(90))).alias("game_id"))
+    known = [(0, "a"), (0, "a"), (1, "b"), (1, "c"), (2, "unknown"), (3, None), (4, "d"), (5, "d"), (6, "e"), (7, "f"), (8, "(overall)"), (12, "g"), (None, "h")]
+    want = {}
+    for r in lines.collect():
+        team = "unknown" if r.team_id is None else str(r.team_id)
+        for name in {n or "unknown" for p, n in known if p == r.player_id and p is not None} or {"unknown"}:
+            for key in ((DC.LEVEL, name, team, str(r.season)), ("player_name", name, *["(overall)"] * 2),
+                        ("team_id", "(overall)", team, "(overall)"), ("overall", *["(overall)"] * 3)):
+                want.setdefault(key, set()).update([] if r.game_id is None else [r.game_id])
+    players = spark.createDataFrame(known, "player_id long, player_name string")
+    got = {tuple(r)[:4]: r.games for r in DC.games_per_level(lines, players).collect()}
+    assert got == {k: len(v) for k, v in want.items()} and 0 in got.values()
+    near = {tuple(r)[:4]: r.games for r in DC.estimated_games_per_level(DC.game_sketches(lines), players).collect()}
+    assert near.keys() == got.keys() and all(abs(near[k] - n) <= max(1, 4 * 1.04 / 64 * n) for k, n in got.items())
+
+
+def test_teams_by_name(spark):
+    """A team without a name and one named ``unknown`` are one team, also in one game of one player."""
+    lines = spark.createDataFrame([(p, t, 1, g) for p in (1, 2, 3) for t in (None, "unknown", "x") for g in (7, 8)],
+                                  "player_id long, team_id string, season int, game_id long")
+    players = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "player_id long, player_name string")
+    got = DC.games_per_level(lines, players).collect()
+    assert len(got) == 2 * 2 + 2 + 2 + 1 and {r.games for r in got} == {2}
+
+
+def test_pairs_are_shuffled_once_for_counts_and_sketches(spark, lines, players):
+    """By player; then only sums and united sketches, by the columns they are joined on. Nothing is shuffled per level."""
+    games = lines.select("game_id", "season").dropDuplicates(["game_id"])
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lines.drop("season").join(games, "game_id")
+        keys = ["aggregation_level", *DC.KEYS]
+        estimated = DC.estimated_games_per_level(DC.game_sketches(joined), players).withColumnRenamed("games", "estimate")
+        both = DC.games_per_level(joined, players).join(estimated, keys)
+        assert both.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    final = plan(both).partition("Initial Plan")[0]
+    by = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"(?<!\], )Exchange hashpartitioning\((.*), \d+\)", final)]
+    assert [x for x in by if "aggregation_level" in x or "team_id" in x] == [", ".join(keys)] * 2
+    assert len(re.findall(r"\], Exchange hashpartitioning\(player_id#\d+L, \d+\), REPARTITION", final)) == 2
+    assert len(re.findall(r"(?<!\], )Exchange hashpartitioning\(player_id#\d+L, \d+\), REPARTITION", final)) == 1
+
+
 # --- bitmaps -------------------------------------------------------------------
 
 
